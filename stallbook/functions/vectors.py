@@ -24,9 +24,12 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def cosine_distance(a: Column, b: Column) -> Column:
-    """``1 - cos``; NULL when either vector has zero length."""
-    return F.lit(1.0) - F.try_divide(dot(a, b), norm(a) * norm(b))
+def cosine_distance(a: Column, b: Column, length_of_b: Column | None = None) -> Column:
+    """``1 - cos``; NULL when either vector has zero length.
+
+    ``length_of_b`` spares working out the same norm for every row.
+    """
+    return F.lit(1.0) - F.try_divide(dot(a, b), norm(a) * (norm(b) if length_of_b is None else length_of_b))
 
 
 def l2_distance(a: Column, b: Column) -> Column:
@@ -42,11 +45,15 @@ def negative_inner_product(a: Column, b: Column) -> Column:
     return -dot(a, b)
 
 
-def distance(metric: str, a: Column, b: Column) -> Column:
-    by_name = dict(zip(METRICS, (cosine_distance, l2_distance, negative_inner_product)))
-    if metric not in by_name:
-        raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
-    return by_name[metric](a, b)
+def distance(metric: str, a: Column, b: Column, length_of_b: Column | None = None) -> Column:
+    match metric:
+        case "cosine":
+            return cosine_distance(a, b, length_of_b)
+        case "l2":
+            return l2_distance(a, b)
+        case "inner_product":
+            return negative_inner_product(a, b)
+    raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
 
 
 def stored_precision(vector: Column | str, places: int = 6) -> Column:

@@ -200,28 +200,41 @@ def cut_line_band(items: DataFrame, orders: DataFrame, sellers: DataFrame,
     kept = _kept(orders, exclude_status).select("order_id")
     earned = (items.select("order_id", "seller_id", "price").join(kept, "order_id")
               .groupBy("seller_id").agg(F.sum("price").alias("revenue")))
-    if not ordered.fits_one_task(sellers):
-        earned = pinned(earned)
-    # Ranks up to hi lie among the hi largest distinct values: hi rows at most,
-    # however many sellers share one.
-    largest = (earned.groupBy("revenue").agg(F.count(F.lit(1)).alias("_n"))
-               .orderBy(F.col("revenue").desc_nulls_first()).limit(max(hi, cut)))
     down = Window.orderBy(F.col("revenue").desc_nulls_first())
-    upto = F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = largest.withColumn("_upto", upto).withColumn("revenue_rank", F.col("_upto") - F.col("_n") + 1)
-    holds_cut = (F.col("revenue_rank") <= cut) & (F.col("_upto") >= cut)
-    everyone = Window.partitionBy(F.lit(1))
-    band = (placed.withColumn("tenth", F.max(F.when(holds_cut, F.col("revenue"))).over(everyone))
-            .where(F.col("revenue_rank").between(lo, hi) & F.col("tenth").isNotNull())
-            .select(F.col("revenue").alias("_revenue"), "revenue_rank", "tenth"))
+    last = max(cut, hi)
+    if ordered.fits_one_task(sellers):
+        places = (earned.withColumn("revenue_rank", F.rank().over(down).cast("long"))
+                  .where(F.col("revenue_rank") <= last).withColumn("_n", F.lit(1)))
+        band = _band(places, cut, lo, hi)
+    else:
+        # Ranks up to ``last`` lie among as many largest distinct values, which
+        # is a handful of rows however many sellers share one of them.
+        earned = pinned(earned)
+        values = (earned.groupBy("revenue").agg(F.count(F.lit(1)).alias("_n"))
+                  .orderBy(F.col("revenue").desc_nulls_first()).limit(last))
+        above = F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, -1))
+        places = values.withColumn("revenue_rank", F.coalesce(above, F.lit(0)) + 1)
+        band = earned.join(F.broadcast(_band(places, cut, lo, hi)), "revenue")
     gap = F.col("tenth") - F.col("revenue")
-    return (earned.join(F.broadcast(band), F.col("revenue") == F.col("_revenue"))
-            .join(sellers.select("seller_id", "seller_state"), "seller_id")
+    return (band.join(sellers.select("seller_id", "seller_state"), "seller_id")
             .select("revenue_rank", "seller_id", "seller_state", "revenue", gap.alias("gap_to_10th"),
                     numbers.percent(gap, F.col("tenth"), 1).alias("gap_pct"))
             .orderBy("revenue_rank", "seller_id"))
 
 
+def _band(places: DataFrame, cut: int, lo: int, hi: int) -> DataFrame:
+    """The places ranked ``lo`` to ``hi`` with the revenue in place ``cut``.
+
+    A place is a revenue held by ``_n`` sellers.
+    """
+    everyone = Window.partitionBy(F.lit(1))
+    inside = F.col("revenue_rank") <= cut
+    return (places.withColumn("tenth", F.min(F.when(inside, F.col("revenue"))).over(everyone))
+            .withColumn("_inside", F.sum(F.when(inside, F.col("_n"))).over(everyone))
+            .where((F.col("_inside") >= cut) & F.col("revenue_rank").between(lo, hi))
+            .drop("_n", "_inside"))
+
+
 def repeat_share(orders: DataFrame, customers: DataFrame, payments: DataFrame,
                  exclude_status: Sequence[str] = EXCLUDED_STATUSES) -> DataFrame:
     """One-time and repeat buyers: how many, and what an order of theirs is worth."""

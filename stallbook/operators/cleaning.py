@@ -5,7 +5,7 @@ Each rule is an operator of its own; ``plans.retail`` puts them together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -42,18 +42,23 @@ def drop_rows(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     return df.join(dropped, key, "left_anti")
 
 
-def drop_with_dependents(parents: DataFrame, dropped: DataFrame, key: str,
-                         children: dict[str, DataFrame],
-                         owners: DataFrame, owner_key: str) -> dict[str, DataFrame]:
-    """Remove ``dropped`` parents together with everything that hangs on them.
+def drop_owners(owners: DataFrame, parents: DataFrame, dropped: DataFrame, key: str, owner_key: str) -> DataFrame:
+    """``owners`` without those of the dropped parents.
 
-    The children go because they would refer to nothing. The owner goes because
-    each owner row exists for one parent and would outlive it.
+    An owner row that exists for one parent alone would otherwise outlive it.
     """
     owned = distinct_keys(parents.join(dropped, key, "left_semi"), owner_key)
+    return drop_rows(owners, owned, owner_key)
+
+
+def drop_with_dependents(parents: DataFrame, dropped: DataFrame, key: str,
+                         children: Mapping[str, DataFrame],
+                         owners: DataFrame, owner_key: str) -> dict[str, DataFrame]:
+    """Remove ``dropped`` parents together with everything that hangs on them:
+    the children, which would refer to nothing, and the owners."""
     kept = {name: drop_rows(df, dropped, key) for name, df in children.items()}
     return {"parents": drop_rows(parents, dropped, key),
-            "owners": drop_rows(owners, owned, owner_key), **kept}
+            "owners": drop_owners(owners, parents, dropped, key, owner_key), **kept}
 
 
 def impute_from(df: DataFrame, target: str, source: str, offset: timedelta, when: Column) -> DataFrame:

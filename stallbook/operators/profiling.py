@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ def _stacked(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def key_uniqueness(tables: dict[str, DataFrame], candidates: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+def key_uniqueness(tables: Mapping[str, DataFrame], candidates: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
     """Rows and distinct values per candidate key.
 
     A single column is counted as SQL counts it, without NULLs. A composite
@@ -36,7 +36,7 @@ def key_uniqueness(tables: dict[str, DataFrame], candidates: Sequence[tuple[str,
     return _stacked([one(t, c) for t, c in candidates]).orderBy("candidate_key")
 
 
-def cast_validity(tables: dict[str, DataFrame], casts: Sequence[tuple[str, str, str]]) -> DataFrame:
+def cast_validity(tables: Mapping[str, DataFrame], casts: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Non-NULL and uncastable values per (table, column, type); one scan per table."""
     def one(table: str) -> DataFrame:
         wanted = [(c, t) for name, c, t in casts if name == table]
@@ -64,7 +64,7 @@ def group_sizes(df: DataFrame, key: str, size: str = "rows_per_key", groups: str
             .groupBy(size).agg(F.count(F.lit(1)).alias(groups)).orderBy(size))
 
 
-def orphan_report(tables: dict[str, DataFrame],
+def orphan_report(tables: Mapping[str, DataFrame],
                   relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Child rows without a parent per (child, key, parent, parent key)."""
     def one(child: str, key: str, parent: str, parent_key: str) -> DataFrame:
@@ -80,7 +80,7 @@ def missing_lookups(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str
     return orphans(df, key, lookup, lookup_key).orderBy(F.desc("rows"), key)
 
 
-def coverage_gaps(tables: dict[str, DataFrame], relations: Sequence[tuple[str, str, str, str]],
+def coverage_gaps(tables: Mapping[str, DataFrame], relations: Sequence[tuple[str, str, str, str]],
                   nullable: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Parents without a child per (parent, key, child, child key), and rows
     without a value per (table, column)."""

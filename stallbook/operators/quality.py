@@ -7,7 +7,7 @@ list of them into one report; checks on the same table's rows share one scan.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -152,7 +152,7 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def _table_check(tables: dict[str, DataFrame], check: Check) -> DataFrame:
+def _table_check(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     match check:
         case UniqueKey(table, columns):
             repeated = (tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
@@ -180,7 +180,7 @@ def _table_check(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     raise TypeError(f"not a check: {check!r}")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One report row per check: check, subject, expected, actual, passed."""
     per_table: dict[str, list[Check]] = defaultdict(list)
     reports = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from stallbook.functions.vectors import stored_precision
 from stallbook.operators import analytics, embedding, matching, ordered, profiling, quality, search
 from stallbook.plans import retail, star
 from stallbook.sources import csv_files, tables
-from stallbook.sources.shared import new_folder
+from stallbook.sources.shared import new_folder, pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -310,9 +311,18 @@ def _expected(spark, folder):
         imputed_orders=0, undelivered_orders=0, fallback_products=0, delivered_before_handover=0)
 
 
+def _landed(spark, folder):
+    """The landed tables. The orders are derived from the lines and read many
+    times by the jobs below, so they are written down first."""
+    derived = star.landed_tables(spark, folder)
+    orders = pinned(derived["orders"])
+    return ChainMap(tables.Tables({"orders": lambda: orders}), derived)
+
+
 def _report(spark, folder, checks):
-    landed = star.landed_tables(spark, folder)
-    return retail.typed_report(retail.clean(landed), landed, checks)
+    landed = _landed(spark, folder)
+    dropped = retail.dropped_orders(landed)
+    return retail.typed_report(retail.clean(landed, dropped), landed, checks, dropped)
 
 
 @_query
@@ -368,7 +378,7 @@ def published_row_counts(spark, folder):
     root = new_folder(spark, "published")
     checks = [*quality.not_nulls(), *quality.references(),
               quality.HasChild("customers", "customer_id", "orders"), quality.NoColumnLike("lenght")]
-    retail.build(star.landed_tables(spark, folder), root, _expected(spark, folder), checks)
+    retail.build(_landed(spark, folder), root, _expected(spark, folder), checks)
     typed = tables.read_published(spark, root, retail.TABLES)
     return quality.run_checks(typed, quality.row_counts(dict.fromkeys(retail.TABLES, 0))).select("subject", "actual")
 

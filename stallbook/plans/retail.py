@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import ChainMap
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
@@ -59,41 +60,60 @@ def unusable_orders(orders: DataFrame, delivered: str = DELIVERED) -> DataFrame:
     return cleaning.unusable(orders, (F.col("order_status") == delivered) & neither, "order_id")
 
 
-def clean(landed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def dropped_orders(landed: Mapping[str, DataFrame]) -> DataFrame:
+    """The unusable orders, written down: usually a handful, which Spark sees
+    from the file's size and then broadcasts instead of moving the order lines."""
+    return pinned(unusable_orders(landed["orders"]))
+
+
+def clean(landed: Mapping[str, DataFrame], dropped: DataFrame | None = None) -> tables.Tables:
     """The nine typed tables from the nine landed ones.
 
     Delivered orders without any date go, with all that hangs on them; a
     missing delivery date is estimated from the handover; one review per order
     stays; categories are translated where a translation exists; repeated
     coordinate rows are removed. Everything else is a cast.
+
+    ``dropped`` are the orders to leave out, if they have been worked out before.
     """
-    # Used by five of the tables: worked out once.
-    dropped = pinned(unusable_orders(landed["orders"]))
-    kept = cleaning.drop_with_dependents(
-        landed["orders"], dropped, "order_id",
-        {name: landed[name] for name in ("order_items", "order_payments", "order_reviews")},
-        landed["customers"], "customer_id")
-
-    orders = cleaning.impute_from(
-        cleaning.typed_projection(kept["parents"], "orders"),
-        "order_delivered_customer_date", "order_delivered_carrier_date",
-        HANDOVER_TO_CUSTOMER, F.col("order_status") == DELIVERED)
-    # The choice is made on the landed text, whose fixed-width form sorts as time.
-    reviews = ordered.latest_per_key(kept["order_reviews"], ["order_id"], "review_answer_timestamp")
-    translation = landed["product_category_name_translation"]
-    products = lookup_with_fallback(landed["products"], translation,
-                                    "product_category_name", "product_category_name_english")
-    return {
-        "customers": cleaning.typed_projection(kept["owners"], "customers"),
-        "geolocation": cleaning.dedupe_rows(cleaning.typed_projection(landed["geolocation"], "geolocation")),
-        "sellers": cleaning.typed_projection(landed["sellers"], "sellers"),
-        "product_category_translation": cleaning.typed_projection(translation, "product_category_translation"),
-        "products": cleaning.typed_projection(products, "products", MISSPELT_COLUMNS),
+    once = tables.Tables({"dropped": lambda: dropped_orders(landed) if dropped is None else dropped})
+    translation = "product_category_name_translation"
+
+    def kept(table: str) -> DataFrame:
+        return cleaning.drop_rows(landed[table], once["dropped"], "order_id")
+
+    def customers() -> DataFrame:
+        left = cleaning.drop_owners(landed["customers"], landed["orders"], once["dropped"], "order_id", "customer_id")
+        return cleaning.typed_projection(left, "customers")
+
+    def orders() -> DataFrame:
+        return cleaning.impute_from(
+            cleaning.typed_projection(kept("orders"), "orders"),
+            "order_delivered_customer_date", "order_delivered_carrier_date",
+            HANDOVER_TO_CUSTOMER, F.col("order_status") == DELIVERED)
+
+    def order_reviews() -> DataFrame:
+        # The choice is made on the landed text, whose fixed-width form sorts as time.
+        latest = ordered.latest_per_key(kept("order_reviews"), ["order_id"], "review_answer_timestamp")
+        return cleaning.typed_projection(latest, "order_reviews")
+
+    def products() -> DataFrame:
+        named = lookup_with_fallback(landed["products"], landed[translation],
+                                     "product_category_name", "product_category_name_english")
+        return cleaning.typed_projection(named, "products", MISSPELT_COLUMNS)
+
+    return tables.Tables({
+        "customers": customers,
+        "geolocation": lambda: cleaning.dedupe_rows(cleaning.typed_projection(landed["geolocation"], "geolocation")),
+        "sellers": lambda: cleaning.typed_projection(landed["sellers"], "sellers"),
+        "product_category_translation":
+            lambda: cleaning.typed_projection(landed[translation], "product_category_translation"),
+        "products": products,
         "orders": orders,
-        "order_items": cleaning.typed_projection(kept["order_items"], "order_items"),
-        "payments": cleaning.typed_projection(kept["order_payments"], "payments"),
-        "order_reviews": cleaning.typed_projection(reviews, "order_reviews"),
-    }
+        "order_items": lambda: cleaning.typed_projection(kept("order_items"), "order_items"),
+        "payments": lambda: cleaning.typed_projection(kept("order_payments"), "payments"),
+        "order_reviews": order_reviews,
+    })
 
 
 def landing_checks(expected: Expectations) -> list[quality.Check]:
@@ -131,20 +151,22 @@ def typed_checks(expected: Expectations) -> list[quality.Check]:
             *quality.unique_keys(), *quality.references(), *cleaning_checks(expected)]
 
 
-def typed_report(typed: dict[str, DataFrame], landed: dict[str, DataFrame],
-                 checks: Sequence[quality.Check]) -> DataFrame:
-    """``checks`` over the typed tables, with the landed orders at hand."""
-    stand_ins = {"landed_orders": landed["orders"], "dropped_orders": unusable_orders(landed["orders"])}
+def typed_report(typed: Mapping[str, DataFrame], landed: Mapping[str, DataFrame],
+                 checks: Sequence[quality.Check], dropped: DataFrame | None = None) -> DataFrame:
+    """``checks`` over the typed tables, with the landed and dropped orders at hand."""
+    stand_ins = tables.Tables({
+        "landed_orders": lambda: landed["orders"],
+        "dropped_orders": lambda: unusable_orders(landed["orders"]) if dropped is None else dropped})
     # Column names are a matter of the typed tables alone.
     names = [c for c in checks if isinstance(c, quality.NoColumnLike)]
     rest = [c for c in checks if not isinstance(c, quality.NoColumnLike)]
-    reports = [quality.run_checks(tables_, found)
-               for tables_, found in (({**typed, **stand_ins}, rest), (typed, names)) if found]
+    reports = [quality.run_checks(scanned, found)
+               for scanned, found in ((ChainMap(stand_ins, typed), rest), (typed, names)) if found]
     return reduce(DataFrame.unionByName, reports)
 
 
-def build(landed: dict[str, DataFrame], root: str, expected: Expectations,
-          checks: Sequence[quality.Check] | None = None) -> dict[str, DataFrame]:
+def build(landed: Mapping[str, DataFrame], root: str, expected: Expectations,
+          checks: Sequence[quality.Check] | None = None) -> Mapping[str, DataFrame]:
     """Gate, clean, write, gate again, and only then publish under ``root``.
 
     ``checks`` replaces the second gate for data with other rules.
@@ -152,12 +174,13 @@ def build(landed: dict[str, DataFrame], root: str, expected: Expectations,
     spark: SparkSession = landed["orders"].sparkSession
     quality.enforce(quality.run_checks(landed, landing_checks(expected)))
     wanted = typed_checks(expected) if checks is None else list(checks)
-    return tables.reload(spark, root, clean(landed),
-                         lambda typed: quality.enforce(typed_report(typed, landed, wanted)))
+    dropped = dropped_orders(landed)
+    return tables.reload(spark, root, clean(landed, dropped),
+                         lambda typed: quality.enforce(typed_report(typed, landed, wanted, dropped)))
 
 
 def build_from_csv(spark: SparkSession, folder: str, root: str, expected: Expectations | None = None,
-                   pattern: str = "{table}.csv", files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                   pattern: str = "{table}.csv", files: dict[str, str] | None = None) -> Mapping[str, DataFrame]:
     """The whole job, from a folder of raw CSV files to published tables.
 
     The text is converted to Parquet once: the gates and the cleaning read it

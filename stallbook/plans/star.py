@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.operators.matching import lookup_with_fallback
-from stallbook.sources.tables import inline_table, read_tables
+from stallbook.sources.tables import Tables, inline_table, read_tables
 
 # --- fixed values ------------------------------------------------------------
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -45,95 +45,130 @@ def translation(spark: SparkSession) -> DataFrame:
     return inline_table(spark, ["product_category_name", "product_category_name_english"], TRANSLATION)
 
 
-def typed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def typed_tables(spark: SparkSession, folder: str) -> Tables:
     """The analytics tables; a buyer is a customer, a part's type its category."""
     star = read_tables(spark, folder, STAR_TABLES)
-    line = star["lineitem"]
-    products = star["part"].select(
-        F.col("p_partkey").alias("product_id"), _category().alias("product_category_name"),
-        F.col("p_size").alias("product_weight_g"))
-    orders = star["orders"].select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.date_add(F.to_date("o_orderdate"), PROMISED_DAYS).alias("order_estimated_delivery_date"))
-    # An order has arrived when its last line has; without lines it never did.
-    arrivals = line.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        F.max("l_shipdate").alias("order_delivered_customer_date"))
-    return {
-        "orders": orders,
-        "arrived_orders": orders.join(arrivals, "order_id"),
-        "customers": star["customer"].select(
+
+    def orders() -> DataFrame:
+        return star["orders"].select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderstatus").alias("order_status"),
+            F.col("o_orderdate").alias("order_purchase_timestamp"),
+            F.date_add(F.to_date("o_orderdate"), PROMISED_DAYS).alias("order_estimated_delivery_date"))
+
+    def arrived_orders() -> DataFrame:
+        # An order has arrived when its last line has; without lines it never did.
+        arrivals = star["lineitem"].groupBy(F.col("l_orderkey").alias("order_id")).agg(
+            F.max("l_shipdate").alias("order_delivered_customer_date"))
+        return orders().join(arrivals, "order_id")
+
+    def customers() -> DataFrame:
+        return star["customer"].select(
             F.col("c_custkey").alias("customer_id"), F.col("c_custkey").alias("customer_unique_id"),
             F.col("c_nationkey").alias("customer_zip_code_prefix"), F.col("c_mktsegment").alias("customer_city"),
-            F.col("c_nationkey").cast("string").alias("customer_state")),
-        "sellers": star["supplier"].select(
+            F.col("c_nationkey").cast("string").alias("customer_state"))
+
+    def sellers() -> DataFrame:
+        return star["supplier"].select(
             F.col("s_suppkey").alias("seller_id"), F.col("s_nationkey").alias("seller_zip_code_prefix"),
-            F.col("s_name").alias("seller_city"), F.col("s_nationkey").cast("string").alias("seller_state")),
-        "products": lookup_with_fallback(products, translation(spark), "product_category_name",
-                                         "product_category_name_english"),
-        "order_items": line.select(
+            F.col("s_name").alias("seller_city"), F.col("s_nationkey").cast("string").alias("seller_state"))
+
+    def products() -> DataFrame:
+        named = star["part"].select(
+            F.col("p_partkey").alias("product_id"), _category().alias("product_category_name"),
+            F.col("p_size").alias("product_weight_g"))
+        return lookup_with_fallback(named, translation(spark), "product_category_name",
+                                    "product_category_name_english")
+
+    def order_items() -> DataFrame:
+        return star["lineitem"].select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"), _money("l_extendedprice").alias("price"),
-            _money("l_tax").alias("freight_value")),
-        "payments": line.select(
+            _money("l_tax").alias("freight_value"))
+
+    def payments() -> DataFrame:
+        return star["lineitem"].select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("payment_sequential"),
-            F.col("l_returnflag").alias("payment_type"), _money("l_extendedprice").alias("payment_value")),
-        "order_reviews": star["orders"].select(
+            F.col("l_returnflag").alias("payment_type"), _money("l_extendedprice").alias("payment_value"))
+
+    def order_reviews() -> DataFrame:
+        return star["orders"].select(
             F.col("o_orderkey").alias("order_id"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score")),
-    }
+            F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"))
+
+    return Tables({make.__name__: make for make in (
+        orders, arrived_orders, customers, sellers, products, order_items, payments, order_reviews)})
 
 
 def _text(**columns: Column | str) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).cast("string").alias(name) for name, c in columns.items()]
 
 
-def landed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def landed_tables(spark: SparkSession, folder: str) -> Tables:
     """The raw tables, all text. Here each order has a customer row of its own."""
     star = read_tables(spark, folder, STAR_TABLES)
-    line, orders, part = star["lineitem"], star["orders"], star["part"]
-    # Only early lines tell of the handover and only lines not "N" of the
-    # delivery, so some orders lack one date, the other, or both.
-    dates = line.groupBy("l_orderkey").agg(
-        F.min(F.when(F.col("l_linenumber") <= 3, F.col("l_shipdate"))).alias("handover"),
-        F.max(F.when(F.col("l_returnflag") != "N", F.col("l_shipdate"))).alias("arrival"))
-    dated = orders.join(dates, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    answered = F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_quantity").cast("int"))
-    approved = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
-    return {
-        "customers": orders.join(star["customer"], F.col("o_custkey") == F.col("c_custkey")).select(*_text(
+
+    def customers() -> DataFrame:
+        placed = star["orders"].join(star["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        return placed.select(*_text(
             customer_id="o_orderkey", customer_unique_id="o_custkey", customer_zip_code_prefix="c_nationkey",
-            customer_city="c_mktsegment", customer_state="c_nationkey")),
-        "geolocation": line.select(*_text(
+            customer_city="c_mktsegment", customer_state="c_nationkey"))
+
+    def geolocation() -> DataFrame:
+        return star["lineitem"].select(*_text(
             geolocation_zip_code_prefix="l_linenumber", geolocation_lat="l_discount", geolocation_lng="l_tax",
-            geolocation_city="l_returnflag", geolocation_state="l_linestatus")),
-        "orders": dated.select(*_text(
+            geolocation_city="l_returnflag", geolocation_state="l_linestatus"))
+
+    def orders() -> DataFrame:
+        # Only early lines tell of the handover and only lines not "N" of the
+        # delivery, so some orders lack one date, the other, or both.
+        dates = star["lineitem"].groupBy("l_orderkey").agg(
+            F.min(F.when(F.col("l_linenumber") <= 3, F.col("l_shipdate"))).alias("handover"),
+            F.max(F.when(F.col("l_returnflag") != "N", F.col("l_shipdate"))).alias("arrival"))
+        dated = star["orders"].join(dates, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        approved = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+        return dated.select(*_text(
             order_id="o_orderkey", customer_id="o_orderkey", order_status=_named("o_orderstatus", STATUS_NAMES),
             order_purchase_timestamp="o_orderdate", order_approved_at=approved,
             order_delivered_carrier_date="handover", order_delivered_customer_date="arrival",
-            order_estimated_delivery_date=F.date_add(F.to_date("o_orderdate"), PROMISED_DAYS))),
-        "order_items": line.select(*_text(
+            order_estimated_delivery_date=F.date_add(F.to_date("o_orderdate"), PROMISED_DAYS)))
+
+    def order_items() -> DataFrame:
+        return star["lineitem"].select(*_text(
             order_id="l_orderkey", order_item_id="l_linenumber", product_id="l_partkey", seller_id="l_suppkey",
-            shipping_limit_date="l_shipdate", price="l_extendedprice", freight_value="l_tax")),
-        "order_payments": line.select(*_text(
+            shipping_limit_date="l_shipdate", price="l_extendedprice", freight_value="l_tax"))
+
+    def order_payments() -> DataFrame:
+        return star["lineitem"].select(*_text(
             order_id="l_orderkey", payment_sequential="l_linenumber",
             payment_type=_named("l_returnflag", PAYMENT_NAMES),
-            payment_installments=F.col("l_quantity").cast("int"), payment_value="l_extendedprice")),
-        "order_reviews": line.select(*_text(
+            payment_installments=F.col("l_quantity").cast("int"), payment_value="l_extendedprice"))
+
+    def order_reviews() -> DataFrame:
+        answered = F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_quantity").cast("int"))
+        return star["lineitem"].select(*_text(
             review_id="l_partkey", order_id="l_orderkey", review_score=F.least("l_linenumber", F.lit(5)),
             review_comment_title=F.lit(None), review_comment_message="l_linestatus",
-            review_creation_date="l_shipdate", review_answer_timestamp=answered)),
-        "products": part.select(*_text(
+            review_creation_date="l_shipdate", review_answer_timestamp=answered))
+
+    def products() -> DataFrame:
+        return star["part"].select(*_text(
             product_id="p_partkey", product_category_name=_category(), product_name_lenght=F.length("p_name"),
             product_description_lenght=F.length("p_brand"), product_photos_qty="p_size", product_weight_g="p_size",
-            product_length_cm="p_size", product_height_cm="p_size", product_width_cm="p_size")),
-        "sellers": star["supplier"].select(*_text(
+            product_length_cm="p_size", product_height_cm="p_size", product_width_cm="p_size"))
+
+    def sellers() -> DataFrame:
+        return star["supplier"].select(*_text(
             seller_id="s_suppkey", seller_zip_code_prefix="s_nationkey", seller_city="s_name",
-            seller_state="s_nationkey")),
-        "product_category_name_translation": translation(spark),
-    }
+            seller_state="s_nationkey"))
+
+    def product_category_name_translation() -> DataFrame:
+        return translation(spark)
+
+    return Tables({make.__name__: make for make in (
+        customers, geolocation, orders, order_items, order_payments, order_reviews, products, sellers,
+        product_category_name_translation)})
 
 
 def landed_rows(spark: SparkSession, folder: str) -> dict[str, int]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -12,8 +12,34 @@ from pyspark.sql import functions as F
 _POINTER = "current"
 
 
-def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str = ".parquet") -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}{suffix}") for name in names}
+class Tables(Mapping[str, DataFrame]):
+    """Named DataFrames, each made when it is first asked for.
+
+    Opening a Parquet table costs a job to learn its schema, so a query that
+    needs two of nine tables opens two.
+    """
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str = ".parquet") -> Tables:
+    def maker(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.parquet(f"{folder}/{name}{suffix}")
+
+    return Tables({name: maker(name) for name in names})
 
 
 def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -27,7 +53,7 @@ def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) ->
     return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})", args=cells)
 
 
-def write_version(tables: dict[str, DataFrame], root: str) -> str:
+def write_version(tables: Mapping[str, DataFrame], root: str) -> str:
     """Write all tables into a fresh version folder; nothing points to it yet."""
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     version = f"v{stamp}-{uuid4().hex[:8]}"
@@ -55,12 +81,12 @@ def current_version(spark: SparkSession, root: str) -> str:
     return newest[0]["version"]
 
 
-def read_published(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
+def read_published(spark: SparkSession, root: str, names: list[str]) -> Mapping[str, DataFrame]:
     return read_tables(spark, f"{root}/{current_version(spark, root)}", names, suffix="")
 
 
-def reload(spark: SparkSession, root: str, tables: dict[str, DataFrame],
-           gate: Callable[[dict[str, DataFrame]], None]) -> dict[str, DataFrame]:
+def reload(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
+           gate: Callable[[Mapping[str, DataFrame]], None]) -> Mapping[str, DataFrame]:
     """Replace all tables at once, if the written version passes ``gate``.
 
     Running it twice gives the same published rows. A failing gate raises and
@@ -87,6 +113,6 @@ def json_array(df: DataFrame) -> DataFrame:
     return df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("json"))
 
 
-def columns_like(tables: dict[str, DataFrame], pattern: str) -> list[tuple[str, str]]:
+def columns_like(tables: Mapping[str, DataFrame], pattern: str) -> list[tuple[str, str]]:
     """Columns whose name contains ``pattern``, from the schemas alone."""
     return [(name, column) for name, df in tables.items() for column in df.columns if pattern in column]

@@ -25,9 +25,9 @@ ROWS_PER_TASK = 1_000_000
 MAX_HOT_GROUPS = 1_000
 
 
-def fits_one_task(df: DataFrame, rows: int = ROWS_PER_TASK) -> bool:
-    """Does ``df`` have at most ``rows`` rows? Free for Parquet: the footers say."""
-    return df.count() <= rows
+def fits_one_task(df: DataFrame) -> bool:
+    """Has ``df`` few enough rows for one task? Free for Parquet: the footers say."""
+    return df.count() <= ROWS_PER_TASK
 
 
 def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -60,14 +60,14 @@ def split_running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column],
             .select(*df.columns, total.alias(out)))
 
 
-def hot_groups(weights: DataFrame, by: str, weight: str, rows: int = ROWS_PER_TASK) -> list:
-    """The largest groups with more than ``rows`` rows; usually none.
+def hot_groups(weights: DataFrame, by: str, weight: str) -> list:
+    """The largest groups with too many rows for one task; usually none.
 
     ``weights`` may hold several rows per group; they are summed where they lie
     before anything is shuffled.
     """
     largest = (weights.groupBy(by).agg(F.sum(weight).alias("_rows"))
-               .where((F.col("_rows") > rows) & F.col(by).isNotNull())
+               .where((F.col("_rows") > ROWS_PER_TASK) & F.col(by).isNotNull())
                .orderBy(F.desc("_rows")).limit(MAX_HOT_GROUPS))
     return [row[0] for row in largest.select(by).collect()]
 

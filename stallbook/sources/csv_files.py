@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook import schemas
+from stallbook.sources.tables import Tables
 
 # A value that cannot occur in UTF-8 text files: with it as the NULL marker an
 # empty unquoted field becomes NULL and a quoted "" stays an empty string.
@@ -35,23 +38,25 @@ def read_csv(spark: SparkSession, path: str | list[str], schema, line_breaks: bo
 
 
 def land(spark: SparkSession, folder: str, pattern: str = "{table}.csv",
-         files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+         files: dict[str, str] | None = None) -> Tables:
     """The nine raw tables under ``folder``, every column text.
 
     ``pattern`` names the files after their tables; ``files`` overrides single
     names. Both may hold globs, so a table can be many files.
     """
     files = files or {}
-    return {
-        table: read_csv(spark, f"{folder}/{files.get(table, pattern.format(table=table))}",
-                        schemas.landing_schema(table),
-                        line_breaks=table in TABLES_WITH_LINE_BREAKS)
-        for table in schemas.LANDING_COLUMNS
-    }
+
+    def maker(table: str) -> Callable[[], DataFrame]:
+        path = f"{folder}/{files.get(table, pattern.format(table=table))}"
+        return lambda: read_csv(spark, path, schemas.landing_schema(table),
+                                line_breaks=table in TABLES_WITH_LINE_BREAKS)
+
+    return Tables({table: maker(table) for table in schemas.LANDING_COLUMNS})
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` in the form ``read_csv`` reads: header, doubled quotes, NULL
     as an empty field and the empty string as a quoted one."""
     (df.write.option("header", True).option("escape", '"').option("nullValue", "")
-     .option("emptyValue", '""').option("quoteAll", False).csv(path))
+     .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -99,8 +99,10 @@ def running_spend(orders: DataFrame, customers: DataFrame, payments: DataFrame)
              .select("order_id", "customer_unique_id", "order_purchase_timestamp", "order_total"))
     # Two orders at the same moment are told apart by their id.
     in_time = [F.col("order_purchase_timestamp").asc_nulls_last(), F.col("order_id").asc_nulls_last()]
-    return (ordered.running_sum(spend, "customer_unique_id", in_time, "order_total", "running_total",
-                                hot=_hot_persons(orders, customers))
+    hot = _hot_persons(orders, customers)
+    if hot:
+        spend = pinned(spend)  # read for the hot persons and again for the others
+    return (ordered.running_sum(spend, "customer_unique_id", in_time, "order_total", "running_total", hot)
             .orderBy("customer_unique_id", *in_time)
             .select("customer_unique_id", "order_purchase_timestamp", "order_total", "running_total"))
 

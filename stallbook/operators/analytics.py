@@ -1,8 +1,8 @@
 """The analytics questions, over the typed tables.
 
-Facts are summed on their own key before they meet another table: a hot key is
-then one row in the join, and the join needs no exchange beyond the one the
-sum already made.
+Where a sum and the join after it share their key, the facts are summed first: a
+hot key is then one row in the join, and the join needs no exchange beyond the
+one the sum already made.
 """
 
 from __future__ import annotations
@@ -159,35 +159,35 @@ def churned_by_antijoin(orders: DataFrame, customers: DataFrame, horizon_days: i
     return firsts.join(later, returned, "left_anti")
 
 
-def _category_sales(items: DataFrame, orders: DataFrame, products: DataFrame,
-                    exclude_status: Sequence[str], *period: Column) -> DataFrame:
-    """Price revenue per category, and per period if one is given.
-
-    Summed per product first: the join with the products then takes one row
-    per product and period.
-    """
+def _sales(items: DataFrame, orders: DataFrame, exclude_status: Sequence[str], *period: Column) -> DataFrame:
+    """Lines of the orders that count, with the period of their purchase if asked for."""
     kept = _kept(orders, exclude_status).select("order_id", *period)
-    periods = kept.columns[1:]
-    per_product = (items.select("order_id", "product_id", "price").join(kept, "order_id")
-                   .groupBy("product_id", *periods).agg(F.sum("price").alias("revenue")))
-    named = products.select("product_id", F.coalesce(_CATEGORY, F.lit(UNKNOWN_CATEGORY)).alias("category"))
-    return (per_product.join(named, "product_id")
-            .groupBy(*periods, "category").agg(F.sum("revenue").alias("revenue")))
+    return items.select("order_id", "product_id", "price").join(kept, "order_id").drop("order_id")
+
+
+def _categories(products: DataFrame) -> DataFrame:
+    return products.select("product_id", F.coalesce(_CATEGORY, F.lit(UNKNOWN_CATEGORY)).alias("category"))
 
 
 def top_categories(items: DataFrame, orders: DataFrame, products: DataFrame, k: int = 10,
                    exclude_status: Sequence[str] = EXCLUDED_STATUSES) -> DataFrame:
     """The ``k`` categories that earned most."""
-    sales = _category_sales(items, orders, products, exclude_status)
-    return sales.orderBy(F.desc("revenue"), "category").limit(k)
+    # Summed per product first, so the join takes one row per product.
+    per_product = _sales(items, orders, exclude_status).groupBy("product_id").agg(F.sum("price").alias("revenue"))
+    return (per_product.join(_categories(products), "product_id")
+            .groupBy("category").agg(F.sum("revenue").alias("revenue"))
+            .orderBy(F.desc("revenue"), "category").limit(k))
 
 
 def monthly_top_category(items: DataFrame, orders: DataFrame, products: DataFrame,
                          exclude_status: Sequence[str] = EXCLUDED_STATUSES) -> DataFrame:
     """The category, or tied categories, that earned most in each month."""
+    # A product sells in most months, so summing per product and month first
+    # would add an exchange and hardly save a row.
     month = dates.month_of("order_purchase_timestamp").alias("month")
-    sales = _category_sales(items, orders, products, exclude_status, month)
-    return ordered.winners(sales, ["month"], "revenue").orderBy(F.col("month").asc_nulls_last(), "category")
+    monthly = (_sales(items, orders, exclude_status, month).join(_categories(products), "product_id")
+               .groupBy("month", "category").agg(F.sum("price").alias("revenue")))
+    return ordered.winners(monthly, ["month"], "revenue").orderBy(F.col("month").asc_nulls_last(), "category")
 
 
 def cut_line_band(items: DataFrame, orders: DataFrame, sellers: DataFrame,

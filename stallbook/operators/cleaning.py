@@ -28,7 +28,7 @@ def typed_projection(df: DataFrame, table: str, source_names: dict[str, str] | N
     for column in schemas.typed_columns(table):
         source = source_names.get(column.name, column.name)
         value = F.col(source) if source in df.columns else F.lit(None)
-        columns.append(value.cast(column.type).alias(column.name))
+        columns.append(value.cast(column.type).alias(column.name, metadata=column.metadata))
     return df.select(*columns)
 
 

@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallbook import schemas
 from stallbook.functions.vectors import stored_precision
 from stallbook.operators import analytics, embedding, matching, ordered, profiling, quality, search
-from stallbook.plans import retail, star
+from stallbook.plans import profile, retail, star
 from stallbook.sources import csv_files, tables
 from stallbook.sources.shared import new_folder, pinned
 
@@ -392,80 +391,55 @@ def published_orphan_products(spark, folder):
 
 # --- profiling --------------------------------------------------------------------
 
+def _profile(spark, folder, report):
+    return profile.profile(star.landed_tables(spark, folder))[report]
+
+
 @_query
 def key_uniqueness(spark, folder):
-    return profiling.key_uniqueness(star.landed_tables(spark, folder), [
-        ("orders", ["order_id"]), ("customers", ["customer_id"]), ("customers", ["customer_unique_id"]),
-        ("products", ["product_id"]), ("sellers", ["seller_id"]), ("order_reviews", ["review_id"]),
-        ("order_reviews", ["order_id"]), ("order_reviews", ["review_id", "order_id"]),
-        ("order_items", ["order_id", "order_item_id"]), ("order_payments", ["order_id", "payment_sequential"]),
-    ])
+    return _profile(spark, folder, "key_uniqueness")
 
 
 @_query
 def cast_validity(spark, folder):
     """Every typed column of the landed tables, and two columns of another kind:
     numbers inside JSON, all valid, and names, none valid."""
-    landed = star.landed_tables(spark, folder)
-    names = {"order_payments": "payments", "product_category_name_translation": "product_category_translation"}
-    casts = [(table, retail.MISSPELT_COLUMNS.get(column.name, column.name), column.type)
-             for table in schemas.LANDING_COLUMNS
-             for column in schemas.typed_columns(names.get(table, table))
-             if column.type != "string" and column.name != "embedding"]
-    star_tables = tables.read_tables(spark, folder, ["events", "part"])
-    others = {"events": star_tables["events"].select(F.get_json_object("props", "$.k").alias("k")),
-              "part": star_tables["part"].select("p_name")}
-    return profiling.cast_validity({**landed, **others},
-                                   [*casts, ("events", "k", "int"), ("part", "p_name", "int")])
+    given = tables.read_tables(spark, folder, ["events", "part"])
+    others = {"events": given["events"].select(F.get_json_object("props", "$.k").alias("k")),
+              "part": given["part"].select("p_name")}
+    return profiling.cast_validity(ChainMap(others, star.landed_tables(spark, folder)),
+                                   [*profile.casts(), ("events", "k", "int"), ("part", "p_name", "int")])
 
 
 @_query
 def missing_dates_by_status(spark, folder):
-    return profiling.missing_by(star.landed_tables(spark, folder)["orders"], "order_status", {
-        "order_approved_at": "no_approved", "order_delivered_carrier_date": "no_carrier",
-        "order_delivered_customer_date": "no_delivered"})
+    return _profile(spark, folder, "missing_dates_by_status")
 
 
 @_query
 def reviews_per_order(spark, folder):
-    return profiling.group_sizes(star.landed_tables(spark, folder)["order_reviews"], "order_id",
-                                 "reviews_per_order", "how_many_orders")
+    return _profile(spark, folder, "reviews_per_order")
 
 
 @_query
 def rows_per_review_id(spark, folder):
-    return profiling.group_sizes(star.landed_tables(spark, folder)["order_reviews"], "review_id",
-                                 "rows_per_review_id", "how_many_review_ids")
+    return _profile(spark, folder, "rows_per_review_id")
 
 
 @_query
 def orphan_report(spark, folder):
-    return profiling.orphan_report(star.landed_tables(spark, folder), [
-        ("orders", "customer_id", "customers", "customer_id"),
-        ("order_items", "order_id", "orders", "order_id"),
-        ("order_items", "product_id", "products", "product_id"),
-        ("order_items", "seller_id", "sellers", "seller_id"),
-        ("order_payments", "order_id", "orders", "order_id"),
-        ("order_reviews", "order_id", "orders", "order_id"),
-        ("products", "product_category_name", "product_category_name_translation", "product_category_name"),
-        ("customers", "customer_zip_code_prefix", "geolocation", "geolocation_zip_code_prefix"),
-    ])
+    zips = ("customers", "customer_zip_code_prefix", "geolocation", "geolocation_zip_code_prefix")
+    return profiling.orphan_report(star.landed_tables(spark, folder), [*profile.RELATIONS, zips])
 
 
 @_query
 def missing_translations(spark, folder):
-    landed = star.landed_tables(spark, folder)
-    return profiling.missing_lookups(landed["products"], "product_category_name",
-                                     landed["product_category_name_translation"])
+    return _profile(spark, folder, "missing_translations")
 
 
 @_query
 def coverage_gaps(spark, folder):
-    return profiling.coverage_gaps(star.landed_tables(spark, folder), [
-        ("orders", "order_id", "order_items", "order_id"), ("orders", "order_id", "order_reviews", "order_id"),
-        ("orders", "order_id", "order_payments", "order_id"),
-        ("products", "product_id", "order_items", "product_id"),
-    ], [("products", "product_category_name")])
+    return _profile(spark, folder, "coverage_gaps")
 
 
 @_query
@@ -480,9 +454,7 @@ def byte_order_marks(spark, folder):
 
 @_query
 def uncovered_zips(spark, folder):
-    landed = star.landed_tables(spark, folder)
-    return profiling.uncovered_keys(landed["customers"], "customer_zip_code_prefix",
-                                    landed["geolocation"], "geolocation_zip_code_prefix")
+    return _profile(spark, folder, "uncovered_customer_zips")
 
 
 @_query

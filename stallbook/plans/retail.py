@@ -93,9 +93,10 @@ def clean(landed: Mapping[str, DataFrame], dropped: DataFrame | None = None) ->
             HANDOVER_TO_CUSTOMER, F.col("order_status") == DELIVERED)
 
     def order_reviews() -> DataFrame:
-        # The choice is made on the landed text, whose fixed-width form sorts as time.
-        latest = ordered.latest_per_key(kept("order_reviews"), ["order_id"], "review_answer_timestamp")
-        return cleaning.typed_projection(latest, "order_reviews")
+        # The choice is made on the landed text, whose fixed-width form sorts as time,
+        # and before the drop: each order then brings one row to that join.
+        latest = ordered.latest_per_key(landed["order_reviews"], ["order_id"], "review_answer_timestamp")
+        return cleaning.typed_projection(cleaning.drop_rows(latest, once["dropped"], "order_id"), "order_reviews")
 
     def products() -> DataFrame:
         named = lookup_with_fallback(landed["products"], landed[translation],

@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 
 from stallbook.operators import analytics, matching, ordered
+from stallbook.plans import questions
 
 
 def rows(df):
@@ -160,3 +161,10 @@ def test_three_ways_to_find_unmatched_rows(spark):
     assert found(children, "not_in") == ["b"]
     assert found(nulls, "not_in") == []
     assert found(children.limit(0), "not_in") == ["None", "a", "b"]
+
+
+def test_every_question_runs_by_name(typed):
+    assert {name: ask(typed).count() for name, ask in questions.QUESTIONS.items()} == {
+        "late_deliveries": 4, "never_ordered": 1, "monthly_revenue": 5, "category_scores": 0, "seller_ranks": 3,
+        "running_spend": 9, "top_products": 5, "churned": 4, "top_categories": 4, "monthly_top_category": 5,
+        "cut_line_band": 0, "repeat_share": 2, "delay_vs_score": 5}

@@ -18,6 +18,8 @@ def test_row_counts_and_types(typed):
     for name, df in typed.items():
         wanted = {c.name: c.type for c in schemas.typed_columns(name)}
         assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == wanted
+    embedding = schemas.typed_schema("order_reviews")["embedding"]
+    assert embedding.nullable and "not embedded yet" in embedding.metadata["comment"]
 
 
 def test_dateless_delivered_order_goes_with_all_it_has(typed):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stallbook.functions.casts import is_valid
 from stallbook.operators import profiling
+from stallbook.plans import profile
 
 
 def rows(df):
@@ -102,3 +103,10 @@ def test_attribute_multiplicity(landed):
     found = profiling.attribute_multiplicity(landed["customers"], "customer_unique_id",
                                              ["customer_zip_code_prefix", "customer_state"])
     assert rows(found) == [(7, 1, 0, 3)]
+
+
+def test_profile_runs_every_report(landed):
+    reports = {name: df.collect() for name, df in profile.profile(landed).items()}
+    assert len(reports) == 12 and all(reports.values())
+    assert len(reports["cast_validity"]) == len(profile.casts()) == 27
+    assert {r["bad"] for r in reports["cast_validity"]} == {0}

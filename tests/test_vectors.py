@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stallbook.functions import vectors
 from stallbook.operators import embedding, search
+from stallbook.plans import embed_reviews, questions
 
 SCHEMA = "order_id string, embedding array<float>"
 
@@ -27,7 +28,7 @@ def test_nearest_leaves_out_rows_without_a_distance(spark):
                                 ("zero", [0.0, 0.0]), ("short", [1.0])], SCHEMA)
     assert [r[0] for r in rows(search.nearest(df, "seed", k=5))] == ["seed", "near", "far"]
     assert [r[0] for r in rows(search.nearest(df, "seed", k=2))] == ["seed", "near"]
-    assert [r[0] for r in rows(search.nearest(df, "seed", k=5, metric="l2"))] == ["seed", "near", "zero", "far"]
+    assert [r[0] for r in rows(search.nearest(df, "seed", k=5, metric="l2"))] == ["seed", "zero", "near", "far"]
     assert rows(search.nearest(df, "none", k=5)) == []
     assert rows(search.nearest(df, "unknown", k=5)) == []
 
@@ -60,19 +61,13 @@ def test_pending(spark):
 
 def test_embedding_goes_on_until_nothing_is_left(spark, typed, tmp_path):
     path = str(tmp_path / "vectors")
-    spark.createDataFrame([], SCHEMA).write.parquet(path)
-    model, seen = embedding.hashed_tokens(), []
-    for _ in range(4):
-        stored = spark.read.parquet(path)
-        todo = embedding.pending(typed["order_reviews"], stored, limit=2)
-        new = embedding.embed(todo, model)
-        embedding.append_vectors(new, path)
-        seen.append(spark.read.parquet(path).count())
-    assert seen == [2, 4, 4, 4]
-    read = embedding.with_embedding(typed["order_reviews"], spark.read.parquet(path))
+    reviews = typed["order_reviews"]
+    assert [embed_reviews.embed_reviews(reviews, path, limit=2) for _ in range(4)] == [2, 4, 4, 4]
+    read = embedding.with_embedding(reviews, embed_reviews.read_vectors(spark, path))
     assert read.count() == 7 and embedding.embedded_count(read).first()[0] == 4
     # Orders 4 and 5 carry the same text, so each is the other's nearest.
-    assert {r["order_id"] for r in search.nearest(read, "o4", k=2).collect()} == {"o4", "o5"}
+    found = rows(questions.nearest_reviews(read, "o4", k=2))
+    assert found == [("r7", "very good product and seller")] * 2
 
 
 def test_embed_batches_rounds_and_checks(spark):

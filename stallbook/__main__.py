@@ -2,20 +2,25 @@
 
     python -m stallbook build --csv RAW --root SHOP
     python -m stallbook ask monthly_revenue --root SHOP
+
+``build`` expects the published snapshot; ``--expect`` names a JSON file with
+other numbers, as fields of ``retail.Expectations``.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from stallbook.plans import embed_reviews, profile, questions, retail
 from stallbook.operators.embedding import SAMPLE_SIZE, with_embedding
+from stallbook.plans import embed_reviews, profile, questions, retail
 from stallbook.sources import csv_files, tables
 
 
-def _arguments() -> argparse.Namespace:
+def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="stallbook")
     jobs = parser.add_subparsers(dest="job", required=True)
 
@@ -25,19 +30,28 @@ def _arguments() -> argparse.Namespace:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
-    for name, options in (("build", ("csv", "root")), ("profile", ("csv",))):
-        job(name, *options).add_argument("--pattern", default="{table}.csv")
+    build = job("build", "csv", "root")
+    build.add_argument("--expect")
+    for sub in (build, job("profile", "csv")):
+        sub.add_argument("--pattern", default="{table}.csv")
     job("ask", "root").add_argument("question", choices=sorted(questions.QUESTIONS))
     job("embed", "root", "vectors").add_argument("--limit", type=int, default=SAMPLE_SIZE)
     job("nearest", "root", "vectors").add_argument("seed_order")
-    return parser.parse_args()
+    return parser.parse_args(words)
+
+
+def _expectations(path: str | None) -> retail.Expectations:
+    if path is None:
+        return retail.Expectations()
+    with open(path, encoding="utf-8") as file:
+        return retail.Expectations(**json.load(file))
 
 
-def main() -> None:
-    args = _arguments()
+def main(words: Sequence[str] | None = None) -> None:
+    args = _arguments(words)
     spark = SparkSession.builder.appName(f"stallbook {args.job}").getOrCreate()
     if args.job == "build":
-        retail.build_from_csv(spark, args.csv, args.root, pattern=args.pattern)
+        retail.build_from_csv(spark, args.csv, args.root, _expectations(args.expect), args.pattern)
     elif args.job == "profile":
         for name, report in profile.profile(csv_files.land(spark, args.csv, args.pattern)).items():
             print(name)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from stallbook.operators.embedding import SAMPLE_SIZE, with_embedding
+from stallbook.operators.embedding import SAMPLE_SIZE
 from stallbook.plans import embed_reviews, profile, questions, retail
 from stallbook.sources import csv_files, tables
 
@@ -63,8 +63,8 @@ def main(words: Sequence[str] | None = None) -> None:
         elif args.job == "embed":
             print(embed_reviews.embed_reviews(typed["order_reviews"], args.vectors, limit=args.limit))
         else:
-            reviews = with_embedding(typed["order_reviews"], embed_reviews.read_vectors(spark, args.vectors))
-            questions.nearest_reviews(reviews, args.seed_order).show(truncate=False)
+            vectors = embed_reviews.read_vectors(spark, args.vectors)
+            questions.nearest_reviews(typed["order_reviews"], vectors, args.seed_order).show(truncate=False)
 
 
 if __name__ == "__main__":

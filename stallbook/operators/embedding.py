@@ -42,11 +42,15 @@ def pending(reviews: DataFrame, vectors: DataFrame, key: str = "order_id", text:
     """The first ``limit`` rows by key with a text worth embedding and no vector yet.
 
     ``limit=None`` takes them all. A rerun goes on where the last one stopped.
+    The sample is chosen by key alone, so that the texts of all the other rows
+    need not be shuffled to find it.
     """
     embedded = vectors.where(F.col("embedding").isNotNull()).select(key).distinct()
-    waiting = (reviews.where(F.col(text).isNotNull() & (F.length(text) >= min_len))
-               .select(key, text).join(embedded, key, "left_anti"))
-    return sample_in_order(waiting, key, limit)
+    worthwhile = reviews.where(F.col(text).isNotNull() & (F.length(text) >= min_len)).select(key, text)
+    if limit is None:
+        return worthwhile.join(embedded, key, "left_anti")
+    chosen = sample_in_order(worthwhile.select(key).join(embedded, key, "left_anti"), key, limit)
+    return sample_in_order(worthwhile.join(chosen, key, "left_semi"), key, limit)
 
 
 def embed(df: DataFrame, model: Model, key: str = "order_id", text: str = "review_comment_message",

@@ -135,6 +135,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return top_per_group(df, keys, latest_first, 1, "_position").drop("_position")
 
 
-def sample_in_order(df: DataFrame, key: str, limit: int | None) -> DataFrame:
+def sample_in_order(df: DataFrame, key: str, limit: int) -> DataFrame:
     """The first ``limit`` rows by ``key``: the same sample every time."""
-    return df if limit is None else df.orderBy(F.col(key).asc_nulls_last()).limit(limit)
+    return df.orderBy(F.col(key).asc_nulls_last()).limit(limit)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stallbook.operators import analytics as a
 from stallbook.operators import search
+from stallbook.operators.matching import with_partner
 
 Question = Callable[[Mapping[str, DataFrame]], DataFrame]
 
@@ -28,8 +30,13 @@ QUESTIONS: dict[str, Question] = {
 }
 
 
-def nearest_reviews(reviews: DataFrame, seed_order: str, k: int = 5, metric: str = "cosine") -> DataFrame:
-    """The reviews most like the one of ``seed_order``; the seed comes first."""
-    found = search.nearest(reviews.select("order_id", "review_id", "review_comment_message", "embedding"),
-                           seed_order, k, metric)
-    return found.orderBy("distance", "order_id").select("review_id", "review_comment_message")
+def nearest_reviews(reviews: DataFrame, vectors: DataFrame, seed_order: str,
+                    k: int = 5, metric: str = "cosine") -> DataFrame:
+    """The reviews most like the one of ``seed_order``; the seed comes first.
+
+    The vectors are searched alone; only the ``k`` found fetch their text.
+    """
+    found = search.nearest(with_partner(vectors, reviews, "order_id"), seed_order, k, metric)
+    texts = reviews.select("order_id", "review_id", "review_comment_message")
+    return (texts.join(F.broadcast(found.select("order_id", "distance")), "order_id")
+            .orderBy("distance", "order_id").select("review_id", "review_comment_message"))

@@ -66,7 +66,7 @@ def test_embedding_goes_on_until_nothing_is_left(spark, typed, tmp_path):
     read = embedding.with_embedding(reviews, embed_reviews.read_vectors(spark, path))
     assert read.count() == 7 and embedding.embedded_count(read).first()[0] == 4
     # Orders 4 and 5 carry the same text, so each is the other's nearest.
-    found = rows(questions.nearest_reviews(read, "o4", k=2))
+    found = rows(questions.nearest_reviews(reviews, embed_reviews.read_vectors(spark, path), "o4", k=2))
     assert found == [("r7", "very good product and seller")] * 2
 
 
@@ -88,6 +88,25 @@ def test_embed_batches_rounds_and_checks(spark):
         embedding.embed(texts, one_short, dim=2).collect()
 
 
+def test_a_vector_without_its_review_takes_no_place(spark):
+    vectors_ = spark.createDataFrame([("a", [1.0, 0.0]), ("gone", [1.0, 0.0]), ("b", [0.0, 1.0])], SCHEMA)
+    reviews = spark.createDataFrame([("a", "r1", "x"), ("b", "r2", None)], "order_id string, review_id string, review_comment_message string")
+    assert rows(questions.nearest_reviews(reviews, vectors_, "a", k=2)) == [("r1", "x"), ("r2", None)]
+
+
+def test_sample_shuffles_keys_only(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        known = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumnRenamed("vec_id", "doc_id")
+        found = embedding.pending(documents, known, key="doc_id", text="text", limit=5)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    anti = plan[plan.index("LeftAnti"):]
+    assert "Project [doc_id" in anti and "LeftSemi" in plan
+
+
 def test_hashed_tokens_is_deterministic_and_unit():
     model = embedding.hashed_tokens(64)
     a, b, empty = model(["Bom produto", "bom PRODUTO!", "?!"])

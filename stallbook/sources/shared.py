@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,20 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="stallbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting: there, and nowhere else,
-    a temporary folder is visible to every task.
+    a temporary folder is visible to every task. Nothing is removed from the
+    folder: a DataFrame may still read it.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stallbook-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder(spark.conf.get("spark.app.id"))
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -314,6 +314,14 @@ def oracle_sql() -> dict[str, str]:
     pending = ("SELECT doc_id, {0} FROM documents WHERE length(text) >= 20 "
                "AND doc_id NOT IN (SELECT vec_id FROM embeddings)")
 
+    timing = f"""
+        SELECT CASE WHEN late < -7 THEN 'a. 8+ days early' WHEN late < 0 THEN 'b. 1-7 days early'
+                    WHEN late = 0 THEN 'c. on the estimated day' WHEN late <= 7 THEN 'd. 1-7 days late'
+                    ELSE 'e. 8+ days late' END AS delivery_timing,
+               count(*) AS orders, {_mean2('sum(score)', 'count(*)')} AS avg_review_score,
+               ((2000 * count(*) FILTER (WHERE score = 1) + count(*)) // (2 * count(*))) / 10.0 AS pct_one_star
+        FROM ({{}}) GROUP BY 1"""
+
     bodies = {
         # analytics
         "late_deliveries": """
@@ -324,6 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "unmatched_not_exists": childless + " WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
         "unmatched_not_in": childless + " WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
         "unmatched_left_null": childless + " LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE l_orderkey IS NULL",
+        "unlabelled_documents": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "never_ordered_products": "SELECT p_partkey AS product_id FROM part ANTI JOIN lineitem ON l_partkey = p_partkey",
         "monthly_revenue": """
             SELECT CAST(date_trunc('month', o_orderdate)::DATE AS VARCHAR) AS months,
@@ -387,13 +396,12 @@ def oracle_sql() -> dict[str, str]:
                    ((20000 * customers + everyone) // (2 * everyone)) / 100.0 AS pct_of_customers,
                    ((2 * cents + num_orders) // (2 * num_orders)) / 100.0 AS avg_order_value
             FROM k, (SELECT CAST(count(*) AS BIGINT) AS everyone FROM p)""",
-        "delay_vs_score": f"""
-            SELECT CASE WHEN late < -7 THEN 'a. 8+ days early' WHEN late < 0 THEN 'b. 1-7 days early'
-                        WHEN late = 0 THEN 'c. on the estimated day' WHEN late <= 7 THEN 'd. 1-7 days late'
-                        ELSE 'e. 8+ days late' END AS delivery_timing,
-                   count(*) AS orders, {_mean2('sum(score)', 'count(*)')} AS avg_review_score,
-                   ((2000 * count(*) FILTER (WHERE score = 1) + count(*)) // (2 * count(*))) / 10.0 AS pct_one_star
-            FROM (SELECT arrived - promised AS late, score FROM arrived_v WHERE o_orderstatus = 'F') GROUP BY 1""",
+        "delay_vs_score": timing.format(
+            "SELECT arrived - promised AS late, score FROM arrived_v WHERE o_orderstatus = 'F'"),
+        "shipment_delay_vs_score": timing.format(
+            "SELECT l_shipdate::DATE - (o_orderdate::DATE + 30) AS late, CAST(o_orderpriority[1] AS INT) AS score "
+            "FROM (SELECT DISTINCT l_orderkey, l_shipdate FROM lineitem) JOIN orders ON o_orderkey = l_orderkey "
+            "WHERE o_orderstatus = 'F'"),
         # vectors and embedding
         "nearest_cosine": nearest.format("array_cosine_distance"),
         "nearest_l2": nearest.format("array_distance"),
@@ -446,6 +454,11 @@ def oracle_sql() -> dict[str, str]:
                 ("orders", "customer_id", "customers"), ("order_items", "order_id", "orders"),
                 ("order_items", "product_id", "products"), ("order_items", "seller_id", "sellers"),
                 ("payments", "order_id", "orders"), ("order_reviews", "order_id", "orders")]]),
+        "dropped_reference_report": _all([
+            _check("reference", f"landed_{t}.{k} -> orders",
+                   f"SELECT count(*) FROM {_STAR_OF[t]} WHERE {c} IN (SELECT dropped FROM dropped_v)")
+            for t, k, c in [("order_items", "order_id", "l_orderkey"), ("order_payments", "order_id", "l_orderkey"),
+                            ("order_reviews", "order_id", "l_orderkey"), ("customers", "customer_id", "o_orderkey")]]),
         "row_rule_report": _all(_rules(_BROKEN)),
         "reported_rule_counts": 'SELECT * REPLACE (\'any\' AS expected, true AS passed) FROM (\n'
                                 + _all(_rules(_REPORTED)) + ")",

@@ -75,6 +75,12 @@ def unmatched_left_null(spark, folder):
     return _childless_orders(spark, folder, "left_null")
 
 
+@_query
+def unlabelled_documents(spark, folder):
+    given = tables.read_tables(spark, folder, ["documents", "labels"])
+    return matching.unmatched(given["documents"].select("doc_id", "lang"), given["labels"], "doc_id")
+
+
 @_query
 def never_ordered_products(spark, folder):
     t = star.typed_tables(spark, folder)
@@ -153,6 +159,20 @@ def delay_vs_score(spark, folder):
     return analytics.delay_vs_score(t["arrived_orders"], t["order_reviews"], delivered=star.DELIVERED)
 
 
+@_query
+def shipment_delay_vs_score(spark, folder):
+    """Each day an order ships on as a delivery, which fills all five timings.
+
+    The lines of a day are one delivery, so an order with most of the lines
+    brings no more rows than there are days.
+    """
+    t = star.typed_tables(spark, folder)
+    shipped = t["order_items"].select(
+        "order_id", F.col("shipping_limit_date").alias("order_delivered_customer_date")).distinct()
+    return analytics.delay_vs_score(shipped.join(t["orders"], "order_id"), t["order_reviews"],
+                                    delivered=star.DELIVERED)
+
+
 # --- vectors and embedding ------------------------------------------------------
 
 def _vectors(spark, folder):
@@ -345,6 +365,18 @@ def reference_report(spark, folder):
     return _report(spark, folder, quality.references())
 
 
+@_query
+def dropped_reference_report(spark, folder):
+    """References from the landed rows to the cleaned orders: what the drop would have orphaned."""
+    landed = _landed(spark, folder)
+    typed = retail.clean(landed)
+    children = ["order_items", "order_payments", "order_reviews", "customers"]
+    found = {f"landed_{name}": landed[name] for name in children}
+    return quality.run_checks({**found, "orders": typed["orders"]}, [
+        quality.Reference(name, "customer_id" if name == "landed_customers" else "order_id", "orders")
+        for name in found])
+
+
 @_query
 def row_rule_report(spark, folder):
     return _report(spark, folder, quality.row_rules())

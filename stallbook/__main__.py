@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from stallbook.operators.embedding import SAMPLE_SIZE
 from stallbook.plans import embed_reviews, profile, questions, retail
-from stallbook.sources import csv_files, tables
+from stallbook.sources import tables
 
 
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
@@ -53,7 +53,7 @@ def main(words: Sequence[str] | None = None) -> None:
     if args.job == "build":
         retail.build_from_csv(spark, args.csv, args.root, _expectations(args.expect), args.pattern)
     elif args.job == "profile":
-        for name, report in profile.profile(csv_files.land(spark, args.csv, args.pattern)).items():
+        for name, report in profile.profile(retail.land_once(spark, args.csv, args.pattern)).items():
             print(name)
             report.show(200, truncate=False)
     else:

@@ -67,18 +67,21 @@ def hot_groups(weights: DataFrame, by: str, weight: str) -> list:
     before anything is shuffled.
     """
     largest = (weights.groupBy(by).agg(F.sum(weight).alias("_rows"))
-               .where((F.col("_rows") > ROWS_PER_TASK) & F.col(by).isNotNull())
+               .where(F.col("_rows") > ROWS_PER_TASK)
                .orderBy(F.desc("_rows")).limit(MAX_HOT_GROUPS))
     return [row[0] for row in largest.select(by).collect()]
 
 
 def running_sum(df: DataFrame, by: str, order: Sequence[Column], value: str, out: str,
                 hot: Sequence = ()) -> DataFrame:
-    """Running sum of ``value`` per ``by`` group; the ``hot`` groups are split."""
+    """Running sum of ``value`` per ``by`` group; the ``hot`` groups are split.
+
+    ``None`` in ``hot`` stands for the group of the NULLs.
+    """
     rows = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not hot:
         return df.withColumn(out, F.sum(value).over(rows))
-    is_hot = F.coalesce(F.col(by).isin(*hot), F.lit(False))
+    is_hot = F.coalesce(F.col(by).isin([h for h in hot if h is not None]), F.lit(None in hot))
     usual = df.where(~is_hot).withColumn(out, F.sum(value).over(rows))
     return usual.unionByName(split_running_sum(df.where(is_hot), [by], order, value, out))
 

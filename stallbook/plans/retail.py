@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
@@ -180,12 +180,22 @@ def build(landed: Mapping[str, DataFrame], root: str, expected: Expectations,
                          lambda typed: quality.enforce(typed_report(typed, landed, wanted, dropped)))
 
 
-def build_from_csv(spark: SparkSession, folder: str, root: str, expected: Expectations | None = None,
-                   pattern: str = "{table}.csv", files: dict[str, str] | None = None) -> Mapping[str, DataFrame]:
-    """The whole job, from a folder of raw CSV files to published tables.
+def land_once(spark: SparkSession, folder: str, pattern: str = "{table}.csv",
+              files: dict[str, str] | None = None) -> tables.Tables:
+    """The raw tables, each converted to Parquet when first used.
 
-    The text is converted to Parquet once: the gates and the cleaning read it
-    several times, and a CSV with line breaks cannot be split.
+    Reports, gates and cleaning read them many times, a few columns at a time;
+    text would be parsed whole every time, by one task per file with line breaks.
     """
-    landed = {name: pinned(df) for name, df in csv_files.land(spark, folder, pattern, files).items()}
-    return build(landed, root, expected or Expectations())
+    raw = csv_files.land(spark, folder, pattern, files)
+
+    def maker(name: str) -> Callable[[], DataFrame]:
+        return lambda: pinned(raw[name])
+
+    return tables.Tables({name: maker(name) for name in raw})
+
+
+def build_from_csv(spark: SparkSession, folder: str, root: str, expected: Expectations | None = None,
+                   pattern: str = "{table}.csv", files: dict[str, str] | None = None) -> Mapping[str, DataFrame]:
+    """The whole job, from a folder of raw CSV files to published tables."""
+    return build(land_once(spark, folder, pattern, files), root, expected or Expectations())

@@ -43,15 +43,18 @@ def test_split_running_sum_without_groups(spark):
             == _sorted(df.withColumn("s", F.sum("v").over(w)), columns))
 
 
-def test_only_hot_groups_are_split(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 150)
-    df = _data(spark, 5, 6)
+@pytest.mark.parametrize("limit,groups", [(150, 6), (40, 8)])
+def test_only_hot_groups_are_split(spark, monkeypatch, limit, groups):
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", limit)
+    df = _data(spark, 5, groups)
+    sizes = {r["g"]: r["count"] for r in df.groupBy("g").count().collect()}
     hot = ordered.hot_groups(df.withColumn("one", F.lit(1)), "g", "one")
-    assert hot == ["hot"]
+    assert set(hot) == {g for g, n in sizes.items() if n > limit} and 0 < len(hot) < len(sizes)
     order = [F.col("t").asc(), F.col("id").asc()]
     columns = [*df.columns, "s"]
-    assert (_sorted(ordered.running_sum(df, "g", order, "v", "s", hot), columns)
-            == _sorted(ordered.running_sum(df, "g", order, "v", "s"), columns))
+    for split in (hot, [*hot, None], [None], ["hot", "absent"]):
+        assert (_sorted(ordered.running_sum(df, "g", order, "v", "s", split), columns)
+                == _sorted(ordered.running_sum(df, "g", order, "v", "s"), columns))
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])

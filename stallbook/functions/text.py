@@ -20,7 +20,8 @@ def has_byte_order_mark(text: Column | str) -> Column:
 
 def report_line(check: Column | str, subject: Column | str,
                 expected: Column | str, actual: Column | str) -> Column:
-    """One readable line per check, subjects padded to a common width."""
+    """One readable line per check, shorter subjects padded to a common width."""
     subject = F.col(subject) if isinstance(subject, str) else subject
+    width = F.greatest(F.length(subject), F.lit(48))  # rpad would cut a longer one
     return F.format_string("%s %s expected %s, got %d",
-                           check, F.rpad(subject, 48, " "), expected, actual)
+                           check, F.rpad(subject, width, F.lit(" ")), expected, actual)

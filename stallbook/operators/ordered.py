@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from stallbook.sources.shared import pinned
 
-# One task sorts and scans this many rows in seconds.
-ROWS_PER_TASK = 1_000_000
+# One task sorts and scans this many rows in about a second.
+ROWS_PER_TASK = 250_000
 
 # Hot groups are named in the plan, so their number is bounded; groups beyond
 # it keep the ordinary window, which is slower but just as right.

@@ -465,9 +465,9 @@ def oracle_sql() -> dict[str, str]:
         "not_null_report": _all([_check("not_null", f"{t}.{c}", _rows(t + "_c", f"{c} IS NULL"))
                                  for t, columns in _REQUIRED.items() for c in columns.split()]),
         "cleaning_report": _all(_CLEANING),
-        "failed_checks": 'SELECT "check" || \' \' || rpad(subject, 48, \' \') || \' expected \' || expected '
-                         "|| ', got ' || actual AS line FROM (\n" + _all(_UNIQUE + _rules(_BROKEN))
-                         + ") WHERE NOT passed",
+        "failed_checks": 'SELECT "check" || \' \' || rpad(subject, CAST(greatest(48, length(subject)) AS INT), \' \') '
+                         "|| ' expected ' || expected || ', got ' || actual AS line FROM (\n"
+                         + _all(_UNIQUE + _rules(_BROKEN)) + ") WHERE NOT passed",
         "published_row_counts": _all([f"SELECT '{t}' AS subject, count(*) AS actual FROM {t}_c" for t in _TYPED]),
         "published_orphan_products": """
             SELECT product_id FROM products_c WHERE product_id NOT IN (SELECT product_id FROM order_items_c)""",

@@ -39,6 +39,13 @@ def test_wrong_count_stops_the_job_before_publishing(spark, landed, tmp_path):
         tables.current_version(spark, str(tmp_path / "shop"))
 
 
+def test_a_long_subject_is_not_cut(typed, landed):
+    wrong = retail.Expectations(landed_rows={}, typed_rows={}, fallback_products=7, undelivered_orders=3, imputed_orders=1)
+    lines = quality.failures(retail.typed_report(typed, landed, retail.cleaning_checks(wrong))).collect()
+    assert [r["line"] for r in lines] == [
+        "reference products.product_category_name -> product_category_translation expected 7, got 1"]
+
+
 def test_landing_gate(spark, landed, tmp_path):
     with pytest.raises(quality.QualityError, match="customers"):
         retail.build(landed, str(tmp_path), retail.Expectations(landed_rows={"customers": 12}))

@@ -86,8 +86,7 @@ def seller_ranks(sellers: DataFrame, items: DataFrame) -> DataFrame:
     one_task = ordered.fits_one_task(sellers)
     if not one_task:
         revenue = pinned(revenue)
-    ranked = ordered.with_rank(revenue, [], "total_revenue", "overall_rank", one_task)
-    ranked = ordered.with_rank(ranked, ["seller_state"], "total_revenue", "state_rank", one_task)
+    ranked = ordered.with_ranks(revenue, "total_revenue", {"overall_rank": [], "state_rank": ["seller_state"]}, one_task)
     return ranked.orderBy("overall_rank", "seller_id")
 
 
@@ -103,7 +102,7 @@ def running_spend(orders: DataFrame, customers: DataFrame, payments: DataFrame)
     if hot:
         spend = pinned(spend)  # read for the hot persons and again for the others
     return (ordered.running_sum(spend, "customer_unique_id", in_time, "order_total", "running_total", hot)
-            .orderBy("customer_unique_id", *in_time)
+            .orderBy(F.col("customer_unique_id").asc_nulls_last(), *in_time)
             .select("customer_unique_id", "order_purchase_timestamp", "order_total", "running_total"))
 
 

@@ -8,7 +8,7 @@ sums inside each range, and carries the earlier ranges' totals over.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -43,8 +43,9 @@ def _same(columns: Sequence[str]) -> Column:
 def split_running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the rows of a ``by`` group up to and including this one.
 
-    ``order`` must not tie within a group. No task gets more than one range.
-    The ranges are pinned, because two evaluations could cut them differently.
+    ``order`` must not tie within a group. Windows span one range, never a
+    whole group; there are as many ranges as shuffle partitions. The ranges are
+    pinned, because two evaluations could cut them differently.
     """
     cut = df.repartitionByRange(*[F.col(c) for c in by], *order)
     ranges = pinned(cut.withColumn("_range", F.spark_partition_id()))
@@ -97,18 +98,23 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataF
     return upto.select(*by, value, (F.col("_upto") - F.col("_n") + 1).alias(out))
 
 
-def with_rank(df: DataFrame, by: Sequence[str], value: str, out: str, one_task: bool) -> DataFrame:
-    """``df`` with the SQL ``RANK`` of ``value``, largest first, per ``by`` group.
+def with_ranks(df: DataFrame, value: str, ranks: Mapping[str, Sequence[str]], one_task: bool) -> DataFrame:
+    """``df`` with the SQL ``RANK`` of ``value``, largest first, once per entry of
+    ``ranks``: the new column and the group it ranks within (none: all rows).
 
-    ``one_task`` says that all of ``df`` fits one task; a plain window is then
-    cheaper than splitting. Without it, ``df`` is read twice: pin it first.
+    ``one_task`` says that all of ``df`` fits one task; plain windows are then
+    cheaper than splitting. Without it, ``df`` is read repeatedly: pin it first.
     """
-    if one_task:
-        ranked = F.rank().over(Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_first()))
-        return df.withColumn(out, ranked.cast("long"))
-    key = [*by, value]
-    ranks = _renamed(value_ranks(df, by, value, out), key)
-    return df.join(ranks, _same(key)).select(*df.columns, out)
+    ranked = df
+    for out, by in ranks.items():
+        if one_task:
+            place = F.rank().over(Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_first()))
+            ranked = ranked.withColumn(out, place.cast("long"))
+        else:
+            key = [*by, value]
+            found = _renamed(value_ranks(df, by, value, out), key)
+            ranked = ranked.join(found, _same(key)).select(*ranked.columns, out)
+    return ranked
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, position: str = "position") -> DataFrame:

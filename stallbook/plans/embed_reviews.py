@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,5 +27,9 @@ def embed_reviews(reviews: DataFrame, path: str, model: embedding.Model | None =
     """Embed the next ``limit`` reviews that need it; returns how many have a vector now."""
     spark = reviews.sparkSession
     todo = embedding.pending(reviews, read_vectors(spark, path), limit=limit)
+    if limit is not None:
+        # A sorted sample is one partition: deal it out, so that calls run side by side.
+        calls = ceil(limit / embedding.TEXTS_PER_CALL)
+        todo = todo.repartition(max(1, min(calls, spark.sparkContext.defaultParallelism)))
     embedding.append_vectors(embedding.embed(todo, model or embedding.hashed_tokens(dim), dim=dim), path)
     return embedding.embedded_count(read_vectors(spark, path)).first()["embedded"]

@@ -61,8 +61,8 @@ def test_only_hot_groups_are_split(spark, monkeypatch, limit, groups):
 def test_split_rank_equals_window_rank(spark, by):
     df = _data(spark, 6, 4)
     columns = [*df.columns, "r"]
-    assert (_sorted(ordered.with_rank(df, by, "v", "r", one_task=False), columns)
-            == _sorted(ordered.with_rank(df, by, "v", "r", one_task=True), columns))
+    assert (_sorted(ordered.with_ranks(df, "v", {"r": by}, one_task=False), columns)
+            == _sorted(ordered.with_ranks(df, "v", {"r": by}, one_task=True), columns))
 
 
 def test_winners_keep_ties(spark):

@@ -20,8 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting: there, and nowhere else,
-    a temporary folder is visible to every task. Nothing is removed from the
-    folder: a DataFrame may still read it.
+    a temporary folder is visible to every task.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
@@ -32,7 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid4().hex}"
+    """A path in the shared folder for results that live as long as the driver.
+
+    DataFrames may read it until then, so it goes when the driver ends.
+    """
+    parent = f"{shared_folder(spark)}/{purpose}-{uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{parent}/data"
 
 
 def pinned(df: DataFrame) -> DataFrame:

@@ -185,7 +185,7 @@ def land_once(spark: SparkSession, folder: str, pattern: str = "{table}.csv",
     """The raw tables, each converted to Parquet when first used.
 
     Reports, gates and cleaning read them many times, a few columns at a time;
-    text would be parsed whole every time, by one task per file with line breaks.
+    text would be parsed whole every time.
     """
     raw = csv_files.land(spark, folder, pattern, files)
 

@@ -4,37 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook import schemas
 from stallbook.sources.tables import Tables
 
 # A value that cannot occur in UTF-8 text files: with it as the NULL marker an
 # empty unquoted field becomes NULL and a quoted "" stays an empty string.
-_NULL_MARKER = "\u0001"
+_OPTIONS = {"escape": '"', "nullValue": "\u0001", "emptyValue": "", "mode": "FAILFAST"}
 
-# Only free text holds line breaks. Reading records across lines makes a file
-# unsplittable, so every other table is read line by line, in parallel.
+# Only free text holds line breaks; the other tables have one line per record.
 TABLES_WITH_LINE_BREAKS = frozenset({"order_reviews"})
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema, line_breaks: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, line_breaks: bool = False) -> DataFrame:
     """A CSV with a header, as declared columns.
 
     The header is skipped unread, and with it a byte order mark. Quotes inside
     a quoted field are doubled; CRLF line ends are accepted. With
-    ``line_breaks`` a quoted field may span lines, at the price of one task per
-    file: land such a table as many files.
+    ``line_breaks`` a quoted field may span lines.
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("encoding", "UTF-8")
-            .option("escape", '"')
-            .option("multiLine", line_breaks)
-            .option("nullValue", _NULL_MARKER)
-            .option("emptyValue", "")
-            .option("mode", "FAILFAST")
-            .csv(path))
+    if not line_breaks:
+        return spark.read.schema(schema).options(header=True, encoding="UTF-8", **_OPTIONS).csv(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return _records(spark, path).select(F.from_csv("record", F.lit(columns), _OPTIONS).alias("row")).select("row.*")
+
+
+def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The records of CSV files in which quoted fields span lines, as text.
+
+    Spark's own reader takes such a file in one task. Here the lines are read
+    in parallel and put together: a line continues a record when the number of
+    quotes before it in the file is odd. They are counted inside each block of
+    the file; what came before a block is a sum over one row per block.
+    """
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"), "value")
+             .withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))))
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("before", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
+
+    # How many records a block starts depends on whether one is open at its
+    # beginning, so both numbers are taken.
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (counted.groupBy("file", "block")
+              .agg(F.sum("quotes").alias("quotes"), F.count_if(F.col("before") % 2 == 0).alias("if_closed"),
+                   F.count_if(F.col("before") % 2 == 1).alias("if_open"))
+              .withColumn("carried", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
+              .withColumn("starts", F.when(F.col("carried") % 2 == 0, F.col("if_closed")).otherwise(F.col("if_open")))
+              .select(F.col("file").alias("of_file"), F.col("block").alias("of_block"), "carried",
+                      F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records")))
+
+    # Lines and blocks are read separately. Should Spark cut the files anew in
+    # between, as a growing cluster may make it, the job must not go on.
+    carried = F.coalesce("carried", F.raise_error(F.lit("the files were split differently when read again")))
+    starts = F.when((F.col("before") + carried) % 2 == 0, 1).otherwise(0)
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same_block = (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block"))
+    numbered = (counted.join(blocks, same_block, "left")
+                .withColumn("number", F.col("records") + F.sum(starts).over(upto)))
+    # The first record of each file is its header.
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    text = F.array_join(F.transform(parts, lambda part: part["value"]), "\n")
+    return (numbered.where(F.col("number") > 1)
+            .groupBy("file", "number").agg(F.regexp_replace(text, "\r$", "").alias("record"))
+            .where(F.col("record") != "").select("record"))
 
 
 def land(spark: SparkSession, folder: str, pattern: str = "{table}.csv",

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import types as T
 
 import shop
@@ -39,12 +42,48 @@ def test_file_names_are_parameters(spark, raw_folder, tmp_path):
 
 def test_csv_round_trip(spark, tmp_path):
     rows = [("a", None), ("", "x,y"), ('"q"', "two\nlines"), ("back\\slash", " padded ")]
-    schema = "a string, b string"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "ab"])
     csv_files.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "t"))
     back = csv_files.read_csv(spark, str(tmp_path / "t"), schema, line_breaks=True)
     assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
 
 
+def test_records_across_lines_and_blocks(spark, tmp_path):
+    """Files cut into many blocks give the records one sequential reader finds."""
+    rng = random.Random(3)
+    words = ["a", "b,c", 'say ""x""', "line\nbreak", "two\n\nbreaks", "cr\r\nlf", "", "é"]
+    wanted = []
+    for n in range(3):
+        with open(tmp_path / f"part{n}.csv", "w", encoding="utf-8", newline="") as file:
+            file.write('\ufeff"id ""of""\nrow",text\r\n')
+            for i in range(400):
+                text = " ".join(rng.choices(words, k=rng.randrange(0, 30)))
+                if i % 7 == 0:
+                    file.write(f"{n}-{i},\r\n")
+                    wanted.append((f"{n}-{i}", None))
+                else:
+                    file.write(f'{n}-{i},"{text}"\r\n')
+                    wanted.append((f"{n}-{i}", text.replace('""', '"')))
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType())])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = csv_files.read_csv(spark, str(tmp_path / "part*.csv"), schema, line_breaks=True)
+        assert spark.read.text(str(tmp_path / "part*.csv")).rdd.getNumPartitions() > 30
+        rows = sorted(map(tuple, found.collect()), key=lambda r: r[0])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows == sorted(wanted, key=lambda r: r[0])
+
+
+def test_a_record_with_a_missing_field_fails(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2\n')
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    with pytest.raises(Exception, match="MALFORMED"):
+        csv_files.read_csv(spark, str(tmp_path / "t.csv"), schema, line_breaks=True).collect()
+
+
 def test_json_rows_and_array(spark):
     df = spark.createDataFrame([(1, "a\nb"), (2, None)], "id int, msg string")
     assert {r["json"] for r in tables.json_rows(df).collect()} == {'{"id":1,"msg":"a\\nb"}', '{"id":2}'}

@@ -20,18 +20,27 @@ def typed_projection(df: DataFrame, table: str, source_names: dict[str, str] | N
     """Cast landed text to the declared columns of ``table``.
 
     ``source_names`` maps a typed column to a landed column spelt differently.
-    A declared column that was never landed becomes NULL. Under ANSI a value
-    that does not parse fails the job.
+    A declared column that was never landed becomes NULL. A value that does not
+    parse fails the job.
     """
     source_names = source_names or {}
+    ansi = df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
     columns = []
     for column in schemas.typed_columns(table):
         source = source_names.get(column.name, column.name)
         value = F.col(source) if source in df.columns else F.lit(None)
-        columns.append(value.cast(column.type).alias(column.name, metadata=column.metadata))
+        cast = value.cast(column.type) if ansi else _strict_cast(value, column.type, source)
+        columns.append(cast.alias(column.name, metadata=column.metadata))
     return df.select(*columns)
 
 
+def _strict_cast(value: Column, type_name: str, name: str) -> Column:
+    """A cast that fails as under ANSI where the session would give NULL."""
+    cast = value.cast(type_name)
+    bad = F.raise_error(F.concat(F.lit(f"{name} is no {type_name}: "), value.cast("string")))
+    return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(bad)
+
+
 def unusable(parents: DataFrame, condition: Column, key: str) -> DataFrame:
     """Keys of the parents that satisfy ``condition``."""
     return distinct_keys(parents.where(condition), key)

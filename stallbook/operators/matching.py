@@ -36,10 +36,9 @@ def unmatched(parents: DataFrame, children: DataFrame, key: str,
     alone = parents.join(distinct_keys(children, child_key, key), key, "left_anti").select(*parents.columns)
     if method == "not_exists":
         return alone
-    facts = children.agg(F.count(F.lit(1)).alias("rows"), F.count(child_key).alias("keys"))
-    no_rows = facts.select(F.col("rows") == 0).scalar()
-    no_nulls = facts.select(F.col("rows") == F.col("keys")).scalar()
-    return alone.where(no_rows | (no_nulls & F.col(key).isNotNull()))
+    rows, keys = F.count(F.lit(1)), F.count(child_key)
+    found = children.agg(F.struct((rows == 0).alias("nothing"), (rows == keys).alias("no_nulls"))).scalar()
+    return alone.where(found["nothing"] | (found["no_nulls"] & F.col(key).isNotNull()))
 
 
 def orphans(children: DataFrame, key: str, parents: DataFrame, parent_key: str | None = None) -> DataFrame:

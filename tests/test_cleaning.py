@@ -70,11 +70,20 @@ def test_drop_with_dependents_in_one_go(landed):
     assert {name: df.count() for name, df in left.items()} == {"parents": 10, "owners": 10, "order_items": 12}
 
 
-def test_bad_value_fails_the_cast(spark):
-    bad = spark.createDataFrame([("s", "12a", "x", "y")], "seller_id string, seller_zip_code_prefix string, "
-                                                          "seller_city string, seller_state string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        cleaning.typed_projection(bad, "sellers").collect()
+SELLERS = "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"
+
+
+@pytest.mark.parametrize("ansi,message", [("true", "CAST_INVALID_INPUT"), ("false", "seller_zip_code_prefix is no int: 12a")])
+def test_bad_value_fails_the_cast(spark, ansi, message):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([("s", "012", "x", "y"), ("t", None, "x", "y")], SELLERS)
+        assert rows(cleaning.typed_projection(good, "sellers"), "seller_zip_code_prefix") == {(12,), (None,)}
+        bad = spark.createDataFrame([("s", "12a", "x", "y")], SELLERS)
+        with pytest.raises(Exception, match=message):
+            cleaning.typed_projection(bad, "sellers").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_latest_per_key_takes_null_as_latest_and_breaks_ties(spark):

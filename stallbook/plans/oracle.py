@@ -129,7 +129,10 @@ def _sql(body: str) -> str:
     return f"{views},\n{own[len('WITH'):]}" if own.startswith("WITH") else f"{views}\n{body}"
 
 
-_MONEY = "CAST(sum(price) AS DOUBLE)"
+def _as(table: str, **types: str) -> str:
+    """All of ``table``, with the named columns cast to types other engines print alike."""
+    casts = [f"CAST({column} AS {name}) AS {column}" for name, columns in types.items() for column in columns.split()]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM {table}"
 
 
 def _mean2(total: str, n: str) -> str:
@@ -417,30 +420,27 @@ def oracle_sql() -> dict[str, str]:
         "embedded_count": "SELECT count(*) AS embedded FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)",
         # cleaning
         "dropped_orders": "SELECT dropped::VARCHAR AS order_id FROM dropped_v",
-        "clean_customers": "SELECT * FROM customers_c",
-        "clean_geolocation": """
-            SELECT * REPLACE (CAST(geolocation_lat AS DOUBLE) AS geolocation_lat,
-                              CAST(geolocation_lng AS DOUBLE) AS geolocation_lng) FROM geolocation_c""",
-        "clean_sellers": "SELECT * FROM sellers_c",
+        "clean_customers": _as("customers_c", BIGINT="customer_zip_code_prefix"),
+        "clean_geolocation": _as("geolocation_c", BIGINT="geolocation_zip_code_prefix",
+                                 DOUBLE="geolocation_lat geolocation_lng"),
+        "clean_sellers": _as("sellers_c", BIGINT="seller_zip_code_prefix"),
         "clean_translation": """
             SELECT DISTINCT product_category_name, t.product_category_name_english
             FROM products_c p LEFT JOIN translation_v t USING (product_category_name)""",
-        "clean_products": "SELECT * FROM products_c",
-        "clean_orders": """
-            SELECT * REPLACE (CAST(order_purchase_timestamp AS VARCHAR) AS order_purchase_timestamp,
-                CAST(order_approved_at AS VARCHAR) AS order_approved_at,
-                CAST(order_delivered_carrier_date AS VARCHAR) AS order_delivered_carrier_date,
-                CAST(order_delivered_customer_date AS VARCHAR) AS order_delivered_customer_date,
-                CAST(order_estimated_delivery_date AS VARCHAR) AS order_estimated_delivery_date) FROM orders_c""",
-        "clean_order_items": """
-            SELECT * REPLACE (CAST(shipping_limit_date AS VARCHAR) AS shipping_limit_date,
-                CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value) FROM order_items_c""",
-        "clean_payments": "SELECT * REPLACE (CAST(payment_value AS DOUBLE) AS payment_value) FROM payments_c",
-        "clean_order_reviews": """
-            SELECT * REPLACE (CAST(review_creation_date AS VARCHAR) AS review_creation_date,
-                CAST(review_answer_timestamp AS VARCHAR) AS review_answer_timestamp) FROM order_reviews_c""",
+        "clean_products": _as("products_c", BIGINT="product_name_length product_description_length "
+                              "product_photos_qty product_weight_g product_length_cm product_height_cm "
+                              "product_width_cm"),
+        "clean_orders": _as("orders_c", VARCHAR="order_purchase_timestamp order_approved_at "
+                            "order_delivered_carrier_date order_delivered_customer_date "
+                            "order_estimated_delivery_date"),
+        "clean_order_items": _as("order_items_c", BIGINT="order_item_id", VARCHAR="shipping_limit_date",
+                                 DOUBLE="price freight_value"),
+        "clean_payments": _as("payments_c", BIGINT="payment_sequential payment_installments", DOUBLE="payment_value"),
+        "clean_order_reviews": _as("order_reviews_c", BIGINT="review_score",
+                                   VARCHAR="review_creation_date review_answer_timestamp"),
         "latest_line_per_order": """
-            SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem
+            SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate, CAST(l_linenumber AS BIGINT) AS l_linenumber)
+            FROM lineitem
             QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC,
               l_suppkey DESC, l_linenumber DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
               l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""",

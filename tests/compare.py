@@ -37,8 +37,11 @@ def differences(spark, con, name, folder) -> str | None:
     df = entry.queries()[name](spark, folder)
     cursor = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    ours = sorted((c, types.get(t, t)) for c, t in df.dtypes)
+    theirs = sorted((d[0], str(d[1])) for d in cursor.description)
+    if ours != theirs:
+        return f"columns {ours} != {theirs}"
     ours, theirs = _sorted(df.columns, df.collect()), _sorted(names, cursor.fetchall())
     if len(ours) != len(theirs):
         return f"{len(ours)} rows != {len(theirs)}"

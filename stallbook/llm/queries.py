@@ -104,3 +104,8 @@ def op7_secrets(spark, folder):
     base = _listed(_of_kind(spans, [rule.kind for rule in secrets.BASE]))
     return found.select(F.col("id").alias("doc_id"), *counts, _digest(base).alias("base_sha256"),
                         _listed(spans).alias("spans"))
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL for the queries that it can express."""
+    return {}

@@ -133,8 +133,8 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
     is_long = F.length("text") > size
 
     def short(pieces: Pieces, ids: list, texts: list) -> Iterator[tuple]:
-        for key, text in zip(ids, texts):
-            yield key, np.frombuffer(pieces.encode(text), "<i4")
+        for key, found in zip(ids, pieces.encode_all(texts)):
+            yield key, np.frombuffer(found, "<i4")
 
     setup = partial(Pieces, tokenizer_path, lead=False)
     encoded = map_rows(rows.where(~is_long), f"id {kind}, ids array<int>", short, setup=setup)

@@ -6,12 +6,15 @@ a piece is encoded once per worker and looked up after that.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
+from collections.abc import Iterator
 from functools import cache
 
-import numpy as np
-
-CACHED_PIECES = 400_000   # bounds a worker's memory; the cache starts again when it is full
+CACHED_PIECES = 600_000   # per generation; a worker holds two, some 250 MB at most
+GROUP = 1 << 20           # characters of text whose unknown pieces are encoded in one call
 
 
 @cache
@@ -26,49 +29,145 @@ def tokenizer(path: str):
     return loaded
 
 
+# Characters that every version of Unicode splits, normalises and lower-cases alike: ASCII and precomposed letters.
+_PLAIN = re.compile(r"[ -~\t\n\rÀ-ÖØ-öø-įıĲ-ɏ]*")
+
+
+class Words:
+    """Ids of a piece's words straight from the tokenizer's merges, where the way to split the piece is plain.
+
+    The library spends most of its time on splitting and on offsets. A piece of plain characters is split here, by
+    the pattern that the tokenizer's file names, and each word goes to the library's BPE model once.
+    """
+
+    def __init__(self, path: str) -> None:
+        import regex
+
+        saved = json.loads(tokenizer(path).to_str())
+        self.model = tokenizer(path).model
+        self.model._resize_cache(0)     # words are remembered here
+        steps = saved["pre_tokenizer"].get("pretokenizers", [saved["pre_tokenizer"]])
+        pattern = steps[0]["pattern"]["Regex"] if steps[0]["type"] == "Split" else _BYTE_LEVEL
+        self.split = regex.compile(pattern).findall
+        self.lower = bool(saved["normalizer"])      # such a file lower-cases, and leaves plain characters else
+        self.added = [token["content"] for token in saved["added_tokens"]]
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, piece: str) -> bytes | None:
+        """The piece's ids, or None if the library has to see it."""
+        if self.lower:
+            plain = piece.isascii() or _PLAIN.fullmatch(piece)
+            piece = piece.lower() if plain else piece
+        core = piece.rstrip(_STOPS)
+        if core.isascii() and core.removeprefix(" ").isalpha():
+            words = [core, piece[len(core):]] if len(core) < len(piece) else [core]
+        elif not _PLAIN.fullmatch(piece) or "<" in piece and any(token in piece for token in self.added):
+            return None
+        else:
+            words = self.split(piece)
+        return b"".join([self.known.get(word) or self._word(word) for word in words])
+
+    def _word(self, word: str) -> bytes:
+        if len(self.known) >= CACHED_PIECES:
+            self.known.clear()
+        symbols = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() \
+            else word.encode().decode("latin-1").translate(_SYMBOLS)
+        ids = array("I", [token.id for token in self.model.tokenize(symbols)]).tobytes()
+        self.known[word] = ids
+        return ids
+
+
+_STOPS = ".,!?;:"     # signs that often follow a word and are split from it, one run whatever their number
+# Fixed value: how byte-level tokenizers split text if their file names no pattern.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_symbols() -> dict[int, int]:
+    """Byte-level tokenizers write a byte that doesn't print as the next free character from 256 on."""
+    odd = [byte for byte in range(256) if not (33 <= byte <= 126 or 161 <= byte <= 172 or 174 <= byte <= 255)]
+    return {byte: 256 + place for place, byte in enumerate(odd)}
+
+
+_SYMBOLS = _byte_symbols()
+
+
 class Pieces:
-    """Ids of texts that are cut at plain spaces; ``lead`` keeps the space at the head of the piece after it."""
+    """Ids of texts that are cut at plain spaces.
+
+    With ``lead``, a space belongs to the piece after it; without, the tokenizer drops white space. Known pieces are
+    kept in two generations: when the younger is full, it becomes the older, and what is still used moves back.
+    """
 
     def __init__(self, path: str, lead: bool) -> None:
         self.tokenizer, self.lead = tokenizer(path), lead
-        self.known: dict[str, bytes | None] = {}
+        self.words = Words(path)
+        self.space = " " if lead else ""
+        self.known: dict[str, bytes | None] = {}     # pieces after a space; None if they can't be encoded alone
+        self.older: dict[str, bytes | None] = {}
 
-    def _learn(self, pieces: list[str]) -> None:
-        whole = [piece for piece in pieces if not self.lead or _cut_holds(piece)]
-        self.known.update(dict.fromkeys(pieces))
-        for piece, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", encoding.ids).tobytes() for encoding in found]
 
-    def encode(self, text: str) -> bytes:
-        """All ids as little-endian unsigned 32-bit integers."""
-        pieces = text.split(" ")
-        if self.lead:
-            pieces[1:] = [" " + piece for piece in pieces[1:]]
-        distinct = set(pieces)
-        new = distinct - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > CACHED_PIECES:
-                self.known.clear()
-                new = distinct
-            self._learn(list(new))
-        found = [self.known[piece] for piece in pieces]
-        return b"".join(found if None not in found else self._around_white_space(pieces))
+    def _learn(self, pieces: set[str]) -> None:
+        unknown = []
+        for piece in pieces:
+            if piece in self.older:
+                self.known[piece] = self.older[piece]
+            elif self.lead and not _cut_holds(piece):
+                self.known[piece] = None
+            else:
+                ids = self.words.encode(self.space + piece)
+                if ids is None:
+                    unknown.append(piece)
+                else:
+                    self.known[piece] = ids
+        if unknown:
+            self.known.update(zip(unknown, self._raw([self.space + piece for piece in unknown])))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """All ids of each text as unsigned 32-bit integers."""
+        first = size = 0
+        for last, text in enumerate(texts, 1):
+            size += len(text)
+            if size > GROUP or last == len(texts):
+                yield from self._group(texts[first:last])
+                first, size = last, 0
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self.known) > CACHED_PIECES:
+            self.older, self.known = self.known, {}
+        known = self.known
+        cut = [text.split(" ") for text in texts]
+        heads = [pieces.pop(0) for pieces in cut] if self.lead else []
+        self._learn({piece for pieces in cut for piece in pieces if piece not in known})
+        starts = self._raw(heads) if self.lead else [b""] * len(texts)
+        for n, pieces in enumerate(cut):
+            found = [known[piece] for piece in pieces]
+            if None in found or self.lead and found and not _cut_holds(heads[n]):
+                yield b"".join(self._around_white_space([heads[n], *(" " + piece for piece in pieces)]))
+            else:
+                yield starts[n] + b"".join(found)
 
     def _around_white_space(self, pieces: list[str]) -> list[bytes]:
         """Pieces with white space at an end are encoded together with their neighbours."""
         regions, glued = [], False
         for piece in pieces:
-            odd = self.known[piece] is None
+            odd = not _cut_holds(piece.removeprefix(" "))
             if regions and (odd or glued):
                 regions[-1] += piece
             else:
                 regions.append(piece)
             glued = odd
-        return [self.known.get(region) or np.array(
-            self.tokenizer.encode(region, add_special_tokens=False).ids, "<u4").tobytes() for region in regions]
+        return self._raw(regions)
+
+    def encode(self, text: str) -> bytes:
+        return next(self._group([text]))
 
 
 def _cut_holds(piece: str) -> bool:
-    """Whether the text may be cut around ``piece``: no white space at its ends but the one leading space."""
-    body = piece.removeprefix(" ")
-    return bool(body) and all(end.isalnum() or "!" <= end <= "~" for end in (body[0], body[-1]))
+    """Whether a piece between two spaces can be encoded alone: neither of its ends is white space."""
+    if not piece:
+        return False
+    first, last = piece[0], piece[-1]
+    return (first.isalnum() or "!" <= first <= "~") and (last.isalnum() or "!" <= last <= "~")

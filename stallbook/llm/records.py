@@ -142,8 +142,9 @@ def write_records(documents: DataFrame, folder: str, tokenizer_path: str, end_id
         end = b"" if end_id is None else struct.pack("<I", end_id)
         for batch in batches:
             rows = [], [], []
-            for key, text in zip(*(column.to_pylist() for column in batch.columns)):
-                message = serialized(key, pieces.encode(text or "") + end, id_bytes)
+            keys, texts = (column.to_pylist() for column in batch.columns)
+            for key, ids in zip(keys, pieces.encode_all([text or "" for text in texts])):
+                message = serialized(key, ids + end, id_bytes)
                 # Among files that start with the same id, content decides.
                 first, last = (0, 0) if key is None else (bisect_left(cuts, key), bisect_right(cuts, key))
                 rows[0].append(first + zlib.crc32(message) % (last - first + 1))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import bpe, chat, records, secrets, simhash
+from stallbook.llm import bpe, chat, decontaminate, quality, records, secrets, simhash
 from stallbook.llm.common import map_rows
 from stallbook.sources.shared import pinned
 
@@ -106,6 +106,20 @@ def op7_secrets(spark, folder):
                         _listed(spans).alias("spans"))
 
 
+@_query
+def op8_quality(spark, folder):
+    """The documents that the sample keeps."""
+    found = quality.resample(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.select("doc_id", "log_weight", "sample_score", F.lit(True).alias("kept"))
+
+
+@_query
+def op10_decontaminate(spark, folder):
+    """Each benchmark item found in a document."""
+    found = decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "similarity", "start_word")
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
     return {}

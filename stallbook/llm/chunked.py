@@ -31,6 +31,7 @@ def tokenizer(path: str):
 
 # Characters that every version of Unicode splits, normalises and lower-cases alike: ASCII and precomposed letters.
 _PLAIN = re.compile(r"[ -~\t\n\rÀ-ÖØ-öø-įıĲ-ɏ]*")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+")
 
 
 class Words:
@@ -53,18 +54,21 @@ class Words:
         self.added = [token["content"] for token in saved["added_tokens"]]
         self.known: dict[str, bytes] = {}
 
-    def encode(self, piece: str) -> bytes | None:
-        """The piece's ids, or None if the library has to see it."""
-        if self.lower:
-            plain = piece.isascii() or _PLAIN.fullmatch(piece)
-            piece = piece.lower() if plain else piece
+    def encode(self, piece: str, space: str) -> bytes | None:
+        """The ids of a piece and the space before it, or None if the library has to see it."""
         core = piece.rstrip(_STOPS)
-        if core.isascii() and core.removeprefix(" ").isalpha():
-            words = [core, piece[len(core):]] if len(core) < len(piece) else [core]
-        elif not _PLAIN.fullmatch(piece) or "<" in piece and any(token in piece for token in self.added):
+        if core.isalpha() and (core.isascii() or _LETTERS.fullmatch(core)):
+            # Most pieces: one word, and perhaps a run of signs after it.
+            word = space + (core.lower() if self.lower else core)
+            ids = self.known.get(word) or self._word(word)
+            if len(core) < len(piece):
+                signs = piece[len(core):]
+                ids += self.known.get(signs) or self._word(signs)
+            return ids
+        if space and not _cut_holds(piece) or not _PLAIN.fullmatch(piece) \
+                or "<" in piece and any(token in piece.lower() for token in self.added):
             return None
-        else:
-            words = self.split(piece)
+        words = self.split(space + (piece.lower() if self.lower else piece))
         return b"".join([self.known.get(word) or self._word(word) for word in words])
 
     def _word(self, word: str) -> bytes:
@@ -110,20 +114,17 @@ class Pieces:
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
     def _learn(self, pieces: set[str]) -> None:
+        known, older, encode, space = self.known, self.older, self.words.encode, self.space
         unknown = []
         for piece in pieces:
-            if piece in self.older:
-                self.known[piece] = self.older[piece]
-            elif self.lead and not _cut_holds(piece):
-                self.known[piece] = None
-            else:
-                ids = self.words.encode(self.space + piece)
-                if ids is None:
+            ids = older.get(piece)
+            if ids is None:
+                ids = encode(piece, space)
+                if ids is None and not (self.lead and not _cut_holds(piece)):
                     unknown.append(piece)
-                else:
-                    self.known[piece] = ids
+            known[piece] = ids
         if unknown:
-            self.known.update(zip(unknown, self._raw([self.space + piece for piece in unknown])))
+            known.update(zip(unknown, self._raw([space + piece for piece in unknown])))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """All ids of each text as unsigned 32-bit integers."""

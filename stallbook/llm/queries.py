@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import bpe, chat, decontaminate, quality, records, secrets, simhash
+from stallbook.llm import bpe, chat, decontaminate, lines, pii, quality, records, secrets, simhash
 from stallbook.llm.common import map_rows
 from stallbook.sources.shared import pinned
 
@@ -120,6 +120,22 @@ def op10_decontaminate(spark, folder):
     return found.select(F.col("id").alias("doc_id"), "item_id", "similarity", "start_word")
 
 
+@_query
+def op9_pii(spark, folder):
+    found = pii.personal_data(_table(spark, folder, "documents"))
+    spans = F.col("spans")
+    counts = [F.size(_of_kind(spans, [kind])).cast("long").alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        _digest(_listed(_of_kind(spans, list(pii.BASE)))).alias("base_sha256"),
+                        _listed(spans).alias("spans"))
+
+
+@_query
+def op4_lines(spark, folder):
+    found = lines.dedup_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "text", F.col("__lines_dropped").alias("lines_dropped"))
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
     return {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import bpe, chat, decontaminate, lines, pii, quality, records, secrets, simhash
+from stallbook.llm import bpe, chat, decontaminate, lattice, lines, pii, quality, records, secrets, simhash
 from stallbook.llm.common import map_rows
 from stallbook.sources.shared import pinned
 
@@ -136,6 +136,33 @@ def op4_lines(spark, folder):
     return found.select("doc_id", "text", F.col("__lines_dropped").alias("lines_dropped"))
 
 
+@_query
+def op2_embeddings(spark, folder):
+    found = lattice.near_duplicates(_table(spark, folder, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def one_of_each_group(documents: DataFrame) -> DataFrame:
+    """The documents without near-duplicates of another: of each SimHash component one row stays.
+
+    That is the row with the smallest id, the smallest hash of id and text among equal ids; rows that repeat id and
+    text are one document, of which one stays.
+    """
+    found = simhash.near_duplicates(documents.withColumn("__row", F.xxhash64("doc_id", "text")), carry=["__row"])
+    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "__row")).alias("stays"))
+    keep = first.select(F.col("stays.__row").alias("__row")).distinct()
+    marked = documents.withColumn("__row", F.xxhash64("doc_id", "text"))
+    return marked.join(keep, "__row", "left_semi").drop("__row").dropDuplicates(["doc_id", "text"])
+
+
+def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents in which no benchmark item is found."""
+    found = decontaminate.contaminated(documents, benchmark).select(F.col("row_hash").alias("__row")).distinct()
+    marked = documents.withColumn("__row", F.xxhash64("doc_id", "text"))
+    return marked.join(pinned(found), "__row", "left_anti").drop("__row")
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
     return {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -45,17 +45,18 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * votes > count).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame, width: int = 3, id_column: str = "doc_id",
-                 text_column: str = "text") -> DataFrame:
-    """(id, fp) per row; ``fp`` holds the fingerprint's 64 bits as a long. Null text counts as empty."""
-    kind = documents.schema[id_column].dataType.simpleString()
+def fingerprints(documents: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text",
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """(id, *carry, fp) per row; ``fp`` holds the fingerprint's 64 bits as a long. Null text counts as empty."""
+    kinds = ["id " + documents.schema[id_column].dataType.simpleString(),
+             *(f"{name} {documents.schema[name].dataType.simpleString()}" for name in carry)]
 
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
-        for key, text in zip(ids, texts):
+    def rows(texts: list, *others: list) -> Iterator[tuple]:
+        for text, *values in zip(texts, *others):
             value = fingerprint(text, width)
-            yield key, value - (1 << BITS) if value >> (BITS - 1) else value
+            yield *values, value - (1 << BITS) if value >> (BITS - 1) else value
 
-    return map_rows(documents.select(id_column, text_column), f"id {kind}, fp long", rows)
+    return map_rows(documents.select(text_column, id_column, *carry), ", ".join([*kinds, "fp long"]), rows)
 
 
 def _prefix(depth: int) -> Column:
@@ -177,15 +178,15 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id) per row of ``documents``.
+                    text_column: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(id, *carry, fingerprint, component_id) per row of ``documents``; ``carry`` names columns to keep.
 
     Documents link when their fingerprints differ in at most ``radius`` bits; the component is the smallest id that
     links reach. Equal fingerprints are one node of the join, however many documents share them. Null and empty
     texts have fingerprint zero and link like any other; a repeated row repeats its result; null ids are never the
     smallest unless a component has no other; an empty table gives an empty result.
     """
-    each = pinned(fingerprints(documents, width, id_column, text_column))
+    each = pinned(fingerprints(documents, width, id_column, text_column, carry))
     distinct = pinned(each.groupBy("fp").agg(F.min("id").alias("first")))
     groups = components(links(distinct.select("fp"), radius))
     mapped = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
@@ -193,4 +194,4 @@ def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3, id_co
     smallest = mapped.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = pinned(mapped.join(smallest, "root").select("fp", "component_id"))
     return each.join(by_print, "fp").select(
-        "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "id", *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,6 +1,6 @@
 """Importance resampling: hashed n-gram models of target and raw text, sampled by Gumbel top-k (DSIR, 2023).
 
-A document is the set of its features: words, five-letter n-grams of words, and signs with how often they occur at
+A document is the set of its features: five-letter n-grams inside words, and signs with how often they occur at
 least, each hashed to a bucket. Both models say how likely a document is to have a bucket; the log-ratio of the two,
 summed over a document's buckets, is its log importance weight. Adding Gumbel noise and keeping the k best draws k documents
 without replacement, with the weights as probabilities.
@@ -9,6 +9,7 @@ without replacement, with the weights as probabilities.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -23,43 +24,54 @@ TARGET_ROWS = 100_000     # labelled good documents that the target model is fit
 PRIOR = 10.0              # documents that both models are taken to have seen alike in each bucket
 MARGIN = 0.5              # log-ratios from here up say nothing for or against a document
 GRAM = 5
-KNOWN_WORDS = 300_000     # words a worker remembers the hashes of
+PART = 1 << 20            # bytes of a text whose n-grams are formed at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-_SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGNS = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
+_APART = np.zeros(256, bool)
+_APART[_SIGNS] = _APART[[9, 10, 11, 12, 13, 32]] = True
 
 
-class Features(dict):
-    """Buckets of texts; remembers the hashes of words seen."""
+class Features:
+    """Buckets of texts. Words end at ASCII white space and signs; a word's ends count as letters of its n-grams."""
 
-    def __missing__(self, word: bytes) -> tuple[np.ndarray, int, int]:
-        import xxhash
-
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        core = word.strip(_SIGNS)
-        sign = word.replace(core, b"", 1) if core else word
-        marked = f"<{core.decode(errors='replace')}>"
-        grams = {core, *(marked[k:k + GRAM].encode() for k in range(len(marked) - GRAM + 1))}
-        hashes = np.array([xxhash.xxh64_intdigest(gram, 1) >> (64 - BUCKET_BITS) for gram in grams], np.int32)
-        found = hashes, xxhash.xxh64_intdigest(core, 2), xxhash.xxh64_intdigest(sign, 3) if sign else 0
-        self[word] = found
-        return found
+    def __init__(self) -> None:
+        self.seen = np.zeros(1 << BUCKET_BITS, bool)
 
     def buckets(self, text: str | None) -> np.ndarray:
         """Sorted distinct buckets of a text; none for an empty one."""
-        words = (text or "").encode().lower().split()
+        lowered = (text or "").encode().lower()
+        words = lowered.split()
         if not words:
             return np.zeros(0, np.int64)
-        each = {word: self[word] for word in set(words)}
-        cores = np.array([each[word][1] for word in words], np.uint64)
-        signs = np.array([each[word][2] for word in words], np.uint64)
+        for first in range(0, len(lowered), PART):
+            self._letters(np.frombuffer(b" " + lowered[first:first + PART + GRAM] + b" ", np.uint8))
+        counts = np.bincount(np.frombuffer(lowered, np.uint8), minlength=256)[_SIGNS]
         # A word that repeats the one before it counts as a sign too.
-        signs = np.r_[signs[signs > 0], np.ones(int((cores[1:] == cores[:-1]).sum()), np.uint64)]
-        kinds, counts = np.unique(signs, return_counts=True)
-        steps = np.frexp(counts)[1]     # at least 1, 2, 4, ... times
-        least = np.concatenate([np.arange(n) for n in steps]) if len(steps) else steps
-        often = (np.repeat(kinds, steps) + least.astype(np.uint64)) * _GOLDEN >> np.uint64(64 - BUCKET_BITS)
-        return np.unique(np.concatenate([*(found[0] for found in each.values()), often.astype(np.int64)]))
+        counts = np.r_[counts, sum(map(eq, words, words[1:]))]
+        steps = np.where(counts > 0, np.frexp(counts)[1], 0)     # at least 1, 2, 4, ... times
+        kinds = np.repeat(np.arange(len(counts)), steps)
+        least = np.arange(len(kinds)) - np.repeat(np.cumsum(steps) - steps, steps)
+        self._add((kinds * 64 + least + 1).astype(np.uint64) << np.uint64(40))
+        found = np.flatnonzero(self.seen)
+        self.seen[found] = False
+        return found
+
+    def _letters(self, raw: np.ndarray) -> None:
+        apart = _APART[raw]
+        letters = np.where(apart, np.uint8(32), raw).astype(np.uint64)
+        n = len(raw) - GRAM + 1
+        if n < 1:
+            return
+        grams = letters[:n]
+        inside = np.ones(n, bool)
+        for k in range(1, GRAM):
+            grams = grams << np.uint64(8) | letters[k:k + n]
+            if k < GRAM - 1:
+                inside &= ~apart[k:k + n]
+        self._add(grams[inside])
+
+    def _add(self, features: np.ndarray) -> None:
+        self.seen[(features * _GOLDEN) >> np.uint64(64 - BUCKET_BITS)] = True
 
 
 def _label(labels: DataFrame, id_column: str) -> DataFrame:

@@ -13,12 +13,15 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.operators.embedding import SAMPLE_SIZE
 from stallbook.plans import embed_reviews, profile, questions, retail
+from stallbook.session import SETTINGS
 from stallbook.sources import tables
 
+PREVIEW = 100     # rows printed
+
 
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="stallbook")
@@ -34,8 +37,12 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     build.add_argument("--expect")
     for sub in (build, job("profile", "csv")):
         sub.add_argument("--pattern", default="{table}.csv")
-    job("ask", "root").add_argument("question", choices=sorted(questions.QUESTIONS))
-    job("embed", "root", "vectors").add_argument("--limit", type=int, default=SAMPLE_SIZE)
+    ask = job("ask", "root")
+    ask.add_argument("question", choices=sorted(questions.QUESTIONS))
+    for sub in (ask, jobs.choices["profile"]):
+        sub.add_argument("--out", help="a folder for all rows, as Parquet; what is printed is a preview")
+    job("embed", "root", "vectors").add_argument("--limit", type=lambda word: None if word == "all" else int(word),
+                                                 default=SAMPLE_SIZE)
     job("nearest", "root", "vectors").add_argument("seed_order")
     return parser.parse_args(words)
 
@@ -47,19 +54,33 @@ def _expectations(path: str | None) -> retail.Expectations:
         return retail.Expectations(**json.load(file))
 
 
+def _report(name: str, report: DataFrame, out: str | None) -> None:
+    """Write every row where asked to, and print the first ones with how many there are."""
+    if out:
+        report.write.mode("overwrite").parquet(f"{out}/{name}")
+        report = report.sparkSession.read.parquet(f"{out}/{name}")
+    rows = report.count()
+    report.show(PREVIEW, truncate=False)
+    if rows > PREVIEW:
+        print(f"{PREVIEW} of {rows} rows; " + (f"all are in {out}/{name}" if out else "--out writes all of them"))
+
+
 def main(words: Sequence[str] | None = None) -> None:
     args = _arguments(words)
-    spark = SparkSession.builder.appName(f"stallbook {args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"stallbook {args.job}")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     if args.job == "build":
         retail.build_from_csv(spark, args.csv, args.root, _expectations(args.expect), args.pattern)
     elif args.job == "profile":
         for name, report in profile.profile(retail.land_once(spark, args.csv, args.pattern)).items():
             print(name)
-            report.show(200, truncate=False)
+            _report(name, report, args.out)
     else:
         typed = tables.read_published(spark, args.root, retail.TABLES)
         if args.job == "ask":
-            questions.QUESTIONS[args.question](typed).show(100, truncate=False)
+            _report(args.question, questions.QUESTIONS[args.question](typed), args.out)
         elif args.job == "embed":
             print(embed_reviews.embed_reviews(typed["order_reviews"], args.vectors, limit=args.limit))
         else:

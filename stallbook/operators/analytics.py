@@ -83,10 +83,7 @@ def seller_ranks(sellers: DataFrame, items: DataFrame) -> DataFrame:
     """Sellers by revenue, ranked overall and within their state."""
     sold = items.groupBy("seller_id").agg(F.sum("price").alias("total_revenue"))
     revenue = sellers.select("seller_id", "seller_state").join(sold, "seller_id")
-    one_task = ordered.fits_one_task(sellers)
-    if not one_task:
-        revenue = pinned(revenue)
-    ranked = ordered.with_ranks(revenue, "total_revenue", {"overall_rank": [], "state_rank": ["seller_state"]}, one_task)
+    ranked = ordered.with_ranks(pinned(revenue), "total_revenue", {"overall_rank": [], "state_rank": ["seller_state"]})
     return ranked.orderBy("overall_rank", "seller_id")
 
 
@@ -98,22 +95,11 @@ def running_spend(orders: DataFrame, customers: DataFrame, payments: DataFrame)
              .select("order_id", "customer_unique_id", "order_purchase_timestamp", "order_total"))
     # Two orders at the same moment are told apart by their id.
     in_time = [F.col("order_purchase_timestamp").asc_nulls_last(), F.col("order_id").asc_nulls_last()]
-    hot = _hot_persons(orders, customers)
-    if hot:
-        spend = pinned(spend)  # read for the hot persons and again for the others
-    return (ordered.running_sum(spend, "customer_unique_id", in_time, "order_total", "running_total", hot)
+    return (ordered.split_running_sum(spend, ["customer_unique_id"], in_time, "order_total", "running_total")
             .orderBy(F.col("customer_unique_id").asc_nulls_last(), *in_time)
             .select("customer_unique_id", "order_purchase_timestamp", "order_total", "running_total"))
 
 
-def _hot_persons(orders: DataFrame, customers: DataFrame) -> list:
-    """Persons with more orders than one task should scan."""
-    if ordered.fits_one_task(orders):
-        return []
-    placed = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("placed"))
-    return ordered.hot_groups(placed.join(_persons(customers), "customer_id"), "customer_unique_id", "placed")
-
-
 def top_products(items: DataFrame, products: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` products of each category with the most lines sold."""
     sold = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("sold_count"))
@@ -203,19 +189,16 @@ def cut_line_band(items: DataFrame, orders: DataFrame, sellers: DataFrame,
               .groupBy("seller_id").agg(F.sum("price").alias("revenue")))
     down = Window.orderBy(F.col("revenue").desc_nulls_first())
     last = max(cut, hi)
-    if ordered.fits_one_task(sellers):
-        places = (earned.withColumn("revenue_rank", F.rank().over(down).cast("long"))
-                  .where(F.col("revenue_rank") <= last).withColumn("_n", F.lit(1)))
-        band = _band(places, cut, lo, hi)
-    else:
-        # Ranks up to ``last`` lie among as many largest distinct values, which
-        # is a handful of rows however many sellers share one of them.
-        earned = pinned(earned)
-        values = (earned.groupBy("revenue").agg(F.count(F.lit(1)).alias("_n"))
-                  .orderBy(F.col("revenue").desc_nulls_first()).limit(last))
-        above = F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, -1))
-        places = values.withColumn("revenue_rank", F.coalesce(above, F.lit(0)) + 1)
-        band = earned.join(F.broadcast(_band(places, cut, lo, hi)), "revenue")
+    # Ranks up to ``last`` lie among as many largest distinct values, which
+    # is a handful of rows however many sellers share one of them.
+    earned = pinned(earned)
+    values = (earned.groupBy("revenue").agg(F.count(F.lit(1)).alias("_n"))
+              .orderBy(F.col("revenue").desc_nulls_first()).limit(last))
+    above = F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, -1))
+    places = values.withColumn("revenue_rank", F.coalesce(above, F.lit(0)) + 1)
+    held = _band(places, cut, lo, hi).withColumnRenamed("revenue", "_held")
+    # Sellers without a revenue are ranked too, so NULL meets NULL here.
+    band = earned.join(F.broadcast(held), F.col("revenue").eqNullSafe(F.col("_held"))).drop("_held")
     gap = F.col("tenth") - F.col("revenue")
     return (band.join(sellers.select("seller_id", "seller_state"), "seller_id")
             .select("revenue_rank", "seller_id", "seller_state", "revenue", gap.alias("gap_to_10th"),

@@ -17,19 +17,6 @@ from pyspark.sql import functions as F
 
 from stallbook.sources.shared import pinned
 
-# One task sorts and scans this many rows in about a second.
-ROWS_PER_TASK = 250_000
-
-# Hot groups are named in the plan, so their number is bounded; groups beyond
-# it keep the ordinary window, which is slower but just as right.
-MAX_HOT_GROUPS = 1_000
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """Has ``df`` few enough rows for one task? Free for Parquet: the footers say."""
-    return df.count() <= ROWS_PER_TASK
-
-
 def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``df`` with a ``right_`` prefix on ``columns``, to join it to its own source."""
     return df.select(*[F.col(c).alias(f"right_{c}") if c in columns else F.col(c) for c in df.columns])
@@ -61,32 +48,6 @@ def split_running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column],
             .select(*df.columns, total.alias(out)))
 
 
-def hot_groups(weights: DataFrame, by: str, weight: str) -> list:
-    """The largest groups with too many rows for one task; usually none.
-
-    ``weights`` may hold several rows per group; they are summed where they lie
-    before anything is shuffled.
-    """
-    largest = (weights.groupBy(by).agg(F.sum(weight).alias("_rows"))
-               .where(F.col("_rows") > ROWS_PER_TASK)
-               .orderBy(F.desc("_rows")).limit(MAX_HOT_GROUPS))
-    return [row[0] for row in largest.select(by).collect()]
-
-
-def running_sum(df: DataFrame, by: str, order: Sequence[Column], value: str, out: str,
-                hot: Sequence = ()) -> DataFrame:
-    """Running sum of ``value`` per ``by`` group; the ``hot`` groups are split.
-
-    ``None`` in ``hot`` stands for the group of the NULLs.
-    """
-    rows = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if not hot:
-        return df.withColumn(out, F.sum(value).over(rows))
-    is_hot = F.coalesce(F.col(by).isin([h for h in hot if h is not None]), F.lit(None in hot))
-    usual = df.where(~is_hot).withColumn(out, F.sum(value).over(rows))
-    return usual.unionByName(split_running_sum(df.where(is_hot), [by], order, value, out))
-
-
 def value_ranks(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """SQL ``RANK`` of each distinct ``value``, largest first, per ``by`` group.
 
@@ -98,22 +59,17 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataF
     return upto.select(*by, value, (F.col("_upto") - F.col("_n") + 1).alias(out))
 
 
-def with_ranks(df: DataFrame, value: str, ranks: Mapping[str, Sequence[str]], one_task: bool) -> DataFrame:
+def with_ranks(df: DataFrame, value: str, ranks: Mapping[str, Sequence[str]]) -> DataFrame:
     """``df`` with the SQL ``RANK`` of ``value``, largest first, once per entry of
     ``ranks``: the new column and the group it ranks within (none: all rows).
 
-    ``one_task`` says that all of ``df`` fits one task; plain windows are then
-    cheaper than splitting. Without it, ``df`` is read repeatedly: pin it first.
+    ``df`` is read repeatedly: pin it first.
     """
     ranked = df
     for out, by in ranks.items():
-        if one_task:
-            place = F.rank().over(Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_first()))
-            ranked = ranked.withColumn(out, place.cast("long"))
-        else:
-            key = [*by, value]
-            found = _renamed(value_ranks(df, by, value, out), key)
-            ranked = ranked.join(found, _same(key)).select(*ranked.columns, out)
+        key = [*by, value]
+        found = _renamed(value_ranks(df, by, value, out), key)
+        ranked = ranked.join(found, _same(key)).select(*ranked.columns, out)
     return ranked
 
 

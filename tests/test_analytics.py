@@ -5,7 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from stallbook.operators import analytics, matching, ordered
+from stallbook.operators import analytics, matching
 from stallbook.plans import questions
 
 
@@ -13,14 +13,6 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.fixture(params=["one task", "split"])
-def both_ways(request, monkeypatch):
-    """Run with the ordinary windows, then with every group treated as too big."""
-    if request.param == "split":
-        monkeypatch.setattr(ordered, "ROWS_PER_TASK", 1)
-    return request.param
-
-
 def test_late_deliveries(typed):
     found = analytics.late_deliveries(typed["orders"], typed["customers"], typed["order_items"], typed["products"])
     # Order 2 came on the promised day itself, in the evening: not late.
@@ -42,12 +34,12 @@ def test_category_scores_count_an_order_once_per_category(typed):
     assert [r[0] for r in rows(two)] == ["audio", "beauty"]
 
 
-def test_seller_ranks(typed, both_ways):
+def test_seller_ranks(typed):
     assert rows(analytics.seller_ranks(typed["sellers"], typed["order_items"])) == [
         ("s1", "SP", D("1037.75"), 1, 1), ("s3", "PR", D("160.49"), 2, 1), ("s2", "SP", D("91.50"), 3, 2)]
 
 
-def test_running_spend_breaks_ties_by_order(typed, both_ways):
+def test_running_spend_breaks_ties_by_order(typed):
     assert rows(analytics.running_spend(typed["orders"], typed["customers"], typed["payments"])) == [
         ("ana", datetime(2018, 1, 1, 10), D("52.50"), D("52.50")),
         ("ana", datetime(2018, 1, 1, 10), D("32.50"), D("85.00")),
@@ -103,13 +95,13 @@ def _band(spark, revenues, **limits):
             for r in analytics.cut_line_band(items, orders, sellers, **limits).collect()]
 
 
-def test_cut_line_band(spark, both_ways):
+def test_cut_line_band(spark):
     band = _band(spark, [200 - 10 * i for i in range(20)])
     assert band[0] == (8, "s07", D("-20.00"), D("-18.2")) and band[2] == (10, "s09", D("0.00"), D("0.0"))
     assert band[-1] == (15, "s14", D("50.00"), D("45.5")) and len(band) == 8
 
 
-def test_cut_line_is_one_value_among_ties(spark, both_ways):
+def test_cut_line_is_one_value_among_ties(spark):
     # Ranks 1..8, then three sellers tied at 9: none has rank 10, yet place 10 has a revenue.
     band = _band(spark, [200 - 10 * i for i in range(8)] + [100, 100, 100, 50])
     assert [(r, g) for r, _, g, _ in band] == [(8, D("-30.00")), (9, D("0.00")), (9, D("0.00")), (9, D("0.00")), (12, D("50.00"))]
@@ -118,7 +110,7 @@ def test_cut_line_is_one_value_among_ties(spark, both_ways):
     assert len(crowd) == 32 and {r for r, *_ in crowd} == {8, 9, 10}
 
 
-def test_cut_line_needs_enough_sellers(spark, both_ways):
+def test_cut_line_needs_enough_sellers(spark):
     assert _band(spark, [200 - 10 * i for i in range(9)]) == []
     assert len(_band(spark, [30, 20, 10], cut=2, lo=1, hi=3)) == 3
 
@@ -168,3 +160,13 @@ def test_every_question_runs_by_name(typed):
         "late_deliveries": 4, "never_ordered": 1, "monthly_revenue": 5, "category_scores": 0, "seller_ranks": 3,
         "running_spend": 9, "top_products": 5, "churned": 4, "top_categories": 4, "monthly_top_category": 5,
         "cut_line_band": 0, "repeat_share": 2, "delay_vs_score": 5}
+
+
+def test_cut_line_band_ranks_sellers_without_revenue(spark):
+    """Ranks are SQL's: two sellers with a NULL revenue share the first place."""
+    sellers = spark.createDataFrame([(f"s{k}", "XX") for k in range(14)], "seller_id string, seller_state string")
+    orders = spark.createDataFrame([("o", "delivered")], "order_id string, order_status string")
+    items = spark.createDataFrame([("o", f"s{k}", None if k < 2 else 100.0 - k) for k in range(14)],
+                                  "order_id string, seller_id string, price double")
+    found = analytics.cut_line_band(items.withColumn("price", items.price.cast("decimal(10,2)")), orders, sellers, lo=1, hi=5)
+    assert [row.revenue_rank for row in found.collect()] == [1, 1, 3, 4, 5]

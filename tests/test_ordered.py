@@ -43,26 +43,12 @@ def test_split_running_sum_without_groups(spark):
             == _sorted(df.withColumn("s", F.sum("v").over(w)), columns))
 
 
-@pytest.mark.parametrize("limit,groups", [(150, 6), (40, 8)])
-def test_only_hot_groups_are_split(spark, monkeypatch, limit, groups):
-    monkeypatch.setattr(ordered, "ROWS_PER_TASK", limit)
-    df = _data(spark, 5, groups)
-    sizes = {r["g"]: r["count"] for r in df.groupBy("g").count().collect()}
-    hot = ordered.hot_groups(df.withColumn("one", F.lit(1)), "g", "one")
-    assert set(hot) == {g for g, n in sizes.items() if n > limit} and 0 < len(hot) < len(sizes)
-    order = [F.col("t").asc(), F.col("id").asc()]
-    columns = [*df.columns, "s"]
-    for split in (hot, [*hot, None], [None], ["hot", "absent"]):
-        assert (_sorted(ordered.running_sum(df, "g", order, "v", "s", split), columns)
-                == _sorted(ordered.running_sum(df, "g", order, "v", "s"), columns))
-
-
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_split_rank_equals_window_rank(spark, by):
     df = _data(spark, 6, 4)
     columns = [*df.columns, "r"]
-    assert (_sorted(ordered.with_ranks(df, "v", {"r": by}, one_task=False), columns)
-            == _sorted(ordered.with_ranks(df, "v", {"r": by}, one_task=True), columns))
+    plain = F.rank().over(Window.partitionBy(*by).orderBy(F.col("v").desc_nulls_first())).cast("long")
+    assert _sorted(ordered.with_ranks(df, "v", {"r": by}), columns) == _sorted(df.withColumn("r", plain), columns)
 
 
 def test_winners_keep_ties(spark):

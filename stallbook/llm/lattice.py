@@ -173,10 +173,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_column: str
     classes = pinned(rows.where("usable").groupBy("h1", "h2").agg(
         F.min("id").alias("node"), F.count("*").alias("copies"), F.first("label_hash").alias("label_hash"),
         F.first("vector").alias("vector")))
-    counts = _hashed(classes, threshold, False).groupBy("cell").count().where(F.col("count") > TILE)
-    crowded = pinned(counts.select("cell", F.ceil(F.col("count") / TILE).cast("int").alias("blocks")))
-    dealt = _hashed(classes, threshold, True).join(crowded, "cell", "left")
-    blocks = F.coalesce("blocks", F.lit(1))
+    # A cell with one row, or into which vectors only look, holds no pair: most cells are such.
+    counts = _hashed(classes, threshold, False).groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("probe").alias("only_probes")).where("n > 1 and not only_probes")
+    shared = pinned(counts.select("cell", F.ceil(F.col("n") / TILE).cast("int").alias("blocks")))
+    dealt = _hashed(classes, threshold, True).join(shared, "cell")
+    blocks = F.col("blocks")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "probe"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     met = dealt.withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")}) \

@@ -24,12 +24,17 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, l
 
     The header is skipped unread, and with it a byte order mark. Quotes inside
     a quoted field are doubled; CRLF line ends are accepted. With
-    ``line_breaks`` a quoted field may span lines.
+    ``line_breaks`` a quoted field may span lines, an empty line is a NULL in
+    a file of one column and refused in any other, and a quote left open is an
+    error that names the file. Without it, Spark's reader skips empty lines.
     """
     if not line_breaks:
         return spark.read.schema(schema).options(header=True, encoding="UTF-8", **_OPTIONS).csv(path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return _records(spark, path).select(F.from_csv("record", F.lit(columns), _OPTIONS).alias("row")).select("row.*")
+    row = F.from_csv("record", F.lit(columns), _OPTIONS)
+    if len(schema) == 1:   # an empty line is an empty field, which the parser would refuse
+        row = F.when(F.col("record") == "", F.struct(F.lit(None).cast(schema[0].dataType).alias(schema[0].name))).otherwise(row)
+    return _records(spark, path).select(row.alias("row")).select("row.*")
 
 
 def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -51,10 +56,14 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # How many records a block starts depends on whether one is open at its
     # beginning, so both numbers are taken.
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # A quote left open would gather the rest of the file in one record.
+    in_file = F.sum("quotes").over(Window.partitionBy("file"))
+    left_open = F.raise_error(F.concat(F.lit("a quote is left open in "), "file"))
     blocks = (counted.groupBy("file", "block")
               .agg(F.sum("quotes").alias("quotes"), F.count_if(F.col("before") % 2 == 0).alias("if_closed"),
                    F.count_if(F.col("before") % 2 == 1).alias("if_open"))
-              .withColumn("carried", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
+              .withColumn("carried", F.when(in_file % 2 == 1, left_open)
+                          .otherwise(F.coalesce(F.sum("quotes").over(earlier), F.lit(0))))
               .withColumn("starts", F.when(F.col("carried") % 2 == 0, F.col("if_closed")).otherwise(F.col("if_open")))
               .select(F.col("file").alias("of_file"), F.col("block").alias("of_block"), "carried",
                       F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records")))
@@ -70,9 +79,9 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # The first record of each file is its header.
     parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
     text = F.array_join(F.transform(parts, lambda part: part["value"]), "\n")
+    record = F.regexp_replace(text, "\r$", "")
     return (numbered.where(F.col("number") > 1)
-            .groupBy("file", "number").agg(F.regexp_replace(text, "\r$", "").alias("record"))
-            .where(F.col("record") != "").select("record"))
+            .groupBy("file", "number").agg(record.alias("record")).select("record"))
 
 
 def land(spark: SparkSession, folder: str, pattern: str = "{table}.csv",

@@ -84,6 +84,26 @@ def test_a_record_with_a_missing_field_fails(spark, tmp_path):
         csv_files.read_csv(spark, str(tmp_path / "t.csv"), schema, line_breaks=True).collect()
 
 
+def _read(spark, path, text, schema):
+    path.write_text(text)
+    return csv_files.read_csv(spark, str(path), T.StructType.fromDDL(schema), line_breaks=True)
+
+
+def test_an_empty_line_is_a_row_of_one_column(spark, tmp_path):
+    rows = _read(spark, tmp_path / "t.csv", "a\nx\n\n\"y\nz\"\n", "a string").collect()
+    assert sorted((r.a for r in rows), key=str) == [None, "x", "y\nz"]
+
+
+def test_an_empty_line_among_columns_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="MALFORMED"):
+        _read(spark, tmp_path / "t.csv", "a,b\n1,2\n\n3,4\n", "a string, b string").collect()
+
+
+def test_an_open_quote_fails_with_the_files_name(spark, tmp_path):
+    with pytest.raises(Exception, match="left open in .*odd.csv"):
+        _read(spark, tmp_path / "odd.csv", 'a,b\n1,"x\n2,y\n3,z\n', "a string, b string").collect()
+
+
 def test_json_rows_and_array(spark):
     df = spark.createDataFrame([(1, "a\nb"), (2, None)], "id int, msg string")
     assert {r["json"] for r in tables.json_rows(df).collect()} == {'{"id":1,"msg":"a\\nb"}', '{"id":2}'}

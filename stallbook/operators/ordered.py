@@ -96,8 +96,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     does not depend on where a row happens to lie.
     """
     rest = [c for c in df.columns if c not in (*keys, order)]
-    latest_first = [F.col(c).desc_nulls_first() for c in (order, *rest)]
-    return top_per_group(df, keys, latest_first, 1, "_position").drop("_position")
+    # A maximum, not a sort: each map task keeps one row per key, and the other
+    # columns are looked at only where the order ties.
+    place = [part for c in (order, *rest) for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(f"at_{c}"))]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(order, *rest), F.struct(*place)).alias("_latest"))
+    return latest.select(*keys, "_latest.*").select(*df.columns)
 
 
 def sample_in_order(df: DataFrame, key: str, limit: int) -> DataFrame:

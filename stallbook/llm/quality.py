@@ -2,8 +2,9 @@
 
 A document is the set of its features: five-letter n-grams inside words, and signs with how often they occur at
 least, each hashed to a bucket. Both models say how likely a document is to have a bucket; the log-ratio of the two,
-summed over a document's buckets, is its log importance weight. Adding Gumbel noise and keeping the k best draws k documents
-without replacement, with the weights as probabilities.
+summed over a document's buckets, is its log importance weight. Only buckets count whose lack of good documents is more than
+chance among the labelled ones, so a bucket's say depends on its evidence and not on how many documents there are. Adding
+Gumbel noise and keeping the k best draws k documents without replacement, with the weights as probabilities.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 from stallbook.sources.shared import pinned
 
 BUCKET_BITS = 18
-TARGET_ROWS = 100_000     # labelled good documents that the target model is fitted on at most
-PRIOR = 10.0              # documents that both models are taken to have seen alike in each bucket
-MARGIN = 0.5              # log-ratios from here up say nothing for or against a document
+TARGET_ROWS = 100_000     # labelled good documents that the target model is fitted on at most, and as many others
+PRIOR = 0.5               # documents that both models are taken to have seen alike in each bucket
+EVIDENCE = 2.5            # standard errors that a bucket's good documents must fall short by
+MARGIN = 1.0              # log-ratios above -MARGIN say nothing against a document
 GRAM = 5
 PART = 1 << 20            # bytes of a text whose n-grams are formed at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -104,46 +106,69 @@ def _typed(function):
     return function
 
 
+def _shortfall(of: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
+    """Standard errors (the signed root of the deviance) that ``good`` falls short of ``share`` of ``of``; else zero."""
+    def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(count > 0, count * np.log(np.maximum(count, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    deviance = 2 * (part(good, of * share) + part(of - good, of * (1 - share)))
+    return np.where(good < of * share, np.sqrt(np.maximum(deviance, 0.0)), 0.0)
+
+
+def _ratios(raw: np.ndarray, good: np.ndarray, bad: np.ndarray, rows: list[int]) -> np.ndarray:
+    """Log-ratios by bucket from the documents that have it, in all, good and bad; ``rows`` are the same of all buckets.
+
+    The labelled tell whether a shortfall is chance; where they are all good, all documents do.
+    """
+    expected = raw * (rows[1] / max(1, rows[0]))
+    of, all_rows = (good + bad, rows[1] + rows[2]) if rows[2] else (raw, rows[0])
+    ratios = np.log((good + PRIOR) / (expected + PRIOR))
+    sure = _shortfall(of, good, rows[1] / max(1, all_rows)) > EVIDENCE
+    return np.where(sure & (ratios < -MARGIN), ratios, 0.0)
+
+
 def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         target_rows: int = TARGET_ROWS) -> Model:
     """The raw model from all ``documents``, the target model from those that ``labels`` call good.
 
     One pass over the texts: each task adds up its documents by bucket, and the buckets are summed up. At most
-    ``target_rows`` good ids, chosen by hash, mark the target's documents. Without any label all documents are kept.
+    ``target_rows`` good ids, chosen by hash, mark the target's documents, and as many others the documents that it
+    is tested against. Without any label all documents are kept.
     """
     known = pinned(_label(labels, id_column))
     share = known.agg(F.avg(F.col("good").cast("double"))).first()[0]
     if share is None:
         return Model(np.zeros(1 << BUCKET_BITS), 1.0)
-    target = known.where("good").orderBy(F.xxhash64("id"), "id").limit(target_rows).select("id")
+    target, others = (known.where(F.col("good") == side).orderBy(F.xxhash64("id"), "id").limit(target_rows)
+                      for side in (True, False))
     marked = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")) \
-        .join(F.broadcast(target.withColumn("good", F.lit(True))), "id", "left").select("text", "good")
+        .join(F.broadcast(target.unionAll(others)), "id", "left").select("text", "good")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, raw, good = Features(), np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
-        rows = [0, 0]
+        features, rows = Features(), [0, 0, 0]
+        raw, good, bad = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(3))
         for batch in batches:
-            for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, is_good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 buckets = features.buckets(text)
                 raw[buckets] += 1
                 rows[0] += 1
-                if chosen:
-                    good[buckets] += 1
-                    rows[1] += 1
+                if is_good is not None:
+                    (good if is_good else bad)[buckets] += 1
+                    rows[1 if is_good else 2] += 1
         seen = np.flatnonzero(raw)
         # The number of documents goes along under a bucket of its own.
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[seen, -1]), pa.array(np.r_[raw[seen], rows[0]]),
-                                          pa.array(np.r_[good[seen], rows[1]])], ["bucket", "raw", "good"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[seen, -1]), *(pa.array(np.r_[counts[seen], n]) for counts, n in zip((raw, good, bad), rows))],
+            ["bucket", "raw", "good", "bad"])
 
-    sums = marked.mapInArrow(counted, "bucket long, raw long, good long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()   # a row per bucket at most
-    raw, good = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+    sums = marked.mapInArrow(counted, "bucket long, raw long, good long, bad long").groupBy("bucket").agg(
+        *(F.sum(kind).alias(kind) for kind in ("raw", "good", "bad"))).toPandas()   # a row per bucket at most
     real = sums.bucket >= 0
-    raw[sums.bucket[real]], good[sums.bucket[real]] = sums.raw[real], sums.good[real]
-    total = sums[~real]
-    expected = raw * (int(total.good.iloc[0]) / max(1, int(total.raw.iloc[0]))) if len(total) else raw
-    ratios = np.log((good + PRIOR) / (expected + PRIOR))
-    return Model(np.minimum(0.0, ratios + MARGIN), float(share))
+    counts = [np.zeros(1 << BUCKET_BITS) for _ in range(3)]
+    for kind, of_kind in zip(("raw", "good", "bad"), counts):
+        of_kind[sums.bucket[real]] = sums[kind][real]
+    rows = [int(sums[kind][~real].sum()) for kind in ("raw", "good", "bad")]
+    return Model(_ratios(*counts, rows), float(share))
 
 
 def _gumbel(*columns: str | Column) -> Column:

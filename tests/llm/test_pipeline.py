@@ -46,6 +46,16 @@ def test_quality_keeps_texts_as_they_are(steps):
     assert all(before[row.doc_id] == row for row in out)
 
 
+def test_quality_drops_toxic_documents(spark):
+    """The stage on 1,000 documents: a quarter of the toxic ones have no word of their own."""
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    kept = {row.doc_id for row in corpus_pipeline.keep_good(spark, documents, "/root/testdata/sf0.01").collect()}
+    toxic = [row.doc_id for row in labels.where("toxic = 1").collect()]
+    good = [row.doc_id for row in labels.where("quality = 1 and toxic = 0").collect()]
+    assert sum(doc in kept for doc in toxic) < 0.3 * len(toxic)
+    assert sum(doc in kept for doc in good) > 0.9 * len(good)
+
+
 def test_line_dedup(steps):
     given, out = steps["line_dedup"]
     expected = plain([row.text for row in given])

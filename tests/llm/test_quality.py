@@ -1,7 +1,9 @@
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stallbook.llm import quality, queries
 
@@ -41,6 +43,37 @@ def test_held_out_documents(corpus):
     assert sum(k in kept for k in unseen if k % 4 >= 2) < 0.05 * len(plain)
 
 
+def test_held_out_documents_of_a_small_table(spark):
+    """On 1,000 documents, labels that the models have not seen: a quarter of the toxic have no word of their own."""
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    kept = {row.doc_id for row in quality.resample(documents, labels.where(half)).collect()}
+    unseen = labels.where(~half).collect()
+
+    def share(rows):
+        return sum(row.doc_id in kept for row in rows) / len(rows)
+
+    assert share([row for row in unseen if row.quality == 1 and row.toxic == 0]) > 0.85
+    assert share([row for row in unseen if row.toxic == 1]) < 0.4
+    assert share([row for row in unseen if row.quality == 0 and row.toxic == 0]) < 0.2
+
+
+def test_every_size_counts_evidence_alike():
+    """A bucket that no good document has counts among few documents as among many, and chance at neither size."""
+    for times in (1, 100):
+        raw, good, bad = (np.array(counts) * times for counts in ([20.0, 20.0, 20.0], [0.0, 7.0, 6.0], [8.0, 1.0, 2.0]))
+        ratios = quality._ratios(raw, good, bad, [200 * times, 67 * times, 20 * times])
+        assert ratios[0] < -2 and not ratios[1] and not ratios[2]
+
+
+def test_labels_that_are_all_good(corpus):
+    """Then the target is told from all documents."""
+    documents, labels = corpus
+    kept = {row.doc_id for row in
+            quality.resample(documents, labels.where("quality = 1 and toxic = 0"), keep=0.5).collect()}
+    assert sum(k % 4 < 2 for k in kept) > 0.95 * len(kept)
+
+
 def test_kth_largest(spark):
     scores = spark.range(50_000).selectExpr("cast(pmod(id * 7919, 49999) as double) as score")
     ordered = sorted((r.score for r in scores.collect()), reverse=True)

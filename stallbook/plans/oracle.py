@@ -533,6 +533,9 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "csv_landing": "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents",
         "json_rows": "SELECT CAST(to_json(customer) AS VARCHAR) AS json FROM customer",
+        "json_array": """
+            SELECT CAST(to_json(list(nation ORDER BY n_nationkey)) AS VARCHAR) AS json FROM nation
+            WHERE n_regionkey = 1""",
     }
     bodies["churned_by_antijoin"] = bodies["churned_customers"]
     return {name: _sql(body) for name, body in bodies.items()}

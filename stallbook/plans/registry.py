@@ -532,3 +532,10 @@ def csv_landing(spark, folder):
 @_query
 def json_rows(spark, folder):
     return tables.json_rows(tables.read_tables(spark, folder, ["customer"])["customer"])
+
+
+@_query
+def json_array(spark, folder):
+    """The nations of one region."""
+    nations = tables.read_tables(spark, folder, ["nation"])["nation"]
+    return tables.json_array(nations.where("n_regionkey = 1").orderBy("n_nationkey"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _POINTER = "current"
+ARRAY_ROWS = 10_000     # rows that one JSON array may hold
 
 
 class Tables(Mapping[str, DataFrame]):
@@ -100,17 +101,19 @@ def reload(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
 
 
 def json_rows(df: DataFrame) -> DataFrame:
-    """Each row as one JSON object; stays distributed."""
+    """Each row as one JSON object; stays distributed, and ``.write.text`` writes it from the tasks."""
     return df.select(F.to_json(F.struct("*")).alias("json"))
 
 
-def json_array(df: DataFrame) -> DataFrame:
+def json_array(df: DataFrame, most: int = ARRAY_ROWS) -> DataFrame:
     """All rows in one JSON array, ``[]`` when there are none.
 
-    Collects the rows into one value, so it is for a bounded sample only; use
-    ``json_rows`` for a table.
+    Collects the rows into one value, so more than ``most`` rows are an error;
+    use ``json_rows`` for a table.
     """
-    return df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("json"))
+    rows = df.limit(most + 1).agg(F.collect_list(F.struct("*")).alias("rows"))
+    error = F.raise_error(F.lit(f"json_array is for {most} rows at most; use json_rows"))
+    return rows.select(F.when(F.size("rows") <= most, F.to_json("rows")).otherwise(error).alias("json"))
 
 
 def columns_like(tables: Mapping[str, DataFrame], pattern: str) -> list[tuple[str, str]]:

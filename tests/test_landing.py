@@ -110,6 +110,12 @@ def test_json_rows_and_array(spark):
     assert tables.json_array(df.limit(0)).first()["json"] == "[]"
 
 
+def test_json_array_is_bounded(spark):
+    assert tables.json_array(spark.range(3), most=3).first()["json"] == '[{"id":0},{"id":1},{"id":2}]'
+    with pytest.raises(Exception, match="3 rows at most"):
+        tables.json_array(spark.range(4), most=3).collect()
+
+
 def test_inline_table_keeps_its_cells_in_place(spark):
     rows = [(str(i), f"v{i}") for i in range(20)]
     assert sorted(map(tuple, tables.inline_table(spark, ["k", "v"], rows).collect())) == sorted(rows)

@@ -17,13 +17,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import map_rows
+from stallbook.llm.common import map_rows, text_hash
+from stallbook.sources.shared import pinned
 
 WIDTH = 5                     # words per shingle
 SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 8                    # of 8 bits
-ITEMS = 20_000                # benchmark items sent to the tasks at once, and
+ITEMS = 20_000                # distinct benchmark texts sent to the tasks at once, and
 ITEM_CHARACTERS = 32 << 20    # their characters; more are taken in turn
 KNOWN_WORDS = 500_000
 WINDOWS = 4096                # windows looked up at once
@@ -177,28 +178,35 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
     """(id, item_id, similarity, start_word, row_hash): one row per document and benchmark item found in it.
 
     Each is the item's best window, the first of equal ones. ``row_hash`` is xxhash64 of the document's id and text.
-    Null texts count as empty; items without words are found nowhere, items of fewer than five words only word for
-    word; items that repeat are reported under each id; a repeated document repeats its rows; either table may be
-    empty. Documents are read where they lie and nothing is shuffled. The items are sent to the tasks, in as many
-    turns as keep each within ITEMS rows and ITEM_CHARACTERS characters on average.
+    Null texts count as empty; items without words are found nowhere; items that repeat are reported under each id; a
+    repeated document repeats its rows; either table may be empty. Items of fewer than five words are found only word
+    for word. Documents are read where they lie. The items'
+    distinct texts are sent to the tasks, in as many turns as keep each within ITEMS texts and ITEM_CHARACTERS
+    characters on average; a turn of several is written down before the next is fetched. What is found is then joined
+    with the items' ids.
     """
     kind = documents.schema[id_column].dataType.simpleString()
-    item_kind = benchmark.schema[item_column].dataType.simpleString()
-    items = benchmark.select(F.col(item_column).alias("item"), F.col("text").alias("words"))
-    count, characters = items.agg(F.count("*"), F.coalesce(F.sum(F.length("words")), F.lit(0))).first()
+    t1, t2 = text_hash("words")
+    items = benchmark.select(F.col(item_column).alias("item_id"), F.col("text").alias("words")) \
+        .where("words is not null").withColumns({"t1": t1, "t2": t2})
+    texts = pinned(items.groupBy("t1", "t2").agg(F.first("words").alias("words")))
+    count, characters = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("words")), F.lit(0))).first()
     turns = max(1, -(-count // ITEMS), -(-characters // ITEM_CHARACTERS))
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                             F.xxhash64(id_column, text_column).alias("row_hash"))
     found = None
     for turn in range(turns):
-        part = [tuple(row) for row in items.where(F.pmod(F.xxhash64("item", "words"), F.lit(turns)) == turn).collect()]
+        part = [((row.t1, row.t2), row.words) for row in texts.where(F.pmod("t2", F.lit(turns)) == turn).collect()]
 
         def scan(known: Benchmark, ids: list, texts: list, hashes: list) -> Iterator[tuple]:
             for key, text, row_hash in zip(ids, texts, hashes):
                 for number, (similar, start) in sorted(known.found_in(text).items()):
-                    yield key, known.keys[number], similar, start, row_hash
+                    yield key, *known.keys[number], similar, start, row_hash
 
-        each = map_rows(rows, f"id {kind}, item_id {item_kind}, similarity double, start_word long, row_hash long",
+        each = map_rows(rows, f"id {kind}, t1 long, t2 long, similarity double, start_word long, row_hash long",
                         scan, setup=lambda part=part: Benchmark(part, similarity))
+        if turns > 1:
+            each = pinned(each)
         found = each if found is None else found.unionAll(each)
-    return found
+    return found.join(items.select("t1", "t2", "item_id"), ["t1", "t2"]) \
+        .select("id", "item_id", "similarity", "start_word", "row_hash")

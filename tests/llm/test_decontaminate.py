@@ -89,6 +89,34 @@ def test_items_in_turns(spark, table, monkeypatch):
     assert {tuple(r) for r in contaminated(table("documents"), table("benchmark")).collect()} == whole
 
 
+def test_a_repeated_item_fills_no_turn(spark, monkeypatch):
+    """A text under a third of the ids is sent once, and a turn is written before the next is fetched."""
+    from stallbook.llm import decontaminate
+
+    texts = [" ".join(f"w{k}x{n}" for n in range(12)) for k in range(150)]
+    items = spark.createDataFrame([(n, texts[0]) for n in range(900)] + [(1000 + k, text) for k, text in enumerate(texts)],
+                                  "item_id long, text string")
+    documents = spark.createDataFrame([(1, f"before {texts[0]} after"), (2, texts[7])], "doc_id long, text string")
+    done, map_rows, pinned = [], decontaminate.map_rows, decontaminate.pinned
+
+    def sent(*columns, setup):
+        done.append(len(setup().keys))
+        return map_rows(*columns, setup=setup)
+
+    def written(df):
+        if "similarity" in df.columns:
+            done.append("written")
+        return pinned(df)
+
+    monkeypatch.setattr(decontaminate, "map_rows", sent)
+    monkeypatch.setattr(decontaminate, "pinned", written)
+    monkeypatch.setattr(decontaminate, "ITEMS", 100)
+    found = contaminated(documents, items)
+    assert done[1::2] == ["written"] * 2 and sum(done[::2]) == 150 and max(done[::2]) <= 100
+    assert sorted((r.id, r.item_id, r.start_word) for r in found.collect()) == \
+        [(1, n, 1) for n in [*range(900), 1000]] + [(2, 1007, 0)]
+
+
 def test_query(spark, table):
     rows = queries.queries()["op10_decontaminate"](spark, "/root/testdata/sf0.001").collect()
     items = [(r.item_id, r.text) for r in table("benchmark").collect()]

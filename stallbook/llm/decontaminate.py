@@ -179,8 +179,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
 
     Each is the item's best window, the first of equal ones. ``row_hash`` is xxhash64 of the document's id and text.
     Null texts count as empty; items without words are found nowhere; items that repeat are reported under each id; a
-    repeated document repeats its rows; either table may be empty. Items of fewer than five words are found only word
-    for word. Documents are read where they lie. The items'
+    repeated document repeats its rows; either table may be empty. An item of fewer than five words is found only
+    where the whole document is that item, not inside a longer one. Documents are read where they lie. The items'
     distinct texts are sent to the tasks, in as many turns as keep each within ITEMS texts and ITEM_CHARACTERS
     characters on average; a turn of several is written down before the next is fetched. What is found is then joined
     with the items' ids.

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import bpe, chat, decontaminate, lattice, lines, pii, quality, records, secrets, simhash
+from stallbook.llm import (bpe, chat, decontaminate, lattice, lines, oracle, pii, quality, records, resampling, secrets,
+                           simhash)
 from stallbook.llm.common import map_rows
 from stallbook.sources.shared import pinned
 
@@ -142,6 +143,12 @@ def op2_embeddings(spark, folder):
     return found.withColumnRenamed("id", "vec_id")
 
 
+@_query
+def op11_resampling(spark, folder):
+    found = resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def one_of_each_group(documents: DataFrame) -> DataFrame:
     """The documents without near-duplicates of another: of each SimHash component one row stays.
 
@@ -165,4 +172,4 @@ def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {}
+    return {"op11_resampling": oracle.resampling()}

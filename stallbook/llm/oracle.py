@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from stallbook.llm.licenses import BASE, FIRST, KINDS, WIDEST, rules
+
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -37,3 +39,41 @@ WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM do
                 FROM scored WHERE n_features >= {least})
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= {per_cent} * n // 100 THEN place END AS rank
 FROM scored LEFT JOIN ranked USING (row)"""
+
+
+def licenses() -> str:
+    """One row per word of a document instead of arrays; without the gate, which must not change anything."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    table = ",\n".join(f"({quoted(word)}, {list(KINDS).index(rule.kind)}, {k}, {quoted(rule.keyword)}, "
+                       f"{quoted(rf'^({rule.pattern})(?: |$)')}, {quoted(rule.label)})"
+                       for k, rule in enumerate(rules()) for word in rule.first)
+    phrases = ", ".join(f"({quoted(phrase)}, {len(phrase.split(' '))}, {quoted(label)})" for phrase, label in BASE.items())
+    sure = ", ".join(f"({k}, {x}::DOUBLE)" for k, x in enumerate(KINDS.values()))
+    first = ", ".join(map(quoted, FIRST))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents),
+     rules(first, kind, rule, keyword, pattern, label) AS (VALUES {table}),
+     phrases(phrase, n, label) AS (VALUES {phrases}),
+     sure(kind, sure) AS (VALUES {sure}),
+     places AS (SELECT row, words, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS start FROM d),
+     ahead AS (SELECT row, start, word, array_to_string(words[start + 1:start + {WIDEST}], ' ') AS text
+               FROM places WHERE word IN ({first})),
+     tried AS (SELECT row, start, kind, rule, label, regexp_extract(text, pattern, 1) AS matched
+               FROM ahead JOIN rules ON word = first WHERE contains(text, keyword)),
+     best AS (SELECT row, start, start + len(string_split(matched, ' ')) AS stop, kind, label FROM tried WHERE matched <> ''
+              QUALIFY row_number() OVER (PARTITION BY row, start
+                                         ORDER BY kind, len(string_split(matched, ' ')) DESC, rule) = 1),
+     matches AS (SELECT * FROM best m WHERE NOT EXISTS (
+                   SELECT 1 FROM best o WHERE o.row = m.row AND o.start < m.start AND o.start >= m.start - {WIDEST}
+                     AND o.stop >= m.stop AND o.kind <= m.kind)),
+     base AS (SELECT row, start, label FROM ahead JOIN phrases ON starts_with(text || ' ', phrase || ' ')),
+     base_of AS (SELECT row, count(*) AS n, min(start) AS low, max(start) AS high, list(DISTINCT label) AS labels
+                 FROM base GROUP BY row),
+     match_of AS (SELECT row, list(DISTINCT label) AS labels, max(sure) AS sure FROM matches JOIN sure USING (kind) GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(b.n, 0) AS n_base, b.low::BIGINT AS first_word,
+       b.high::BIGINT AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '') AS labels,
+       greatest(coalesce(m.sure, 0::DOUBLE), CASE WHEN b.n IS NULL THEN 0 ELSE {KINDS['name']} END)::DOUBLE AS score
+FROM d LEFT JOIN base_of b USING (row) LEFT JOIN match_of m USING (row)"""

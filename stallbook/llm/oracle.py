@@ -77,3 +77,68 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(b.n, 0) AS n_base, b.low:
        coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '') AS labels,
        greatest(coalesce(m.sure, 0::DOUBLE), CASE WHEN b.n IS NULL THEN 0 ELSE {KINDS['name']} END)::DOUBLE AS score
 FROM d LEFT JOIN base_of b USING (row) LEFT JOIN match_of m USING (row)"""
+
+
+def repair() -> str:
+    """Left to right, the least (cost, audit) per state of the pattern, turn by turn, instead of intervals."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def cell(state: str, cost: str, letter: str, only: str = "true") -> str:
+        return (f"CASE WHEN {only} AND {state} IS NOT NULL "
+                f"THEN struct_pack(c := ({state}.c + {cost})::BIGINT, a := {state}.a || '{letter}') END")
+
+    def least(*cells: str) -> str:
+        return f"list_min([{', '.join(cells)}])"
+
+    def moved(role: str, *states: str) -> list[str]:
+        """Kept or given a role, from any of the states."""
+        kept = [cell(state, "more", "K", f"letter = '{role}'") for state in states]
+        return kept + [cell(state, "more + 3", "R", "letter <> 'x'") for state in states if role != "s"]
+
+    return f"""
+WITH RECURSIVE marked AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+     damage AS (SELECT *, {crc32('key')} % 20 AS damage FROM marked),
+     turns AS (SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+                 CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(CASE damage WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM damage WHERE damage <> 0),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+                  left(role, 1) AS initial, rtrim(text, {white}) AS ended FROM turns),
+     seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS again,
+                lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair FROM placed),
+     faults AS (SELECT *, ended = '' AS blank, ended <> '' AND again AS duplicate,
+                  ended <> '' AND NOT again AND right(ended, 1) NOT IN ('.', '!', '?') AS truncated FROM seen),
+     letters AS MATERIALIZED (
+       SELECT *, CASE WHEN blank OR duplicate THEN 'x' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS letter,
+         CASE WHEN truncated THEN 3 ELSE 0 END AS more FROM faults),
+     cells(conv_id, place, z, s, u, e) AS (
+       SELECT DISTINCT conv_id, 0::BIGINT, struct_pack(c := 0::BIGINT, a := ''), NULL::STRUCT(c BIGINT, a VARCHAR),
+         struct_pack(c := 3::BIGINT, a := 'I'), struct_pack(c := 6::BIGINT, a := 'II') FROM conversations
+       UNION ALL
+       SELECT conv_id, place, z, s, u, {least("e", cell("u", "3", "I"))} FROM (
+         SELECT conv_id, place, z, s, {least("u", *[cell(x, "3", "I") for x in "zse"])} AS u, e FROM (
+           SELECT c.conv_id, l.place, {cell("z", "4", "D")} AS z, {least(cell("s", "4", "D"), *moved("s", "z"))} AS s,
+             {least(cell("u", "4", "D"), *moved("u", "z", "s", "e"))} AS u,
+             {least(cell("e", "4", "D"), *moved("a", "u"))} AS e
+           FROM cells c JOIN letters l ON c.conv_id IS NOT DISTINCT FROM l.conv_id AND l.place = c.place + 1))),
+     best AS (SELECT conv_id, {least("z", "e")} AS best FROM cells
+              QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1),
+     edits AS (SELECT conv_id, unnest(string_split(best.a, '')) AS edit, unnest(range(len(best.a))) AS step
+               FROM best WHERE best.a <> ''),
+     numbered AS (SELECT *, count(*) FILTER (edit <> 'I') OVER upto AS place, count(*) FILTER (edit <> 'D') OVER upto AS out,
+                    count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id) AS all_out
+                  FROM edits WINDOW upto AS (PARTITION BY conv_id ORDER BY step)),
+     repaired AS (SELECT n.conv_id, n.out, CASE edit WHEN 'K' THEN l.role
+                    ELSE CASE WHEN (n.out - all_out % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+                    || ':' || CASE edit WHEN 'I' THEN '' ELSE l.text END AS line
+                  FROM numbered n LEFT JOIN letters l ON n.conv_id IS NOT DISTINCT FROM l.conv_id AND n.place = l.place
+                  WHERE edit <> 'D'),
+     texts AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY out)) AS digest FROM repaired GROUP BY conv_id),
+     counts AS (SELECT conv_id, (max(turn) - min(turn) + 1 - count(DISTINCT turn))::BIGINT AS gaps,
+                  count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                  count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+                FROM letters GROUP BY conv_id)
+SELECT b.conv_id, {', '.join(f"coalesce({n}, 0)::BIGINT AS {n}" for n in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+       best.c AS cost, best.a AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+     LEFT JOIN texts t ON b.conv_id IS NOT DISTINCT FROM t.conv_id"""

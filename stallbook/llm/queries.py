@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import (bpe, chat, decontaminate, lattice, licenses, lines, oracle, pii, quality, records, resampling,
-                           secrets, simhash)
+from stallbook.llm import (bpe, chat, decontaminate, lattice, licenses, lines, oracle, pii, quality, records, repair,
+                           resampling, secrets, simhash)
 from stallbook.llm.common import map_rows
 from stallbook.sources.shared import pinned
 
@@ -149,6 +149,12 @@ def op11_resampling(spark, folder):
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+@_query
+def op12_repair(spark, folder):
+    table = _table(spark, folder, "conversations")
+    return repair.digests(repair.edited(repair.damaged(table), table))
+
+
 @_query
 def op13_licenses(spark, folder):
     return licenses.summary(licenses.licenses(_table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
@@ -177,4 +183,5 @@ def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {"op11_resampling": oracle.resampling(), "op13_licenses": oracle.licenses()}
+    return {"op11_resampling": oracle.resampling(), "op12_repair": oracle.repair(),
+            "op13_licenses": oracle.licenses()}

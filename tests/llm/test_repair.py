@@ -1,0 +1,190 @@
+import hashlib
+import itertools
+import random
+from functools import cache
+from zlib import crc32
+
+import duckdb
+import xxhash
+
+from stallbook.llm import queries, repair
+
+WHITE = " \t\n\x0b\x0c\r"
+STEPS = {("0", "s"): "S", ("0", "u"): "U", ("S", "u"): "U", ("E", "u"): "U", ("U", "a"): "E"}
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def suffixes(turns):
+    """(cost, audit) of a conversation's letters, from its end backwards."""
+    @cache
+    def best(at, state, inserts):
+        found = []
+        if at == len(turns):
+            if state in "0E":
+                found.append((0, ""))
+        else:
+            turn = turns[at]
+            moves = [("D", 4, state)]
+            if turn != "x":
+                more = 3 if turn.isupper() else 0
+                moves += [("K", more, STEPS[state, turn.lower()])] if (state, turn.lower()) in STEPS else []
+                moves += [("R", 3 + more, STEPS[state, r]) for r in "ua" if (state, r) in STEPS]
+            found += [(cost + c, letter + a) for letter, cost, to in moves for c, a in [best(at + 1, to, 0)] if c is not None]
+        if inserts < 3:
+            found += [(3 + c, "I" + a) for r in "ua" if (state, r) in STEPS for c, a in [best(at, STEPS[state, r], inserts + 1)]
+                      if c is not None]
+        return min(found, default=(None, ""))
+
+    return best(0, "0", 0)
+
+
+def enumerated(turns):
+    """The same by trying every edit of every turn and every number of insertions between them."""
+    found = []
+    for edits in itertools.product(*[("D",) if t == "x" else ("D", "K", "u", "a") for t in turns]):
+        for gaps in itertools.product(range(3), repeat=len(turns) + 1):
+            for roles in itertools.product(*[itertools.product("ua", repeat=g) for g in gaps]):
+                out, cost, audit = "".join(roles[0]), 3 * gaps[0], "I" * gaps[0]
+                for turn, edit, inserted in zip(turns, edits, roles[1:]):
+                    if edit == "D":
+                        cost += 4
+                    else:
+                        cost += (3 if edit != "K" else 0) + (3 if turn.isupper() else 0)
+                        out += turn.lower() if edit == "K" else edit
+                    audit += "R" if edit in "ua" else edit
+                    out, cost, audit = out + "".join(inserted), cost + 3 * len(inserted), audit + "I" * len(inserted)
+                rest = out[1:] if out[:1] == "s" else out
+                if out == "" or rest and len(rest) % 2 == 0 and rest == "ua" * (len(rest) // 2):
+                    found.append((cost, audit))
+    return min(found)
+
+
+def test_same_as_trying_all():
+    for n in range(4):
+        for turns in itertools.product("suaoUx" if n < 3 else "suaUx", repeat=n):
+            expected = enumerated("".join(turns))
+            assert repair.cheapest(repair.parsed("".join(turns))) == expected == suffixes("".join(turns)), turns
+
+
+def test_long_conversations():
+    chance = random.Random(4)
+    for n in (5, 16, 17, 40, 129, 300):
+        for letters in ("suaoSUAOx", "ua", "u", "uuuaax", "sx"):
+            turns = "".join(chance.choice(letters) for _ in range(n))
+            assert repair.cheapest(repair.parsed(turns)) == suffixes(turns), turns
+
+
+def order(row):
+    """By turn, null first; ties by role, then by the text's hash as Spark's xxhash64 chains it."""
+    turn, role, text = row
+
+    def signed(seed):
+        for part in (role, text):
+            seed = xxhash.xxh64_intdigest(part.encode(), seed)
+        return seed - 2 ** 64 if seed >> 63 else seed
+
+    return turn is not None, turn or 0, role, signed(42)
+
+
+def plain(rows, every):
+    """What the query returns, one conversation after the other; rows are (conv_id, turn, role, text) after damage."""
+    found = {}
+    for id_ in every:
+        turns = sorted(((t, r, x) for c, t, r, x in rows if c == id_), key=order)
+        numbers = {t for t, _, _ in turns if t is not None}
+        gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+        letters, counts = "", [0, 0, 0]
+        for k, (_, role, text) in enumerate(turns):
+            end = text.rstrip(WHITE)
+            fault = 0 if not end else 1 if (role, text) in [y[1:] for y in turns[:k]] else 2 if end[-1] not in ".!?" else None
+            if fault is not None:
+                counts[fault] += 1
+            letter = role[:1] if role[:1] in ("s", "u", "a") else "o"
+            letters += "x" if fault in (0, 1) else letter.upper() if fault == 2 else letter
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit = suffixes(letters)
+        left, out = iter(turns), []
+        for edit in audit:
+            _, role, text = next(left) if edit != "I" else (None, None, "")
+            if edit != "D":
+                out.append((role if edit == "K" else None, text))
+        shift = len(out) % 2
+        lines = [f"{role if role is not None else ('user', 'assistant')[(k - shift) % 2]}:{text}" for k, (role, text) in enumerate(out)]
+        found[id_] = (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return found
+
+
+def plain_damage(rows):
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        yield from [(conv, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+
+
+def as_dict(found):
+    return {r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, r.repaired_sha256)
+            for r in found.collect()}
+
+
+def random_rows(seed, n, conversations):
+    chance = random.Random(seed)
+    roles, texts = ["user", "assistant", "user", "assistant", "system", "tool", "", None], ["yes.", "no", "", " \n", "Why? ", "é.", None, "."]
+    return [(chance.choice(conversations), chance.choice([*range(6), None]), chance.choice(roles), chance.choice(texts)) for _ in range(n)]
+
+
+def test_same_as_one_by_one(spark):
+    rows = random_rows(5, 900, [*range(120), None])
+    table = spark.createDataFrame(rows, SCHEMA)
+    expected = plain(list(plain_damage(rows)), {r[0] for r in rows})
+    assert as_dict(repair.digests(repair.edited(repair.damaged(table), table))) == expected
+
+
+def test_blocks_and_hot_conversations(spark, monkeypatch):
+    """Conversations of many blocks, one with most rows, one of equal rows; rounds of joined blocks."""
+    monkeypatch.setattr(repair, "BLOCK", 4)
+    monkeypatch.setattr(repair, "FAN", 3)
+    rows = [(1, k, ("user", "assistant")[k % 2], f"text {k}{'.!x'[k % 3]}") for k in range(400)]
+    rows += [(2, 5, "user", "same.")] * 60 + [(3, k // 3, "assistant", f"{k}.") for k in range(50)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert as_dict(repair.digests(repair.edited(table))) == plain(rows, {1, 2, 3})
+
+
+def test_repaired_turns_are_in_order(spark):
+    rows = random_rows(6, 300, [*range(60)])
+    table = spark.createDataFrame(rows, SCHEMA)
+    turns = {}
+    for r in sorted(repair.repaired(table).collect()):
+        turns.setdefault(r.conv_id, []).append(r)
+    for found in turns.values():
+        initials = "".join(r.role[0] for r in found).removeprefix("s")
+        assert initials == "ua" * (len(found) // 2) and initials
+        assert [r.place for r in found] == list(range(len(found)))
+
+
+def test_odd_tables(spark):
+    rows = random_rows(7, 40, [1, None])
+    table = spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA + ", audit string, place int")
+    filled = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    assert as_dict(repair.digests(repair.edited(table))) == plain(filled, {1, None})
+    assert repair.digests(repair.edited(table.where("false"))).collect() == []
+    long = spark.createDataFrame([(1, 0, "user", "a " * 500_000 + "."), (1, 1, "assistant", "." + " " * 500_000)], SCHEMA)
+    assert as_dict(repair.digests(repair.edited(long)))[1][5:7] == (0, "KK")
+
+
+def test_query_and_its_sql(spark, table):
+    found = queries.queries()["op12_repair"](spark, "/root/testdata/sf0.001")
+    rows = [tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in table("conversations").collect()]
+    assert as_dict(found) == plain(list(plain_damage(rows)), {r[0] for r in rows})
+    con = duckdb.connect()
+    con.execute("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.01/conversations.parquet'")
+    con.execute(queries.oracle_sql()["op12_repair"])
+    names = [d[0] for d in con.description]
+    larger = queries.queries()["op12_repair"](spark, "/root/testdata/sf0.01")
+    assert sorted(names) == sorted(larger.columns)
+    assert sorted(tuple(r[names.index(c)] for c in larger.columns) for r in con.fetchall()) == sorted(map(tuple, larger.collect()))

@@ -100,11 +100,6 @@ def upsert_vectors(vectors: DataFrame, new: DataFrame, key: str = "order_id") ->
     return kept.unionByName(new.select(key, "embedding"))
 
 
-def append_vectors(new: DataFrame, path: str) -> None:
-    """Add freshly embedded rows to the vector table; ``pending`` skips them next time."""
-    new.write.mode("append").parquet(path)
-
-
 def embedded_count(vectors: DataFrame) -> DataFrame:
     """How many rows have a vector."""
     return vectors.agg(F.count("embedding").alias("embedded"))

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook import schemas
@@ -122,36 +122,74 @@ def _finish(counted: DataFrame, check: str, subject: str, expected: int | None =
     return counted.select(*_row(check, subject, wanted), "actual", passed.alias("passed"))
 
 
+def _counted(check: Check) -> Column:
+    """What a check on a table's rows counts."""
+    match check:
+        case RowCount():
+            return F.count(F.lit(1))
+        case NotNull(_, column):
+            return F.count_if(F.col(column).isNull())
+        case Rule(_, _, condition):
+            return F.count_if(~F.expr(condition))
+        case Count(_, _, condition):
+            return F.count_if(F.expr(condition))
+    raise TypeError(f"no check on rows: {check!r}")
+
+
+def _judged(check: Check, actual):
+    """A check's kind, subject, what it wants, and whether ``actual``, a number or a column, is that."""
+    match check:
+        case RowCount(table, expected):
+            return "row_count", table, str(expected), actual == expected
+        case NotNull(table, column):
+            return "not_null", f"{table}.{column}", "0", actual == 0
+        case Rule(table, name, _, None):
+            return "rule", f"{table}.{name}", "any", True
+        case Rule(table, name, _, expected):
+            return "rule", f"{table}.{name}", str(expected), actual == expected
+        case Count(table, name, _, expected, True):
+            return "count", f"{table}.{name}", f"<= {expected}", actual <= expected
+        case Count(table, name, _, expected, _):
+            return "count", f"{table}.{name}", str(expected), actual == expected
+    raise TypeError(f"no check on rows: {check!r}")
+
+
 def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks on one table's rows, from one aggregate over it."""
     counts, rows = [], []
     for i, check in enumerate(checks):
         actual = F.col(f"c{i}")
-        wanted, passed = "0", actual == 0
-        match check:
-            case RowCount(table, expected):
-                counted, kind, subject = F.count(F.lit(1)), "row_count", table
-                wanted, passed = str(expected), actual == expected
-            case NotNull(table, column):
-                counted = F.count_if(F.col(column).isNull())
-                kind, subject = "not_null", f"{table}.{column}"
-            case Rule(table, name, condition, expected):
-                counted = F.count_if(~F.expr(condition))
-                kind, subject = "rule", f"{table}.{name}"
-                if expected is None:
-                    wanted, passed = "any", F.lit(True)
-                else:
-                    wanted, passed = str(expected), actual == expected
-            case Count(table, name, condition, expected, at_most):
-                counted = F.count_if(F.expr(condition))
-                kind, subject = "count", f"{table}.{name}"
-                wanted = f"<= {expected}" if at_most else str(expected)
-                passed = actual <= expected if at_most else actual == expected
-        counts.append(counted.alias(f"c{i}"))
+        kind, subject, wanted, passed = _judged(check, actual)
+        counts.append(_counted(check).alias(f"c{i}"))
+        passed = passed if isinstance(passed, Column) else F.lit(passed)
         rows.append(F.struct(*_row(kind, subject, wanted), actual.alias("actual"), passed.alias("passed")))
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+def on_rows(checks: Iterable[Check]) -> tuple[list[Check], list[Check]]:
+    """The checks that look at one row at a time, which a write can answer, and the others."""
+    found = list(checks)
+    return [c for c in found if isinstance(c, _ROW_CHECKS)], [c for c in found if not isinstance(c, _ROW_CHECKS)]
+
+
+def metrics(checks: Sequence[Check]) -> dict[str, dict[str, Column]]:
+    """The counts of checks on rows by table and name, for ``tables.write_version`` to observe."""
+    found: dict[str, dict[str, Column]] = defaultdict(dict)
+    for i, check in enumerate(checks):
+        found[check.table][f"c{i}"] = _counted(check)
+    return dict(found)
+
+
+def observed_report(spark: SparkSession, checks: Sequence[Check], values: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The report of ``run_checks``, from what a write observed of the same checks' ``metrics``. Reads no table."""
+    rows = []
+    for i, check in enumerate(checks):
+        actual = values[check.table][f"c{i}"]
+        kind, subject, wanted, passed = _judged(check, actual)
+        rows.append((kind, subject, wanted, actual, passed))
+    return spark.createDataFrame(rows, "check string, subject string, expected string, actual long, passed boolean")
+
+
 def _table_check(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     match check:
         case UniqueKey(table, columns):

@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.operators import embedding
+from stallbook.sources.keyed import KeyedTable
 
 VECTOR_SCHEMA = "order_id string, embedding array<float>"
+BUCKETS = 64
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """The vector table, empty before the first run."""
-    try:
-        return spark.read.schema(VECTOR_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], VECTOR_SCHEMA)
+    table = KeyedTable(spark, path)
+    return table.read() if table.exists() else spark.createDataFrame([], VECTOR_SCHEMA)
+
+
+def write_back(vectors: DataFrame, path: str, key: str = "order_id", buckets: int = BUCKETS) -> None:
+    """Put fresh vectors into the table, which is made if need be; other buckets' files stay as they are."""
+    table = KeyedTable(vectors.sparkSession, path)
+    if table.exists():
+        table.merge(vectors)
+    else:
+        KeyedTable.create(vectors, path, key, buckets)
 
 
 def embed_reviews(reviews: DataFrame, path: str, model: embedding.Model | None = None,
@@ -31,5 +37,5 @@ def embed_reviews(reviews: DataFrame, path: str, model: embedding.Model | None =
         # A sorted sample is one partition: deal it out, so that calls run side by side.
         calls = ceil(limit / embedding.TEXTS_PER_CALL)
         todo = todo.repartition(max(1, min(calls, spark.sparkContext.defaultParallelism)))
-    embedding.append_vectors(embedding.embed(todo, model or embedding.hashed_tokens(dim), dim=dim), path)
+    write_back(embedding.embed(todo, model or embedding.hashed_tokens(dim), dim=dim), path)
     return embedding.embedded_count(read_vectors(spark, path)).first()["embedded"]

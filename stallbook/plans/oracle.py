@@ -538,4 +538,10 @@ def oracle_sql() -> dict[str, str]:
             WHERE n_regionkey = 1""",
     }
     bodies["churned_by_antijoin"] = bodies["churned_customers"]
+    bodies["vectors_written_back"] = bodies["vectors_upserted"]
+    bodies["vectors_replaced"] = components.format(
+        f"SELECT v.vec_id AS doc_id, coalesce(f.e, v.embedding) AS e FROM embeddings v "
+        f"LEFT JOIN (SELECT vec_id * 2 AS id, e FROM ({fresh})) f ON f.id = v.vec_id")
+    bodies["published_checks"] = "\nUNION ALL\n".join(
+        f"SELECT * FROM ({bodies[name]})" for name in ("not_null_report", "row_rule_report", "reported_rule_counts"))
     return {name: _sql(body) for name, body in bodies.items()}

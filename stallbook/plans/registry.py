@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from stallbook.functions.vectors import stored_precision
 from stallbook.operators import analytics, embedding, matching, ordered, profiling, quality, search
-from stallbook.plans import profile, retail, star
+from stallbook.plans import embed_reviews, profile, retail, star
 from stallbook.sources import csv_files, tables
+from stallbook.sources.keyed import KeyedTable
 from stallbook.sources.shared import new_folder, pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +248,25 @@ def vectors_upserted(spark, folder):
     return _components(embedding.upsert_vectors(_document_vectors(spark, folder), shifted, "doc_id"))
 
 
+@_query
+def vectors_written_back(spark, folder):
+    """New vectors merged into a written table, in which only their keys' buckets are rewritten, and read back."""
+    path = new_folder(spark, "vectors")
+    embed_reviews.write_back(_document_vectors(spark, folder), path, "doc_id")
+    shifted = _fresh_vectors(spark, folder).withColumn("doc_id", F.col("doc_id") * 2)
+    embed_reviews.write_back(shifted, path)
+    return _components(embed_reviews.read_vectors(spark, path))
+
+
+@_query
+def vectors_replaced(spark, folder):
+    """The same for keys that are there already: no row is added."""
+    path = new_folder(spark, "vectors")
+    table = KeyedTable.create(_document_vectors(spark, folder), path, "doc_id", embed_reviews.BUCKETS)
+    table.merge(_fresh_vectors(spark, folder).withColumn("doc_id", F.col("doc_id") * 2), insert=False)
+    return _components(table.read())
+
+
 @_query
 def embedded_count(spark, folder):
     read = embedding.with_embedding(_documents(spark, folder).select("doc_id"),
@@ -403,15 +423,28 @@ def failed_checks(spark, folder):
     return quality.failures(report)
 
 
+def _published(spark, folder, checks):
+    """The whole job: gate, clean, write, gate, publish."""
+    root = new_folder(spark, "published")
+    retail.build(_landed(spark, folder), root, _expected(spark, folder), checks)
+    return root
+
+
 @_query
 def published_row_counts(spark, folder):
-    """The whole job: gate, clean, write, gate, publish, and read what is published."""
-    root = new_folder(spark, "published")
+    """What the write of the published tables counted."""
     checks = [*quality.not_nulls(), *quality.references(),
               quality.HasChild("customers", "customer_id", "orders"), quality.NoColumnLike("lenght")]
-    retail.build(_landed(spark, folder), root, _expected(spark, folder), checks)
-    typed = tables.read_published(spark, root, retail.TABLES)
-    return quality.run_checks(typed, quality.row_counts(dict.fromkeys(retail.TABLES, 0))).select("subject", "actual")
+    typed = tables.read_published(spark, _published(spark, folder, checks), retail.TABLES)
+    return spark.createDataFrame([(name, typed.metrics[name]["rows"]) for name in typed], "subject string, actual long")
+
+
+@_query
+def published_checks(spark, folder):
+    """Rules and NOT NULLs of the published tables, as their write observed them; nothing is read again."""
+    checks = [*quality.not_nulls(), *quality.row_rules(), *quality.reported_rules(box=(0, 0.05, 0, 0.04))]
+    root = _published(spark, folder, checks)
+    return retail.published_report(spark, root, checks)
 
 
 @_query

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_POINTER = "current"
+from stallbook.sources import commits
+
+_VERSION = "v"
 ARRAY_ROWS = 10_000     # rows that one JSON array may hold
 
 
@@ -17,12 +19,15 @@ class Tables(Mapping[str, DataFrame]):
     """Named DataFrames, each made when it is first asked for.
 
     Opening a Parquet table costs a job to learn its schema, so a query that
-    needs two of nine tables opens two.
+    needs two of nine tables opens two. ``metrics`` are what the tables' write
+    observed, by table and name, where that is known.
     """
 
-    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]],
+                 metrics: Mapping[str, Mapping[str, int]] | None = None) -> None:
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self.metrics = dict(metrics or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -36,11 +41,12 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._makers)
 
 
-def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str = ".parquet") -> Tables:
+def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str = ".parquet",
+                metrics: Mapping[str, Mapping[str, int]] | None = None) -> Tables:
     def maker(name: str) -> Callable[[], DataFrame]:
         return lambda: spark.read.parquet(f"{folder}/{name}{suffix}")
 
-    return Tables({name: maker(name) for name in names})
+    return Tables({name: maker(name) for name in names}, metrics)
 
 
 def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -54,52 +60,75 @@ def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) ->
     return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})", args=cells)
 
 
-def write_version(tables: Mapping[str, DataFrame], root: str) -> str:
-    """Write all tables into a fresh version folder; nothing points to it yet."""
+def write_version(tables: Mapping[str, DataFrame], root: str,
+                  metrics: Mapping[str, Mapping[str, Column]] | None = None) -> tuple[str, dict[str, dict]]:
+    """Write all tables into a fresh version folder; nothing points to it yet.
+
+    ``metrics`` are aggregates per table, by name, that are worked out as the rows pass on their way to the files;
+    the number of ``rows`` always is. Returns the version and the metrics' values.
+    """
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    version = f"v{stamp}-{uuid4().hex[:8]}"
+    version = f"{_VERSION}{stamp}-{uuid4().hex[:8]}"
+    values = {}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{version}/{name}")
-    return version
+        wanted = {"rows": F.count(F.lit(1)), **(metrics or {}).get(name, {})}
+        seen = Observation()
+        passing = df.observe(seen, *[column.alias(alias) for alias, column in wanted.items()])
+        passing.write.mode("overwrite").parquet(f"{root}/{version}/{name}")
+        values[name] = dict(seen.get)
+    return version, values
 
 
-def publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` the one readers see.
+def publish(spark: SparkSession, root: str, version: str, after: int | None = None,
+            metrics: Mapping[str, dict] | None = None) -> None:
+    """Make ``version`` the one readers see, with its metrics.
 
-    A one-row table holds the name. Rows are appended, never rewritten: the
-    latest wins, so readers see the old version or the new one, whole.
+    ``after`` is the number of the commit the writer started from. If someone else has published since, this is a
+    ``commits.Conflict`` and changes nothing.
     """
-    (spark.range(1)
-     .select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
-     .coalesce(1).write.mode("append").parquet(f"{root}/{_POINTER}"))
+    began = commits.last(spark, root) if after is None else after
+    commits.commit(spark, root, began + 1, {"version": version, "metrics": metrics or {}})
 
 
 def current_version(spark: SparkSession, root: str) -> str:
-    newest = (spark.read.parquet(f"{root}/{_POINTER}")
-              .orderBy(F.desc("published_at"), F.desc("version")).limit(1).collect())
-    if not newest:
-        raise RuntimeError(f"nothing is published under {root}")
-    return newest[0]["version"]
+    return commits.read(spark, root)["version"]
 
 
-def read_published(spark: SparkSession, root: str, names: list[str]) -> Mapping[str, DataFrame]:
-    return read_tables(spark, f"{root}/{current_version(spark, root)}", names, suffix="")
+def read_published(spark: SparkSession, root: str, names: list[str]) -> Tables:
+    """The tables of the current version, with what their write observed."""
+    found = commits.read(spark, root)
+    return read_tables(spark, f"{root}/{found['version']}", names, suffix="", metrics=found["metrics"])
 
 
-def reload(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
-           gate: Callable[[Mapping[str, DataFrame]], None]) -> Mapping[str, DataFrame]:
+def reload(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], gate: Callable[[Tables], None],
+           metrics: Mapping[str, Mapping[str, Column]] | None = None) -> Tables:
     """Replace all tables at once, if the written version passes ``gate``.
 
-    Running it twice gives the same published rows. A failing gate raises and
-    leaves the previous version published.
+    The gate gets the written tables with the metrics their write observed. Running it twice gives the same published
+    rows. A failing gate, or another writer who published since this one began, raises, leaves what was published
+    and removes what this run wrote.
     """
-    version = write_version(tables, root)
-    written = read_tables(spark, f"{root}/{version}", list(tables), suffix="")
-    gate(written)
-    publish(spark, root, version)
+    began = commits.last(spark, root)
+    version, values = write_version(tables, root, metrics)
+    written = read_tables(spark, f"{root}/{version}", list(tables), suffix="", metrics=values)
+    try:
+        gate(written)
+        publish(spark, root, version, began, values)
+    except BaseException:
+        commits.remove(spark, f"{root}/{version}")
+        raise
     return written
 
 
+def vacuum(spark: SparkSession, root: str, keep: int = 2, older_than: timedelta = timedelta(days=7)) -> list[str]:
+    """Delete the versions that the last ``keep`` commits do not name, unless they are younger than ``older_than``.
+
+    Those are old versions, and what runs that died have left. Returns their names.
+    """
+    named = [commits.read(spark, root, number)["version"] for number in commits.numbers(spark, root)[-keep:]]
+    return commits.remove_unnamed(spark, root, _VERSION, named, older_than)
+
+
 def json_rows(df: DataFrame) -> DataFrame:
     """Each row as one JSON object; stays distributed, and ``.write.text`` writes it from the tasks."""
     return df.select(F.to_json(F.struct("*")).alias("json"))

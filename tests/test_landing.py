@@ -1,12 +1,14 @@
 import random
+from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import shop
 from stallbook import schemas
 from stallbook.functions.text import utf8_hex
-from stallbook.sources import csv_files, tables
+from stallbook.sources import commits, csv_files, tables
 
 
 def test_every_table_lands_whole_and_as_text(landed):
@@ -137,3 +139,37 @@ def test_published_version_changes_whole(spark, tmp_path):
     except ValueError:
         pass
     assert tables.read_published(spark, root, ["t"])["t"].count() == 3
+
+
+def test_of_two_publishers_one_fails_loudly(spark, tmp_path):
+    """Both start from the same commit; the second to publish changes nothing and leaves no version behind."""
+    root = str(tmp_path)
+    tables.reload(spark, root, {"t": spark.range(1).toDF("a")}, lambda written: None)
+
+    def meanwhile(written):
+        tables.reload(spark, root, {"t": spark.range(2).toDF("a")}, lambda written: None)
+
+    with pytest.raises(commits.Conflict):
+        tables.reload(spark, root, {"t": spark.range(3).toDF("a")}, meanwhile)
+    assert tables.read_published(spark, root, ["t"])["t"].count() == 2
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("v")]) == 2
+
+
+def test_failed_and_old_versions_go(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (1, 2, 3):
+        tables.reload(spark, root, {"t": spark.range(n).toDF("a")}, lambda written: None)
+    abandoned, _ = tables.write_version({"t": spark.range(9).toDF("a")}, root)
+    assert tables.vacuum(spark, root) == []                    # all are young
+    gone = tables.vacuum(spark, root, keep=2, older_than=timedelta(0))
+    assert len(gone) == 2 and abandoned in gone
+    assert tables.read_published(spark, root, ["t"])["t"].count() == 3
+
+
+def test_a_write_counts_what_passes(spark, tmp_path):
+    counts = {"t": {"odd": F.count_if(F.col("a") % 2 == 1), "none": F.count_if(F.col("a").isNull())}}
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "a int").repartition(3)
+    version, found = tables.write_version({"t": df, "u": df.where("false")}, str(tmp_path), counts)
+    assert found == {"t": {"rows": 4, "odd": 2, "none": 1}, "u": {"rows": 0}}
+    tables.publish(spark, str(tmp_path), version, metrics=found)
+    assert tables.read_published(spark, str(tmp_path), ["t"]).metrics == found

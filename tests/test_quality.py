@@ -93,3 +93,14 @@ def test_reported_rules_never_fail(typed, landed):
         ("rule", "products.weight_positive"): (1, True),
         ("rule", "geolocation.coordinates_in_box"): (0, True),
     }
+
+
+def test_checks_on_rows_come_from_the_write(spark, landed, typed, tmp_path):
+    """The same report as reading the published tables again, without reading one."""
+    checks = [*quality.row_counts(shop.TYPED_ROWS), *quality.not_nulls(), *quality.row_rules(), *quality.reported_rules(),
+              quality.Count("orders", "delivered", "order_status = 'delivered'", 100, at_most=True)]
+    root = str(tmp_path / "shop")
+    retail.build(landed, root, EXPECTED, checks)
+    report = retail.published_report(spark, root, checks)
+    assert results(report) == results(quality.run_checks(typed, checks)) and report.count() == len(checks)
+    assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString()

@@ -24,12 +24,13 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def cosine_distance(a: Column, b: Column, length_of_b: Column | None = None) -> Column:
+def cosine_distance(a: Column, b: Column, length_of_b: Column | None = None, length_of_a: Column | None = None) -> Column:
     """``1 - cos``; NULL when either vector has zero length.
 
-    ``length_of_b`` spares working out the same norm for every row.
+    ``length_of_b`` spares working out the same norm for every row, ``length_of_a`` is a stored one.
     """
-    return F.lit(1.0) - F.try_divide(dot(a, b), norm(a) * (norm(b) if length_of_b is None else length_of_b))
+    lengths = (norm(a) if length_of_a is None else length_of_a) * (norm(b) if length_of_b is None else length_of_b)
+    return F.lit(1.0) - F.try_divide(dot(a, b), lengths)
 
 
 def l2_distance(a: Column, b: Column) -> Column:
@@ -45,10 +46,11 @@ def negative_inner_product(a: Column, b: Column) -> Column:
     return -dot(a, b)
 
 
-def distance(metric: str, a: Column, b: Column, length_of_b: Column | None = None) -> Column:
+def distance(metric: str, a: Column, b: Column, length_of_b: Column | None = None,
+             length_of_a: Column | None = None) -> Column:
     match metric:
         case "cosine":
-            return cosine_distance(a, b, length_of_b)
+            return cosine_distance(a, b, length_of_b, length_of_a)
         case "l2":
             return l2_distance(a, b)
         case "inner_product":

@@ -538,6 +538,14 @@ def oracle_sql() -> dict[str, str]:
             WHERE n_regionkey = 1""",
     }
     bodies["churned_by_antijoin"] = bodies["churned_customers"]
+    for metric, function in (("cosine", "array_cosine_distance"), ("l2", "array_distance"),
+                             ("inner_product", "array_negative_inner_product")):
+        bodies[f"nearest_{metric}_indexed"] = bodies[f"nearest_{metric}"]
+        apart = f"{function}(CAST(v.embedding AS DOUBLE[64]), CAST(s.embedding AS DOUBLE[64]))"
+        bodies[f"nearest_to_each_{metric}"] = f"""
+            SELECT s.vec_id AS seed, v.vec_id, round({apart}, 6) AS distance,
+                   row_number() OVER (PARTITION BY s.vec_id ORDER BY {apart}, v.vec_id) AS position
+            FROM embeddings s, embeddings v WHERE s.vec_id % 50 = 0 QUALIFY position <= 5"""
     bodies["vectors_written_back"] = bodies["vectors_upserted"]
     bodies["vectors_replaced"] = components.format(
         f"SELECT v.vec_id AS doc_id, coalesce(f.e, v.embedding) AS e FROM embeddings v "

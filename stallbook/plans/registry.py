@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallbook.functions.vectors import stored_precision
-from stallbook.operators import analytics, embedding, matching, ordered, profiling, quality, search
+from stallbook.operators import analytics, embedding, knn, matching, ordered, pivots, profiling, quality, search
 from stallbook.plans import embed_reviews, profile, retail, star
 from stallbook.sources import csv_files, tables
 from stallbook.sources.keyed import KeyedTable
@@ -200,6 +200,50 @@ def nearest_inner_product(spark, folder):
     return _nearest(spark, folder, "inner_product")
 
 
+def _nearest_indexed(spark, folder, metric):
+    """By stored distances to pivots, which leave out what cannot be near."""
+    index = pivots.PivotIndex.build(_vectors(spark, folder), new_folder(spark, "pivots"), key="vec_id")
+    found = index.nearest(seed=0, metric=metric, key="vec_id")
+    return found.select("vec_id", "label", F.round("distance", 6).alias("distance"))
+
+
+@_query
+def nearest_cosine_indexed(spark, folder):
+    return _nearest_indexed(spark, folder, "cosine")
+
+
+@_query
+def nearest_l2_indexed(spark, folder):
+    return _nearest_indexed(spark, folder, "l2")
+
+
+@_query
+def nearest_inner_product_indexed(spark, folder):
+    return _nearest_indexed(spark, folder, "inner_product")
+
+
+def _nearest_to_each(spark, folder, metric):
+    """The nearest rows of every vector with an id divisible by 50."""
+    table = _vectors(spark, folder)
+    found = knn.nearest_to_each(table, table.where("vec_id % 50 = 0"), metric=metric, key="vec_id")
+    return found.select("seed", "vec_id", F.round("distance", 6).alias("distance"), "position")
+
+
+@_query
+def nearest_to_each_cosine(spark, folder):
+    return _nearest_to_each(spark, folder, "cosine")
+
+
+@_query
+def nearest_to_each_l2(spark, folder):
+    return _nearest_to_each(spark, folder, "l2")
+
+
+@_query
+def nearest_to_each_inner_product(spark, folder):
+    return _nearest_to_each(spark, folder, "inner_product")
+
+
 def _documents(spark, folder):
     return tables.read_tables(spark, folder, ["documents"])["documents"]
 

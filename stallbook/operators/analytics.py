@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.functions import dates, numbers
-from stallbook.operators import ordered
+from stallbook.operators import matching, ordered
 from stallbook.operators.matching import distinct_keys
 from stallbook.sources.shared import pinned
 
@@ -137,13 +137,9 @@ def churned_by_antijoin(orders: DataFrame, customers: DataFrame, horizon_days: i
     """
     times = (orders.select("customer_id", F.col("order_purchase_timestamp").alias("ts"))
              .join(_persons(customers), "customer_id")
-             .select(F.col("customer_unique_id").alias("customer"), "ts").distinct())
+             .select(F.col("customer_unique_id").alias("customer"), "ts"))
     firsts = times.groupBy("customer").agg(F.min("ts").alias("first_ts")).where(F.col("first_ts").isNotNull())
-    later = times.select(F.col("customer").alias("who"), F.col("ts").alias("again"))
-    horizon = dates.shift("first_ts", timedelta(days=horizon_days))
-    returned = ((F.col("customer") == F.col("who"))
-                & (F.col("again") > F.col("first_ts")) & (F.col("again") <= horizon))
-    return firsts.join(later, returned, "left_anti")
+    return matching.without_follower(firsts, times, "customer", "first_ts", horizon_days, other_at="ts")
 
 
 def _sales(items: DataFrame, orders: DataFrame, exclude_status: Sequence[str], *period: Column) -> DataFrame:

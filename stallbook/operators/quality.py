@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stallbook import schemas
 from stallbook.functions.text import report_line
-from stallbook.operators.matching import orphans, unmatched, with_partner
+from stallbook.operators.matching import orphans, orphans_by_bitmap, unmatched, with_partner
 from stallbook.sources.tables import columns_like
 
 REPORT_COLUMNS = ["check", "subject", "expected", "actual", "passed"]
@@ -74,6 +74,7 @@ class Reference:
     parent: str
     parent_key: str | None = None
     expected: int = 0
+    compact: bool = False     # keys are whole numbers in a compact range: compare them as bitmaps
 
 
 @dataclass(frozen=True)
@@ -197,8 +198,9 @@ def _table_check(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
                         .where(F.col("n") > 1))
             return _finish(repeated.agg(F.count(F.lit(1)).alias("actual")),
                            "unique_key", f"{table}({', '.join(columns)})")
-        case Reference(table, key, parent, parent_key, expected):
-            lost = orphans(tables[table], key, tables[parent], parent_key)
+        case Reference(table, key, parent, parent_key, expected, compact):
+            find = orphans_by_bitmap if compact else orphans
+            lost = find(tables[table], key, tables[parent], parent_key)
             return _finish(lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("actual")),
                            "reference", f"{table}.{key} -> {parent}", expected)
         case HasChild(table, key, child, child_key):

@@ -546,6 +546,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT s.vec_id AS seed, v.vec_id, round({apart}, 6) AS distance,
                    row_number() OVER (PARTITION BY s.vec_id ORDER BY {apart}, v.vec_id) AS position
             FROM embeddings s, embeddings v WHERE s.vec_id % 50 = 0 QUALIFY position <= 5"""
+    bodies["dropped_references_by_bitmap"] = bodies["dropped_reference_report"]
     bodies["vectors_written_back"] = bodies["vectors_upserted"]
     bodies["vectors_replaced"] = components.format(
         f"SELECT v.vec_id AS doc_id, coalesce(f.e, v.embedding) AS e FROM embeddings v "

@@ -429,18 +429,28 @@ def reference_report(spark, folder):
     return _report(spark, folder, quality.references())
 
 
-@_query
-def dropped_reference_report(spark, folder):
-    """References from the landed rows to the cleaned orders: what the drop would have orphaned."""
+def _dropped_references(spark, folder, compact):
     landed = _landed(spark, folder)
     typed = retail.clean(landed)
     children = ["order_items", "order_payments", "order_reviews", "customers"]
     found = {f"landed_{name}": landed[name] for name in children}
     return quality.run_checks({**found, "orders": typed["orders"]}, [
-        quality.Reference(name, "customer_id" if name == "landed_customers" else "order_id", "orders")
+        quality.Reference(name, "customer_id" if name == "landed_customers" else "order_id", "orders", compact=compact)
         for name in found])
 
 
+@_query
+def dropped_reference_report(spark, folder):
+    """References from the landed rows to the cleaned orders: what the drop would have orphaned."""
+    return _dropped_references(spark, folder, compact=False)
+
+
+@_query
+def dropped_references_by_bitmap(spark, folder):
+    """The same by comparing bitmaps of the keys."""
+    return _dropped_references(spark, folder, compact=True)
+
+
 @_query
 def row_rule_report(spark, folder):
     return _report(spark, folder, quality.row_rules())

@@ -50,8 +50,9 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
 
 
-def test_records_across_lines_and_blocks(spark, tmp_path):
-    """Files cut into many blocks give the records one sequential reader finds."""
+@pytest.mark.parametrize("chunk", [1, 40, csv_files.CHUNK])
+def test_records_across_lines_and_blocks(spark, tmp_path, chunk):
+    """Files cut into many blocks and chunks give the records one sequential reader finds."""
     rng = random.Random(3)
     words = ["a", "b,c", 'say ""x""', "line\nbreak", "two\n\nbreaks", "cr\r\nlf", "", "é"]
     wanted = []
@@ -70,7 +71,7 @@ def test_records_across_lines_and_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        found = csv_files.read_csv(spark, str(tmp_path / "part*.csv"), schema, line_breaks=True)
+        found = csv_files.read_csv(spark, str(tmp_path / "part*.csv"), schema, line_breaks=True, chunk=chunk)
         assert spark.read.text(str(tmp_path / "part*.csv")).rdd.getNumPartitions() > 30
         rows = sorted(map(tuple, found.collect()), key=lambda r: r[0])
     finally:
@@ -79,6 +80,17 @@ def test_records_across_lines_and_blocks(spark, tmp_path):
     assert rows == sorted(wanted, key=lambda r: r[0])
 
 
+def test_files_are_read_once(spark, tmp_path):
+    """What is left to run reads what the one pass over the files wrote down."""
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    schema = T.StructType.fromDDL("a string, b string")
+    found = csv_files.read_csv(spark, str(tmp_path / "t.csv"), schema, line_breaks=True)
+    (tmp_path / "t.csv").unlink()
+    assert sorted(map(tuple, found.collect())) == [("1", "x\ny"), ("2", "z")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and plan.count("text#") > 0
+
+
 def test_a_record_with_a_missing_field_fails(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2\n')
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])

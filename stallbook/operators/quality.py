@@ -6,6 +6,7 @@ list of them into one report; checks on the same table's rows share one scan.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -213,7 +214,7 @@ def _table_check(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
                            "matches", f"{table}.{name}", expected)
         case NoColumnLike(pattern):
             # The schemas are at hand; the row count only gives the row to put it in.
-            found = len(columns_like(tables, pattern))
+            found = len(columns_like(tables, "%" + re.sub(r"([%_\\])", r"\\\1", pattern) + "%"))
             some = next(iter(tables.values()))
             return _finish(some.limit(0).agg((F.count(F.lit(1)) + F.lit(found)).alias("actual")),
                            "no_column_like", pattern)

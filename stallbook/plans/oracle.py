@@ -109,6 +109,41 @@ _VIEWS = {
           ORDER BY answered DESC, l_partkey::VARCHAR DESC, score DESC, l_linestatus DESC, l_shipdate DESC) = 1""",
 }
 
+# The typed tables with the violations that ``star.planted`` puts in.
+_PLANTED = {
+    "orders": "CASE WHEN order_status = 'shipped' THEN order_purchase_timestamp - INTERVAL 1 DAY ELSE order_approved_at END "
+              "AS order_approved_at, CASE order_status WHEN 'canceled' THEN 'lost' ELSE order_status END AS order_status, "
+              "CASE order_status WHEN 'shipped' THEN 'x' || customer_id ELSE customer_id END AS customer_id",
+    "order_items": "CASE order_item_id WHEN 2 THEN -price ELSE price END AS price, "
+                   "CASE WHEN order_item_id <> 3 THEN product_id END AS product_id, "
+                   "CASE order_item_id WHEN 4 THEN 'none' ELSE seller_id END AS seller_id, "
+                   "CASE order_item_id WHEN 5 THEN 0 ELSE order_item_id END AS order_item_id",
+    "payments": "CASE payment_sequential WHEN 2 THEN -payment_value ELSE payment_value END AS payment_value, "
+                "CASE payment_sequential WHEN 3 THEN 'cash' ELSE payment_type END AS payment_type, "
+                "CASE payment_sequential WHEN 4 THEN -1 ELSE payment_installments END AS payment_installments, "
+                "CASE payment_sequential WHEN 5 THEN 'none' ELSE order_id END AS order_id",
+    "order_reviews": "CASE review_score WHEN 5 THEN 9 ELSE review_score END AS review_score, "
+                     "CASE WHEN review_score <> 2 THEN review_creation_date END AS review_creation_date, "
+                     "CASE review_score WHEN 1 THEN review_creation_date - INTERVAL 1 DAY ELSE review_answer_timestamp END "
+                     "AS review_answer_timestamp",
+    "geolocation": "CASE geolocation_city WHEN 'A' THEN 91 ELSE geolocation_lat END AS geolocation_lat, "
+                   "CASE WHEN geolocation_city <> 'N' THEN geolocation_city END AS geolocation_city",
+    "sellers": "CASE WHEN seller_zip_code_prefix >= 5 THEN seller_city END AS seller_city",
+}
+_VIEWS |= {f"{table}_p": f"SELECT * REPLACE ({changes}) FROM {table}_c" for table, changes in _PLANTED.items()}
+
+
+def _with_planted(body: str) -> str:
+    return re.sub(rf"\b({'|'.join(_PLANTED)})_c\b", r"\1_p", body)
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, eight shifts a byte; the polynomial is fixed."""
+    codes = f"[('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen({text}))]"
+    shift = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    step = f"list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: {shift})"
+    return f"xor(list_reduce({codes}, lambda crc, byte: {step}, 4294967295::BIGINT), 4294967295)"
+
 
 def _sql(body: str) -> str:
     """``body`` with the views it uses, directly or through others, ahead of it."""
@@ -546,6 +581,38 @@ def oracle_sql() -> dict[str, str]:
             SELECT s.vec_id AS seed, v.vec_id, round({apart}, 6) AS distance,
                    row_number() OVER (PARTITION BY s.vec_id ORDER BY {apart}, v.vec_id) AS position
             FROM embeddings s, embeddings v WHERE s.vec_id % 50 = 0 QUALIFY position <= 5"""
+    for kind, report in (("rules", "row_rule_report"), ("not_nulls", "not_null_report"), ("references", "reference_report")):
+        bodies[f"violated_{kind}"] = _with_planted(bodies[report])
+    bodies["products_without_small_orders"] = """
+        SELECT p_partkey AS product_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity <= 3)"""
+    bodies["versions_with_added_column"] = """
+        SELECT CAST(v AS BIGINT) AS version, order_id, CASE WHEN v = 2 AND review_score = 4 THEN 4.0::DOUBLE END AS first_component,
+               'sentence embedding of the review message; NULL means not embedded yet' AS comment
+        FROM order_reviews_c, range(1, 3) versions(v)"""
+    # Of the given tables alone, whatever else the database holds.
+    bodies["catalog_columns_like"] = """
+        SELECT table_name AS "table", column_name AS "column" FROM information_schema.columns
+        JOIN (SELECT unnest([{0}]) AS given) ON table_name = given
+        JOIN (VALUES ('l!_%key', '!'), ('_ag_', '!'), ('%nation_ey%', '!')) AS p(pattern, sign)
+          ON column_name LIKE pattern ESCAPE '!'""".format(", ".join(f"'{t}'" for t in (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+        "conversations").split()))
+    bodies["key_uniqueness_by_sketches"] = f"SELECT *, true AS estimate_is_near FROM ({bodies['key_uniqueness']})"
+    bodies["handover_gaps_by_sketches"] = (
+        f"SELECT rows, mean_days, negative, true AS median_is_near FROM ({bodies['handover_gaps']})")
+    bodies["planted_byte_order_marks"] = """
+        SELECT 'text' AS "column", count(*) FILTER (doc_id % 10 = 0 AND text IS NOT NULL) AS marked FROM documents
+        UNION ALL SELECT 'lang', count(*) FILTER (doc_id % 7 = 0 AND lang IS NOT NULL) FROM documents
+        UNION ALL SELECT 'source', 0"""
+    bodies["embedded_vectors"] = f"""
+        WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]+')) AS token
+                        FROM ({pending.format("text")})),
+             hashes AS (SELECT token, {crc32("token")} AS h FROM (SELECT DISTINCT token FROM tokens)),
+             sums AS (SELECT doc_id, (h >> 1) % 1024 AS position, sum(CASE WHEN h & 1 = 1 THEN 1 ELSE -1 END)::DOUBLE AS n
+                      FROM tokens JOIN hashes USING (token) GROUP BY ALL),
+             lengths AS (SELECT doc_id, sqrt(sum(n * n)) AS length FROM sums GROUP BY doc_id)
+        SELECT doc_id, position::BIGINT AS position, round(round(n / length, 6)::FLOAT::DOUBLE, 6) AS component
+        FROM sums JOIN lengths USING (doc_id) WHERE n <> 0"""
     bodies["dropped_references_by_bitmap"] = bodies["dropped_reference_report"]
     bodies["vectors_written_back"] = bodies["vectors_upserted"]
     bodies["vectors_replaced"] = components.format(

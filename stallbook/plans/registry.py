@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stallbook import schemas
+from stallbook.functions import dates
 from stallbook.functions.vectors import stored_precision
-from stallbook.operators import analytics, embedding, knn, matching, ordered, pivots, profiling, quality, search
+from stallbook.operators import (analytics, embedding, knn, matching, ordered, pivots, profiling, quality, search,
+                                 sketches)
 from stallbook.plans import embed_reviews, profile, retail, star
-from stallbook.sources import csv_files, tables
+from stallbook.sources import catalog, csv_files, tables
 from stallbook.sources.keyed import KeyedTable
 from stallbook.sources.shared import new_folder, pinned
 
@@ -268,6 +272,13 @@ def embedded_texts(spark, folder):
     return vectors.select("doc_id", F.size("embedding").alias("dimensions"))
 
 
+@_query
+def embedded_vectors(spark, folder):
+    """The vectors themselves, by component, of the texts that have none yet."""
+    vectors = embedding.embed(_pending(spark, folder, None), embedding.hashed_tokens(), key="doc_id", text="text")
+    return _components(vectors).where("component <> 0")
+
+
 def _components(df):
     return df.select("doc_id", F.posexplode("embedding").alias("position", "component")).select(
         "doc_id", "position", F.round(F.col("component").cast("double"), 6).alias("component"))
@@ -501,6 +512,62 @@ def published_checks(spark, folder):
     return retail.published_report(spark, root, checks)
 
 
+def _violations(spark, folder, checks):
+    landed = _landed(spark, folder)
+    return quality.run_checks(star.planted(retail.clean(landed)), checks)
+
+
+@_query
+def violated_rules(spark, folder):
+    return _violations(spark, folder, quality.row_rules())
+
+
+@_query
+def violated_not_nulls(spark, folder):
+    return _violations(spark, folder, quality.not_nulls())
+
+
+@_query
+def violated_references(spark, folder):
+    return _violations(spark, folder, quality.references())
+
+
+@_query
+def products_without_small_orders(spark, folder):
+    """Products no one ever ordered three or fewer of."""
+    t = star.typed_tables(spark, folder)
+    small = tables.read_tables(spark, folder, ["lineitem"])["lineitem"].where("l_quantity <= 3")
+    return analytics.never_ordered(t["products"], small.select(F.col("l_partkey").alias("product_id")))
+
+
+@_query
+def versions_with_added_column(spark, folder):
+    """Reviews published without the vector column, then with it: the first version's are NULL."""
+    root = new_folder(spark, "versions")
+    reviews = _clean(spark, folder, "order_reviews")
+    vector = F.when(F.col("review_score") == 4, F.array(F.col("review_score").cast("float"), F.lit(0.5).cast("float")))
+    for df in (reviews.drop("embedding"), reviews.withColumn("embedding", vector)):
+        tables.reload(spark, root, {"order_reviews": df}, lambda written: None)
+    schema = schemas.typed_schema("order_reviews")
+    found = tables.read_versions(spark, root, "order_reviews", schema)
+    return found.select("version", "order_id", F.get("embedding", F.lit(0)).alias("first_component"),
+                        F.lit(found.schema["embedding"].metadata["comment"]).alias("comment"))
+
+
+@_query
+def catalog_columns_like(spark, folder):
+    """Of the tables registered in the catalog, the columns LIKE 'l!_%key' with '!' as the escape."""
+    database = f"stallbook_{uuid4().hex}"
+    given = {name: f"{folder}/{name}.parquet" for name in star.STAR_TABLES}
+    catalog.register(spark, database, given, new_folder(spark, "catalog"))
+    try:
+        found = catalog.columns_like(spark, database, "l!_%key", "!")
+        return found.unionByName(catalog.columns_like(spark, database, "_ag_")).unionByName(
+            catalog.columns_like(spark, database, "%nation_ey%")).select("table", "column")
+    finally:
+        catalog.unregister(spark, database)
+
+
 @_query
 def published_orphan_products(spark, folder):
     """Products that cleaning left without an order."""
@@ -519,6 +586,30 @@ def key_uniqueness(spark, folder):
     return _profile(spark, folder, "key_uniqueness")
 
 
+def _batches(spark, folder, makers, metrics):
+    """What the writes of three batches observed: the rows of each table as they might arrive."""
+    root = new_folder(spark, "batches")
+    found = []
+    for batch in range(3):
+        part = {name: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == batch) for name, df in makers.items()}
+        version, values = tables.write_version(part, root, metrics)
+        tables.publish(spark, root, version, metrics=values)
+        found.append(values)
+    return found
+
+
+@_query
+def key_uniqueness_by_sketches(spark, folder):
+    """Distinct counts merged from three batches' sketches, held against the exact ones."""
+    landed = star.landed_tables(spark, folder)
+    makers = {table: landed[table] for table, _ in profile.CANDIDATE_KEYS}
+    writes = _batches(spark, folder, makers, sketches.distinct_metrics(profile.CANDIDATE_KEYS))
+    found = sketches.distinct_counts(spark, writes, profile.CANDIDATE_KEYS)
+    exact = _profile(spark, folder, "key_uniqueness").drop("rows")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_vals")) <= sketches.distinct_error() * F.col("distinct_vals")
+    return found.join(exact, "candidate_key").select("candidate_key", "rows", "distinct_vals", near.alias("estimate_is_near"))
+
+
 @_query
 def cast_validity(spark, folder):
     """Every typed column of the landed tables, and two columns of another kind:
@@ -571,6 +662,16 @@ def byte_order_marks(spark, folder):
     return profiling.byte_order_marks(_documents(spark, folder), ["text", "lang", "source"])
 
 
+@_query
+def planted_byte_order_marks(spark, folder):
+    """With marks put before some of the texts and languages."""
+    marked = _documents(spark, folder)
+    for column, each in (("text", 10), ("lang", 7)):
+        marked = marked.withColumn(column, F.when(F.col("doc_id") % each == 0, F.concat(F.lit("\ufeff"), column))
+                                   .otherwise(F.col(column)))
+    return profiling.byte_order_marks(marked, ["text", "lang", "source"])
+
+
 @_query
 def uncovered_zips(spark, folder):
     return _profile(spark, folder, "uncovered_customer_zips")
@@ -591,6 +692,24 @@ def handover_gaps(spark, folder):
     return profiling.gap_statistics(dated, "o_orderdate", "l_shipdate")
 
 
+@_query
+def handover_gaps_by_sketches(spark, folder):
+    """The same statistics merged from three batches; the estimated median's true rank is near the middle."""
+    given = tables.read_tables(spark, folder, ["orders", "lineitem"])
+    dated = given["lineitem"].join(given["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderdate", "l_shipdate")
+    metrics = {"dated": sketches.gap_metrics("o_orderdate", "l_shipdate")}
+    writes = [values["dated"] for values in _batches(spark, folder, {"dated": dated}, metrics)]
+    found = sketches.gap_statistics(spark, writes)
+    days = dates.seconds_between("l_shipdate", "o_orderdate").cast("double") / 86400
+    median = found.select("median_days").scalar()
+    ranks = dated.agg((F.count_if(days < median - 0.0001) / F.count("*")).alias("below"),
+                      (F.count_if(days <= median + 0.0001) / F.count("*")).alias("upto"))
+    error = F.lit(sketches.rank_error())
+    near = ranks.select((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).scalar()
+    return found.select("rows", "mean_days", "negative", near.alias("median_is_near"))
+
+
 @_query
 def conflicting_reviews(spark, folder):
     reviews = star.landed_tables(spark, folder)["order_reviews"]

@@ -7,6 +7,8 @@ derived from the whole of a given table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,6 +173,33 @@ def landed_tables(spark: SparkSession, folder: str) -> Tables:
         product_category_name_translation)})
 
 
+def planted(typed: Mapping[str, DataFrame]) -> Tables:
+    """The typed tables with violations of rules, NOT NULLs and references in them, for the checks to find."""
+    made = dict(typed)
+
+    def changed(table: str, **changes: tuple[str, object]) -> None:
+        """Columns that take another value, an SQL expression, in the rows that meet a condition."""
+        df = made[table]
+        made[table] = df.select(*[
+            F.expr(f"CASE WHEN {changes[c][0]} THEN {changes[c][1]} ELSE {c} END").cast(df.schema[c].dataType).alias(c)
+            if c in changes else F.col(c) for c in df.columns])
+
+    changed("orders", order_approved_at=("order_status = 'shipped'", "order_purchase_timestamp - INTERVAL '1' DAY"),
+            order_status=("order_status = 'canceled'", "'lost'"),
+            customer_id=("order_status = 'shipped'", "'x' || customer_id"))
+    changed("order_items", price=("order_item_id = 2", "-price"), product_id=("order_item_id = 3", "NULL"),
+            seller_id=("order_item_id = 4", "'none'"), order_item_id=("order_item_id = 5", "0"))
+    changed("payments", payment_value=("payment_sequential = 2", "-payment_value"),
+            payment_type=("payment_sequential = 3", "'cash'"), payment_installments=("payment_sequential = 4", "-1"),
+            order_id=("payment_sequential = 5", "'none'"))
+    changed("order_reviews", review_score=("review_score = 5", "9"), review_creation_date=("review_score = 2", "NULL"),
+            review_answer_timestamp=("review_score = 1", "review_creation_date - INTERVAL '1' DAY"))
+    changed("geolocation", geolocation_lat=("geolocation_city = 'A'", "91"),
+            geolocation_city=("geolocation_city = 'N'", "NULL"))
+    changed("sellers", seller_city=("seller_zip_code_prefix < 5", "NULL"))
+    return Tables({name: (lambda df=df: df) for name, df in made.items()})
+
+
 def landed_rows(spark: SparkSession, folder: str) -> dict[str, int]:
     """How many rows each landed table must have; Parquet footers know."""
     star = {name: df.count() for name, df in

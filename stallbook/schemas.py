@@ -23,37 +23,37 @@ LANDING_COLUMNS = {
     "product_category_name_translation": "product_category_name product_category_name_english",
 }
 
-# --- fixed values: typed columns; "!" marks NOT NULL -------------------------
+# --- fixed values: typed columns ---------------------------------------------
 TYPED_COLUMNS = {
     "customers": """
-        customer_id string!, customer_unique_id string!, customer_zip_code_prefix int!,
-        customer_city string!, customer_state string!""",
+        customer_id string NOT NULL, customer_unique_id string NOT NULL, customer_zip_code_prefix int NOT NULL,
+        customer_city string NOT NULL, customer_state string NOT NULL""",
     "geolocation": """
-        geolocation_zip_code_prefix int!, geolocation_lat decimal(38,18)!,
-        geolocation_lng decimal(38,18)!, geolocation_city string!, geolocation_state string!""",
+        geolocation_zip_code_prefix int NOT NULL, geolocation_lat decimal(38,18) NOT NULL,
+        geolocation_lng decimal(38,18) NOT NULL, geolocation_city string NOT NULL, geolocation_state string NOT NULL""",
     "sellers": """
-        seller_id string!, seller_zip_code_prefix int!, seller_city string!, seller_state string!""",
+        seller_id string NOT NULL, seller_zip_code_prefix int NOT NULL, seller_city string NOT NULL, seller_state string NOT NULL""",
     "product_category_translation": """
-        product_category_name string!, product_category_name_english string!""",
+        product_category_name string NOT NULL, product_category_name_english string NOT NULL""",
     "products": """
-        product_id string!, product_category_name string, product_category_name_english string,
+        product_id string NOT NULL, product_category_name string, product_category_name_english string,
         product_name_length int, product_description_length int, product_photos_qty int,
         product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int""",
     "orders": """
-        order_id string!, customer_id string!, order_status string!,
-        order_purchase_timestamp timestamp_ntz!, order_approved_at timestamp_ntz,
+        order_id string NOT NULL, customer_id string NOT NULL, order_status string NOT NULL,
+        order_purchase_timestamp timestamp_ntz NOT NULL, order_approved_at timestamp_ntz,
         order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz,
-        order_estimated_delivery_date date!""",
+        order_estimated_delivery_date date NOT NULL""",
     "order_items": """
-        order_id string!, order_item_id int!, product_id string!, seller_id string!,
-        shipping_limit_date timestamp_ntz!, price decimal(10,2)!, freight_value decimal(10,2)!""",
+        order_id string NOT NULL, order_item_id int NOT NULL, product_id string NOT NULL, seller_id string NOT NULL,
+        shipping_limit_date timestamp_ntz NOT NULL, price decimal(10,2) NOT NULL, freight_value decimal(10,2) NOT NULL""",
     "payments": """
-        order_id string!, payment_sequential int!, payment_type string!,
-        payment_installments int!, payment_value decimal(10,2)!""",
+        order_id string NOT NULL, payment_sequential int NOT NULL, payment_type string NOT NULL,
+        payment_installments int NOT NULL, payment_value decimal(10,2) NOT NULL""",
     "order_reviews": """
-        order_id string!, review_id string!, review_score int!, review_comment_title string,
-        review_comment_message string, review_creation_date timestamp_ntz!,
-        review_answer_timestamp timestamp_ntz!, embedding array<float>""",
+        order_id string NOT NULL, review_id string NOT NULL, review_score int NOT NULL, review_comment_title string,
+        review_comment_message string, review_creation_date timestamp_ntz NOT NULL,
+        review_answer_timestamp timestamp_ntz NOT NULL, embedding array<float>""",
 }
 
 # --- fixed values: keys, references and rules --------------------------------
@@ -134,7 +134,7 @@ def typed_columns(table: str) -> list[TypedColumn]:
     # commas inside a type, as in decimal(10,2), do not follow a space
     for entry in " ".join(TYPED_COLUMNS[table].split()).split(", "):
         name, type_name = entry.split(" ", 1)
-        columns.append(TypedColumn(name, type_name.rstrip("!"), type_name.endswith("!")))
+        columns.append(TypedColumn(name, type_name.removesuffix(" NOT NULL"), type_name.endswith(" NOT NULL")))
     return columns
 
 

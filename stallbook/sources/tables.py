@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook.sources import commits
 
@@ -100,6 +103,21 @@ def read_published(spark: SparkSession, root: str, names: list[str]) -> Tables:
     return read_tables(spark, f"{root}/{found['version']}", names, suffix="", metrics=found["metrics"])
 
 
+def read_versions(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table in every version that is still there, with the number of its commit as ``version``.
+
+    Read by ``schema``, today's unless given otherwise: a column that an old version lacks is NULL there, and keeps
+    the schema's comment.
+    """
+    found = [(number, commits.read(spark, root, number)["version"]) for number in commits.numbers(spark, root)]
+    paths = {number: f"{root}/{version}/{name}" for number, version in found
+             if commits.listed(spark, f"{root}/{version}/{name}")}
+    wanted = schema or spark.read.parquet(paths[max(paths)]).schema
+    whole = [spark.read.schema(wanted).parquet(path).withColumn("version", F.lit(number).cast("long"))
+             for number, path in paths.items()]
+    return reduce(DataFrame.unionByName, whole)
+
+
 def reload(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], gate: Callable[[Tables], None],
            metrics: Mapping[str, Mapping[str, Column]] | None = None) -> Tables:
     """Replace all tables at once, if the written version passes ``gate``.
@@ -145,6 +163,17 @@ def json_array(df: DataFrame, most: int = ARRAY_ROWS) -> DataFrame:
     return rows.select(F.when(F.size("rows") <= most, F.to_json("rows")).otherwise(error).alias("json"))
 
 
-def columns_like(tables: Mapping[str, DataFrame], pattern: str) -> list[tuple[str, str]]:
-    """Columns whose name contains ``pattern``, from the schemas alone."""
-    return [(name, column) for name, df in tables.items() for column in df.columns if pattern in column]
+def columns_like(tables: Mapping[str, DataFrame], pattern: str, escape: str = "\\") -> list[tuple[str, str]]:
+    """Columns whose name is LIKE ``pattern``, from the schemas alone."""
+    signs = {"%": ".*", "_": "."}
+    parts, escaped = [], False
+    for sign in pattern:
+        if escaped or sign != escape:
+            parts.append(re.escape(sign) if escaped else signs.get(sign, re.escape(sign)))
+            escaped = False
+        else:
+            escaped = True
+    if escaped:
+        raise ValueError(f"{pattern!r} ends in its escape sign")
+    like = re.compile("".join(parts), re.DOTALL)
+    return [(name, column) for name, df in tables.items() for column in df.columns if like.fullmatch(column)]

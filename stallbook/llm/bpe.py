@@ -22,6 +22,8 @@ from stallbook.sources.shared import pinned
 PIECE = 32_768     # characters; texts beyond it are cut into pieces of about this length
 WINDOW = 4         # tokens re-encoded on either side of a join at first
 MARGIN = 16        # characters of one kind on both sides of a cut inside a word
+FAN = 8            # neighbours that one exchange of the tree brings together
+CACHED = 150_000   # pieces a worker remembers per generation; the decoder's workers need memory beside it
 
 # Characters that Unicode normalisation and lower-casing keep apart from what stands before them, all letters.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿА-яぁ-ゖァ-ヺ一-龥가-힣"
@@ -126,7 +128,7 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
 
     Null text is encoded as empty, to no ids; rows are never dropped and a repeated row repeats its result; an empty
     table gives an empty result. Texts over ``size`` characters are cut into pieces, which tasks encode in parallel,
-    each distinct text once; neighbours are then joined level by level, half the pieces each time.
+    each distinct text once; neighbours are then joined two and two as a tree, ``FAN`` of them for each exchange.
     """
     kind = documents.schema[id_column].dataType.simpleString()
     rows = documents.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
@@ -136,7 +138,7 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
         for key, found in zip(ids, pieces.encode_all(texts)):
             yield key, np.frombuffer(found, "<i4")
 
-    setup = partial(Pieces, tokenizer_path, lead=False)
+    setup = partial(Pieces, tokenizer_path, lead=False, cached=CACHED)
     encoded = map_rows(rows.where(~is_long), f"id {kind}, ids array<int>", short, setup=setup)
     h1, h2 = text_hash("text")
     long = pinned(rows.where(is_long).withColumns({"h1": h1, "h2": h2}))
@@ -160,18 +162,23 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
     node = "h1 long, h2 long, n int, opened boolean, ids array<int>"
     nodes = map_rows(parts.select("h1", "h2", "n", "opened", "piece"), node, piecewise, 64, setup)
 
-    def pair(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def together(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """Neighbours, two and two until one is left."""
         group = group.sort_values("n")
-        ids, opened = group.ids.iloc[0], bool(group.opened.iloc[0])
-        if len(group) == 2:
-            ids = joined(word_model(tokenizer_path), ids.view("u4"), group.ids.iloc[1].view("u4"), opened).view("i4")
-            opened = bool(group.opened.iloc[1])
-        return pd.DataFrame({"h1": [key[0]], "h2": [key[1]], "n": [key[2]], "opened": [opened], "ids": [ids]})
-
-    # A piece is longer than half the size, so this many levels are enough.
-    for _ in range((2 * longest // size).bit_length()):
-        nodes = nodes.groupBy("h1", "h2", (F.col("n") / 2).cast("int").alias("n")) \
-            .applyInPandas(pair, node)
+        parts = [(ids.view("u4"), bool(opened)) for ids, opened in zip(group.ids, group.opened)]
+        del group
+        while len(parts) > 1:
+            pairs = [(joined(word_model(tokenizer_path), parts[k][0], parts[k + 1][0], parts[k][1]), parts[k + 1][1])
+                     for k in range(0, len(parts) - 1, 2)]
+            parts = pairs + parts[2 * len(pairs):]
+        (ids, opened), = parts
+        return pd.DataFrame({"h1": [key[0]], "h2": [key[1]], "n": [key[2]], "opened": [opened], "ids": [ids.view("i4")]})
+
+    # A piece is longer than half the size.
+    most = 2 * longest // size + 1
+    while most > 1:
+        nodes = nodes.groupBy("h1", "h2", (F.col("n") / FAN).cast("int").alias("n")).applyInPandas(together, node)
+        most = -(-most // FAN)
     return encoded.unionAll(long.select("id", "h1", "h2").join(nodes, ["h1", "h2"]).select("id", "ids"))
 
 

@@ -13,7 +13,7 @@ from array import array
 from collections.abc import Iterator
 from functools import cache
 
-CACHED_PIECES = 600_000   # per generation; a worker holds two, some 250 MB at most
+CACHED_PIECES = 600_000   # per generation; a worker holds two, and as many words, some 350 MB at most
 GROUP = 1 << 20           # characters of text whose unknown pieces are encoded in one call
 
 
@@ -41,9 +41,11 @@ class Words:
     the pattern that the tokenizer's file names, and each word goes to the library's BPE model once.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED_PIECES) -> None:
         import regex
 
+        self.cached = cached
+
         saved = json.loads(tokenizer(path).to_str())
         self.model = tokenizer(path).model
         self.model._resize_cache(0)     # words are remembered here
@@ -72,7 +74,7 @@ class Words:
         return b"".join([self.known.get(word) or self._word(word) for word in words])
 
     def _word(self, word: str) -> bytes:
-        if len(self.known) >= CACHED_PIECES:
+        if len(self.known) >= self.cached:
             self.known.clear()
         symbols = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() \
             else word.encode().decode("latin-1").translate(_SYMBOLS)
@@ -102,9 +104,9 @@ class Pieces:
     kept in two generations: when the younger is full, it becomes the older, and what is still used moves back.
     """
 
-    def __init__(self, path: str, lead: bool) -> None:
-        self.tokenizer, self.lead = tokenizer(path), lead
-        self.words = Words(path)
+    def __init__(self, path: str, lead: bool, cached: int = CACHED_PIECES) -> None:
+        self.tokenizer, self.lead, self.cached = tokenizer(path), lead, cached
+        self.words = Words(path, cached)
         self.space = " " if lead else ""
         self.known: dict[str, bytes | None] = {}     # pieces after a space; None if they can't be encoded alone
         self.older: dict[str, bytes | None] = {}
@@ -136,7 +138,7 @@ class Pieces:
                 first, size = last, 0
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHED_PIECES:
+        if len(self.known) > self.cached:
             self.older, self.known = self.known, {}
         known = self.known
         cut = [text.split(" ") for text in texts]

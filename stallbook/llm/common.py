@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from stallbook.sources.shared import pinned
 
 
+SLICE = 4 << 20     # bytes of an Arrow batch that are Python objects at once, but for a longer row
+
+
 def map_rows(df: DataFrame, schema: str, function: Callable[..., Iterator[tuple]], rows: int = 1024,
              setup: Callable[[], object] | None = None) -> DataFrame:
     """One Arrow pass: ``function`` gets a batch's columns as lists and yields output rows.
 
-    What ``setup`` makes, once per task, comes before the columns. Output goes back every ``rows`` rows, so a batch
-    of long results is not held whole.
+    What ``setup`` makes, once per task, comes before the columns. A batch is taken apart into slices of about
+    ``SLICE`` bytes, and output goes back every ``rows`` rows, so neither long texts nor long results are held as
+    Python objects all at once.
     """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -31,15 +35,18 @@ def map_rows(df: DataFrame, schema: str, function: Callable[..., Iterator[tuple]
                 [pa.array(column, field.type) for column, field in zip(columns, fields)], schema=fields)
 
         made = [setup()] if setup else []
-        for batch in batches:
-            found: list[tuple] = []
-            for row in function(*made, *(column.to_pylist() for column in batch.columns)):
-                found.append(row)
-                if len(found) >= rows:
+        for whole in batches:
+            step = max(1, whole.num_rows * SLICE // max(1, whole.nbytes))
+            for first in range(0, whole.num_rows, step):
+                batch = whole.slice(first, step)
+                found: list[tuple] = []
+                for row in function(*made, *(column.to_pylist() for column in batch.columns)):
+                    found.append(row)
+                    if len(found) >= rows:
+                        yield packed(found)
+                        found = []
+                if found:
                     yield packed(found)
-                    found = []
-            if found:
-                yield packed(found)
 
     return df.mapInArrow(run, schema)
 

@@ -23,7 +23,7 @@ PIECE = 32_768     # characters; texts beyond it are cut into pieces of about th
 WINDOW = 4         # tokens re-encoded on either side of a join at first
 MARGIN = 16        # characters of one kind on both sides of a cut inside a word
 FAN = 8            # neighbours that one exchange of the tree brings together
-CACHED = 150_000   # pieces a worker remembers per generation; the decoder's workers need memory beside it
+CACHED = 300_000   # pieces a worker remembers per generation; the decoder's workers need memory beside it
 
 # Characters that Unicode normalisation and lower-casing keep apart from what stands before them, all letters.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿА-яぁ-ゖァ-ヺ一-龥가-힣"

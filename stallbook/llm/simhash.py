@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from stallbook.sources.shared import pinned
 BITS = 64
 STEP = 4               # bits by which Spark deepens the trie's upper part
 SUBTREE = 4096         # fingerprints a subtree may hold before Spark splits it further
+BATCH = 1 << 16        # fingerprints that a task walks at once, but for a node that goes over
 CHUNK = 1 << 18        # node pairs, or shingles, held at once in a task
 
 
@@ -60,31 +63,61 @@ def fingerprints(documents: DataFrame, width: int = 3, id_column: str = "doc_id"
 
 
 def _prefix(depth: int) -> Column:
-    return F.shiftrightunsigned("fp", BITS - depth)
+    return F.shiftrightunsigned("v", BITS - depth)
 
 
-def _frontier(distinct: DataFrame, radius: int) -> list[tuple[int, DataFrame]]:
-    """Pairs of subtrees within ``radius`` bits of each other, as (depth, DataFrame a, b).
+def _rotated(value: Column, bits: int, by: Column) -> Column:
+    """``value`` with its lowest ``bits`` bits rotated to the left; the others stay."""
+    mask = F.lit((1 << bits) - 1 if bits < BITS else -1)
+    low = value.bitwiseAND(mask)
+    turned = F.call_function("shiftleft", low, by).bitwiseOR(F.call_function("shiftrightunsigned", low, F.lit(bits) - by))
+    # A shift by as many bits as there are leaves the value as it is, so a rotation by none is taken apart.
+    turned = F.when(by == 0, low).otherwise(turned.bitwiseAND(mask))
+    return value.bitwiseAND(F.lit(~((1 << bits) - 1) if bits < BITS else 0)).bitwiseOR(turned)
+
+
+def _turned(rows: DataFrame, depth: int, radius: int) -> tuple[DataFrame, int]:
+    """Each row ``radius + 1`` times, with another block of the bits below ``depth`` next, and the depth behind it.
+
+    Two values within the radius agree wholly in one of so many blocks, so they share a node at that depth in one of
+    the turns, however deep it is.
+    """
+    width = (BITS - depth) // (radius + 1)
+    turns = rows.withColumn("next", F.explode(F.sequence(F.lit(0), F.lit(radius))))
+    turned = turns.select((F.col("turn") * (radius + 1) + F.col("next")).alias("turn"),
+                          _rotated(F.col("v"), BITS - depth, F.col("next") * width).alias("v"), "fp")
+    return turned, depth + width
+
+
+def _crowded(rows: DataFrame, depth: int) -> DataFrame:
+    """(turn, node) of the nodes at ``depth`` that hold more than a task should join at once."""
+    nodes = rows.groupBy("turn", _prefix(depth).alias("node")).count()
+    return pinned(nodes.where(F.col("count") > SUBTREE).select("turn", "node"))
+
+
+def _frontier(rows: DataFrame, roots: DataFrame, depth: int, radius: int) -> list[tuple[int, DataFrame]]:
+    """Pairs of subtrees within ``radius`` bits of each other below ``roots``, as (depth, DataFrame turn, a, b).
 
     Node pairs are deepened together by STEP bits; the differing bits of their prefixes are the errors so far, and
     a pair with more than ``radius`` goes. A pair is handed out once both subtrees are small, so a crowded part of
     the trie is split deeper than the rest.
     """
-    spark = distinct.sparkSession
-    pairs = spark.createDataFrame([(0, 0)], "a long, b long")
+    pairs = roots.select("turn", F.col("node").alias("a"), F.col("node").alias("b"))
     handed_out = []
-    for depth in range(STEP, BITS + 1, STEP):
-        nodes = pinned(distinct.groupBy(_prefix(depth).alias("node")).count())
-        nodes = nodes.withColumn("parent", F.shiftrightunsigned("node", STEP))
-        left = nodes.select(F.col("node").alias("x"), F.col("count").alias("nx"), F.col("parent").alias("a"))
-        right = nodes.select(F.col("node").alias("y"), F.col("count").alias("ny"), F.col("parent").alias("b"))
-        deeper = pairs.join(left, "a").join(right, "b")
+    while depth < BITS:
+        step = min(STEP, BITS - depth)
+        depth += step
+        nodes = pinned(rows.groupBy("turn", _prefix(depth).alias("node")).count())
+        nodes = nodes.withColumn("parent", F.shiftrightunsigned("node", step))
+        left = nodes.select("turn", F.col("node").alias("x"), F.col("count").alias("nx"), F.col("parent").alias("a"))
+        right = nodes.select("turn", F.col("node").alias("y"), F.col("count").alias("ny"), F.col("parent").alias("b"))
+        deeper = pairs.join(left, ["turn", "a"]).join(right, ["turn", "b"])
         # Within one subtree each pair of children comes up twice; across subtrees once.
         deeper = deeper.where((F.col("a") != F.col("b")) | (F.col("x") <= F.col("y")))
         deeper = pinned(deeper.where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= radius))
         heavy = (F.greatest("nx", "ny") > SUBTREE) if depth < BITS else F.lit(False)
-        handed_out.append((depth, deeper.where(~heavy).select(F.col("x").alias("a"), F.col("y").alias("b"))))
-        pairs = deeper.where(heavy).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        handed_out.append((depth, deeper.where(~heavy).select("turn", F.col("x").alias("a"), F.col("y").alias("b"))))
+        pairs = deeper.where(heavy).select("turn", F.col("x").alias("a"), F.col("y").alias("b"))
         if pairs.isEmpty():
             break
     return handed_out
@@ -139,42 +172,99 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, roots: list[tuple[int, int]], depth
             pending.append((d + 1, x, y))
 
 
+def _forest(values: np.ndarray, prints: np.ndarray, other: np.ndarray | None, other_prints: np.ndarray | None,
+            roots: list[tuple[int, int]], depth: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints that a walk from ``roots`` links, as a spanning forest: (fingerprint, its tree's first)."""
+    both = prints if other is None else np.concatenate([prints, other_prints])
+    shift = 0 if other is None else len(prints)
+    labels = np.arange(len(both))
+    for i, j in trie_pairs(values, values if other is None else other, roots, depth, radius):
+        joined_forest(labels, i, j + shift)
+    moved = np.flatnonzero(labels != np.arange(len(both)))
+    return both[moved], both[labels[moved]]
+
+
+def _joined_nodes(rows: DataFrame, depth: int, radius: int) -> DataFrame:
+    """Links inside each node at ``depth``, none of them crowded: a task walks many at once, in bounded batches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def walked(values: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+            order = np.argsort(values)
+            values, prints = values[order], prints[order]
+            nodes = len(np.unique(values >> np.uint64(BITS - depth))) if depth else 1
+            a, b = _forest(values, prints, None, None, [(k, k) for k in range(nodes)], depth, radius)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        # Rows come by turn and node; what is held is walked as far as the last node that is complete.
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            held.append(tuple(column.to_numpy() for column in batch.columns))
+            size += batch.num_rows
+            if size < BATCH:
+                continue
+            turn, node, v, fp = (np.concatenate(parts) for parts in zip(*held))
+            open_from = int(np.flatnonzero((turn != turn[-1]) | (node != node[-1]))[-1]) + 1 \
+                if (turn[0], node[0]) != (turn[-1], node[-1]) else 0
+            for t in np.unique(turn[:open_from]):
+                mine = np.flatnonzero(turn[:open_from] == t)
+                yield walked(v[mine].view(np.uint64), fp[mine])
+            held, size = [(turn[open_from:], node[open_from:], v[open_from:], fp[open_from:])], len(turn) - open_from
+        if size:
+            turn, node, v, fp = (np.concatenate(parts) for parts in zip(*held))
+            for t in np.unique(turn):
+                mine = np.flatnonzero(turn == t)
+                yield walked(v[mine].view(np.uint64), fp[mine])
+
+    placed = rows.select("turn", _prefix(depth).alias("node"), "v", "fp")
+    return placed.repartition("turn", "node").sortWithinPartitions("turn", "node").mapInArrow(run, "a long, b long")
+
+
+def _joined_pairs(rows: DataFrame, pairs: DataFrame, depth: int, radius: int) -> DataFrame:
+    """Links between the two nodes of each pair. Neither is crowded, and each pair is a group of its own."""
+    prefixed = rows.select("turn", _prefix(depth).alias("node"), "v", "fp")
+
+    def side(which: str, some: DataFrame) -> DataFrame:
+        found = some.join(prefixed.withColumnRenamed("node", which), ["turn", which])
+        return found.select("turn", "a", "b", F.lit(which == "b").alias("other"), "v", "fp")
+
+    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(u=group.v.to_numpy().view(np.uint64)).sort_values("u")
+        mine, other = group[~group.other], group[group.other]
+        same = not len(other)
+        a, b = _forest(mine.u.to_numpy(), mine.fp.to_numpy(), None if same else other.u.to_numpy(),
+                       None if same else other.fp.to_numpy(), [(0, 0)], depth, radius)
+        return pd.DataFrame({"a": a, "b": b})
+
+    given = side("a", pairs).unionByName(side("b", pairs.where("a <> b")))
+    return given.groupBy("turn", "a", "b").applyInPandas(joined, "a long, b long")
+
+
 def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b) fingerprints whose links span every group of fingerprints within ``radius`` bits.
 
-    Each task joins one subtree with itself and its neighbours and returns a spanning forest of what it found: at
-    most one row per fingerprint it was given, however dense a group is. No link is lost to reachability.
+    The trie is built once for each of ``radius + 1`` orders of the bits, with another block of them on top each time.
+    A pair within the radius spends nothing on one of these blocks, so every order only joins each node below its top
+    block with itself, and a fingerprint travels ``radius + 1`` times however many there are. A crowded node does the
+    same again with the bits that are left; where that is crowded too, node pairs are deepened one by one. Each walk
+    returns a spanning forest: at most one row per fingerprint it was given, however dense a group is. No link is
+    lost to reachability.
     """
-    parts = []
-    for depth, pairs in _frontier(distinct, radius):
-        prefixed = distinct.select("fp", _prefix(depth).alias("node"))
-        other = pairs.join(prefixed, pairs.b == prefixed.node).select(F.col("a").alias("home"), "node", "fp")
-        parts.append(other.where("home <> node").select(F.lit(depth).alias("depth"), "home", "node", "fp"))
-        home = pairs.select(F.col("a").alias("home")).distinct()
-        parts.append(home.join(prefixed, home.home == prefixed.node)
-                     .select(F.lit(depth).alias("depth"), "home", "node", "fp"))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionAll(part)
-
-    def joined(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        depth, home = int(key[0]), key[1]
-        values = group.fp.to_numpy().view(np.uint64)
-        mine = np.sort(values[(group.node == home).to_numpy()])
-        everything = np.sort(values)
-        if not len(mine):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        nodes = everything >> np.uint64(BITS - depth)
-        starts = len(np.unique(nodes))
-        where = np.searchsorted(everything, mine)
-        labels = np.arange(len(everything))
-        for i, j in trie_pairs(mine, everything, [(0, k) for k in range(starts)], depth, radius):
-            joined_forest(labels, where[i], j)
-        moved = np.flatnonzero(labels != np.arange(len(everything)))
-        signed = everything.view(np.int64)
-        return pd.DataFrame({"a": signed[moved], "b": signed[labels[moved]]})
-
-    return rows.groupBy("depth", "home").applyInPandas(joined, "a long, b long")
+    rows = distinct.select(F.lit(0).alias("turn"), F.col("fp").alias("v"), "fp")
+    depth, found = 0, []
+    for _ in range(2):
+        if (BITS - depth) // (radius + 1) == 0:
+            break
+        rows, depth = _turned(rows, depth, radius)
+        crowded = _crowded(rows, depth)
+        place = ["turn", "node"]
+        placed = rows.withColumn("node", _prefix(depth))
+        found.append(_joined_nodes(placed.join(crowded, place, "left_anti"), depth, radius))
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionAll, found)
+        rows = pinned(placed.join(crowded, place, "left_semi").drop("node"))
+    roots = rows.select("turn", _prefix(depth).alias("node")).distinct()
+    found += [_joined_pairs(rows, pairs, at, radius) for at, pairs in _frontier(rows, roots, depth, radius)]
+    return reduce(DataFrame.unionAll, found)
 
 
 def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3, id_column: str = "doc_id",

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from stallbook.llm import queries, simhash
@@ -92,6 +93,40 @@ def test_split_subtrees_agree(spark, monkeypatch):
     assert len(groups) == len(set(expected.values()))
 
 
+@pytest.mark.parametrize("subtree, batch", [(4096, 1 << 16), (3, 8), (40, 30)])
+@pytest.mark.parametrize("radius", [0, 3, 5])
+def test_links_are_whole(spark, monkeypatch, subtree, batch, radius):
+    """Components as all pairs give them, with crowds at one prefix that are split over and over."""
+    generator = np.random.default_rng(radius)
+    crowd = np.uint64(0xABCD123456789ABC) ^ generator.integers(0, 1 << 20, 120).astype(np.uint64)
+    even = generator.integers(0, 1 << 64, 150, np.uint64)
+    near = generator.choice(even, 200) ^ np.bitwise_or.reduce(
+        np.uint64(1) << generator.integers(0, 64, (radius + 1, 200)).astype(np.uint64), axis=0)
+    values = np.unique(np.r_[crowd, even, near])
+    monkeypatch.setattr(simhash, "SUBTREE", subtree)
+    monkeypatch.setattr(simhash, "BATCH", batch)
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long").repartition(3)
+    labels = np.arange(len(values))
+    i, j = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= radius)
+    simhash.joined_forest(labels, i, j)
+    found = np.arange(len(values))
+    pairs = np.array([(r.a, r.b) for r in simhash.links(table, radius).collect()], np.int64).reshape(-1, 2).view(np.uint64)
+    a, b = np.searchsorted(values, pairs[:, 0]), np.searchsorted(values, pairs[:, 1])
+    assert (values[a] == pairs[:, 0]).all() and (values[b] == pairs[:, 1]).all()
+    simhash.joined_forest(found, a, b)
+    assert (found == labels).all()
+
+
+def test_a_fingerprint_travels_a_fixed_number_of_times(spark):
+    """Rows that meet in the join grow with the table, not faster."""
+    generator = np.random.default_rng(9)
+    for n in (2000, 20_000):
+        values = np.unique(generator.integers(0, 1 << 63, n))
+        rows, depth = simhash._turned(spark.createDataFrame([(0, int(v), int(v)) for v in values], "turn int, v long, fp long"), 0, 3)
+        assert depth == 16 and rows.count() == 4 * len(values)
+        assert simhash._crowded(rows, depth).isEmpty()
+
+
 def test_query(spark, table):
     rows = queries.queries()["op6_simhash"](spark, "/root/testdata/sf0.001").collect()
     prints = {row.doc_id: plain_fingerprint(row.text) for row in table("documents").collect()}

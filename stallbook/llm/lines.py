@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.common import text_hash
+from stallbook.operators.ordered import split_running_sum
 from stallbook.sources.shared import pinned
 
 LEAST_WORDS = 10     # shorter lines are only compared as a whole: one word is too much of them
@@ -89,34 +90,47 @@ def _one_word_apart(x: Column, y: Column) -> Column:
         .otherwise(F.lit(False))
 
 
-def _near_earlier(distinct: DataFrame) -> DataFrame:
-    """(h1, h2) of the lines that an earlier line is one word apart from; ``distinct`` has h1, h2, first and line.
+def _lines(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, r1, r2, number, line, h1, h2) for every line with words, ``line`` its words joined by one space."""
+    r1, r2 = text_hash(id_column, text_column)
+    h1, h2 = text_hash("line")
+    return (documents.select(F.col(id_column).alias("id"), r1.alias("r1"), r2.alias("r2"),
+                             F.posexplode(_split(F.col(text_column))).alias("number", "line"))
+            .withColumn("line", _plain(F.col("line"))).where("line <> ''").withColumns({"h1": h1, "h2": h2}))
+
 
-    Lines that share no half with another line have no neighbour; the others emit their variants. A group of lines
-    that share a variant at one place only names its earliest, so a group of any size gives a row per line.
+def _near_earlier(distinct: DataFrame, lines: DataFrame) -> DataFrame:
+    """(h1, h2) of the lines that an earlier line is one word apart from; ``distinct`` has h1, h2, first and keys.
+
+    Lines that share no half with another line have no neighbour. Only the others are looked up again with their
+    words and emit their variants, numbered in their order, so that what travels is a hash and a number. A group of
+    lines that share a variant at one place only names its earliest, so a group of any size gives a row per line.
     """
-    long = distinct.where(F.col("line").isNotNull()).select(
-        "h1", "h2", "first", F.split("line", " ").alias("words"))
-    keys = long.select("h1", "h2", F.explode(F.array_distinct(_halves(F.col("words")))).alias("key"))
-    shared = keys.groupBy("key").count().where("count > 1").select("key")
-    crowd = keys.join(shared, "key", "left_semi").select("h1", "h2").distinct()
-    crowd = pinned(long.join(crowd, ["h1", "h2"], "left_semi")
-                   .withColumn("near", _neighbourhood(F.col("words"))))
-    variants = crowd.select("h1", "h2", "first", F.posexplode("near.variants").alias("place", "v"))
-    line = F.struct("first", "h1", "h2")
-    earliest = variants.groupBy("v", "place").agg(F.min(line).alias("other"), F.count("*").alias("n")) \
-        .where("n > 1").select("v", "place", "other")
-    replaced = variants.join(earliest, ["v", "place"]).where("h1 <> other.h1 or h2 <> other.h2") \
-        .select("h1", "h2", F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2"))
-    whole = crowd.select(F.col("near.whole").alias("v"), F.struct("first", "h1", "h2").alias("short"))
-    added = variants.select("v", line.alias("long")).join(whole, "v").select(
-        F.greatest("long", "short").alias("late"), F.least("long", "short").alias("early"))
-    added = added.select("late.h1", "late.h2", F.col("early.h1").alias("o1"), F.col("early.h2").alias("o2"))
-    pairs = replaced.unionAll(added).distinct()
-    words = crowd.select("h1", "h2", "words")
-    other = crowd.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("others"))
-    found = pairs.join(words, ["h1", "h2"]).join(other, ["o1", "o2"])
-    return found.where(_one_word_apart(F.col("words"), F.col("others"))).select("h1", "h2").distinct()
+    keys = distinct.select("h1", F.explode("keys").alias("key"))
+    shared = pinned(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+                    .where("low <> high").select("key"))
+    halves = distinct.select("h1", "h2", "first", F.explode("keys").alias("key"))
+    met = pinned(halves.join(shared, "key", "left_semi").select("h1", "h2", "first").distinct()
+                 .withColumn("one", F.lit(1).cast("long")))
+    numbered = split_running_sum(met, [], [F.col("first"), F.col("h1"), F.col("h2")], "one", "at")
+    crowd = pinned(numbered.select("h1", "h2", "at"))
+    known = lines.join(crowd, ["h1", "h2"]).groupBy("at").agg(F.first("line").alias("line"))
+    known = pinned(known.select("at", F.split("line", " ").alias("words")))
+    near = known.select("at", _neighbourhood(F.col("words")).alias("near"))
+    variants = near.select("at", F.posexplode("near.variants").alias("place", "v"))
+    # Replaced: the same variant at the same place.
+    placed = variants.select("at", F.xxhash64("v", "place").alias("key"))
+    earliest = pinned(placed.groupBy("key").agg(F.min("at").alias("early"), F.max("at").alias("late"))
+                      .where("early < late").select("key", "early"))
+    replaced = placed.join(earliest, "key").where("early < at").select(F.col("at").alias("late"), "early")
+    # Added or missing: one line's variant is the other as a whole.
+    whole = pinned(near.select(F.col("near.whole").alias("v"), F.col("at").alias("other")))
+    added = variants.join(whole, "v").select(F.greatest("at", "other").alias("late"), F.least("at", "other").alias("early"))
+    pairs = replaced.unionAll(added.where("early < late")).distinct()
+    found = (pairs.join(known.select(F.col("at").alias("late"), "words"), "late")
+             .join(known.select(F.col("at").alias("early"), F.col("words").alias("others")), "early"))
+    apart = found.where(_one_word_apart(F.col("words"), F.col("others"))).select(F.col("late").alias("at")).distinct()
+    return crowd.join(apart, "at", "left_semi").select("h1", "h2")
 
 
 def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -125,25 +139,33 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
     Lines end at newlines and are compared by their words, whatever white space lies between. A line goes if an
     equal line stands earlier, or, from LEAST_WORDS words on, a line one word apart. Earlier is by id (null first),
     then by a hash of id and text, then by the line's place. Lines without words stay. All other columns and all
-    rows stay; a null text stays null, a text that loses every line becomes empty. Rows that repeat id and text are
-    one document and get the same result; an empty table gives an empty result.
+    rows stay, whatever their names, but for a column that is already called ``__lines_dropped``, which is replaced; a
+    null text stays null, a text that loses every line becomes empty. Rows that repeat id and text are one document
+    and get the same result; an empty table gives an empty result.
     """
-    marked = documents.withColumn("__row", F.xxhash64(id_column, text_column))
-    h1, h2 = text_hash("line")
-    lines = documents.select(F.col(id_column).alias("id"), F.xxhash64(id_column, text_column).alias("row"),
-                             F.posexplode(_split(F.col(text_column))).alias("number", "line")) \
-        .withColumn("line", _plain(F.col("line"))).where("line <> ''").withColumns({"h1": h1, "h2": h2})
+    lines = _lines(documents, id_column, text_column)
     long = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1 >= LEAST_WORDS
+    keys = F.when(long, F.array_distinct(_let(F.split("line", " "), _halves)))
+    place = ["id", "r1", "r2", "number"]
     distinct = pinned(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("id", "row", "number")).alias("first"), F.count("*").alias("n"),
-        F.first(F.when(long, F.col("line"))).alias("line")))
-    near = _near_earlier(distinct).withColumn("near", F.lit(True))
-    affected = distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near")
-    gone = lines.select("id", "row", "number", "h1", "h2").join(affected, ["h1", "h2"]) \
-        .where(F.col("near").isNotNull() | ~F.struct("id", "row", "number").eqNullSafe(F.col("first")))
-    gone = gone.groupBy("row").agg(F.collect_set("number").alias("__gone")).withColumnRenamed("row", "__row")
-    dropped = F.coalesce("__gone", F.array().cast("array<int>"))
-    kept = F.filter(_split(F.col(text_column)), lambda line, at: ~F.array_contains(dropped, at))
-    return marked.join(gone, "__row", "left").withColumns({
-        text_column: F.when(F.size(dropped) > 0, F.array_join(kept, "\n")).otherwise(F.col(text_column)),
-        "__lines_dropped": F.size(dropped).cast("long")}).drop("__row", "__gone")
+        F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"), F.first(keys).alias("keys")))
+    near = _near_earlier(distinct.where(F.col("keys").isNotNull()), lines).withColumn("near", F.lit(True))
+    affected = pinned(distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near"))
+    gone = lines.select(*place, "h1", "h2").join(affected, ["h1", "h2"]) \
+        .where(F.col("near").isNotNull() | ~F.struct(*place).eqNullSafe(F.col("first")))
+    gone = pinned(gone.groupBy("id", "r1", "r2").agg(F.collect_set("number").alias("numbers")))
+
+    r1, r2 = text_hash(id_column, text_column)
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), r1.alias("s1"), r2.alias("s2"))
+    text = F.col("row").getField(text_column)
+    same = F.col("row").getField(id_column).eqNullSafe(F.col("id")) & (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2"))
+
+    def rest(parts: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("numbers"))
+        return F.array_join(F.transform(places, lambda at: F.get(parts, at)), "\n")
+
+    kept = F.when(F.col("numbers").isNotNull(), _let(_split(text), rest)).otherwise(text)
+    columns = [kept.alias(c) if c == text_column else F.col("row").getField(c).alias(c)
+               for c in documents.columns if c != "__lines_dropped"]
+    return rows.join(gone, same, "left").select(
+        *columns, F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias("__lines_dropped"))

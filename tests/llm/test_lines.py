@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -83,6 +84,26 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert lines.dedup_lines(no_documents).collect() == []
 
 
+def test_a_text_of_many_lines(spark):
+    """Work grows with the lines of a text, not with their square."""
+    texts = ["same line\n" * 100_000, "\n".join(f"line {k % 50_000}" for k in range(100_000))]
+    begun = time.time()
+    one, two = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert (one.text, one["__lines_dropped"]) == ("same line\n", 99_999)
+    assert (two.text, two["__lines_dropped"]) == ("\n".join(f"line {k}" for k in range(50_000)), 50_000)
+    assert time.time() - begun < 60
+
+
+def test_columns_of_any_name(spark):
+    """Names that the operator uses itself: all but the count's come back as they were."""
+    names = ["__row", "__gone", "row", "id", "numbers", "line", "h1", "r1", "first", "a.b"]
+    rows = [(1, "x y\nx y", *range(len(names))), (2, "x y", *range(len(names)))]
+    table = spark.createDataFrame(rows, ["doc_id", "text", *names]).withColumn("__lines_dropped", F.lit("old"))
+    found = lines.dedup_lines(table)
+    assert found.columns == table.columns
+    assert sorted(map(tuple, found.collect())) == [(1, "x y", *range(len(names)), 1), (2, "", *range(len(names)), 1)]
+
+
 def test_plan_is_native(spark, odd_documents):
     plan = lines.dedup_lines(odd_documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -15,7 +15,9 @@ from stallbook.operators.ordered import split_running_sum
 from stallbook.sources.shared import pinned
 
 LEAST_WORDS = 10     # shorter lines are only compared as a whole: one word is too much of them
+FILTER_BITS = 1 << 23     # of the bitmap that finds the documents to move: 1 MB
 _BLOCK = 256
+_ROW = ["id", "r1", "r2"]
 
 
 def _let(value: Column, body) -> Column:
@@ -27,9 +29,13 @@ def _split(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _plain(line: Column) -> Column:
-    """A line's words, joined by one space."""
-    return F.trim(F.regexp_replace(line, "[\\x09-\\x0D\\x20]+", " "))
+# White space other than single spaces between words and newlines.
+_ODD = "[\\x09\\x0B-\\x0D]|  | \n|\n |^ | $"
+
+
+def _plain(line: Column, odd: Column) -> Column:
+    """A line's words, joined by one space; only texts with odd white space have to be changed for it."""
+    return F.when(odd, F.trim(F.regexp_replace(line, "[\\x09-\\x0D\\x20]+", " "))).otherwise(line)
 
 
 def _halves(words: Column) -> Column:
@@ -90,16 +96,44 @@ def _one_word_apart(x: Column, y: Column) -> Column:
         .otherwise(F.lit(False))
 
 
-def _lines(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, r1, r2, number, line, h1, h2) for every line with words, ``line`` its words joined by one space."""
+def _row(documents: DataFrame, id_column: str, text_column: str) -> list[Column]:
+    """What tells a document from others: its id and 128 bits of id and text."""
     r1, r2 = text_hash(id_column, text_column)
-    h1, h2 = text_hash("line")
-    return (documents.select(F.col(id_column).alias("id"), r1.alias("r1"), r2.alias("r2"),
-                             F.posexplode(_split(F.col(text_column))).alias("number", "line"))
-            .withColumn("line", _plain(F.col("line"))).where("line <> ''").withColumns({"h1": h1, "h2": h2}))
+    return [F.col(id_column).alias("id"), r1.alias("r1"), r2.alias("r2")]
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """(id, r1, r2, number, line) for every line with words of ``rows`` (id, r1, r2, text).
+
+    What holds for the whole text is worked out inside the generator: beside it, Spark would do so for every line.
+    """
+    odd = F.coalesce(F.col("text").rlike(_ODD), F.lit(False))
+    once = F.struct(F.col("r1").alias("r1"), F.col("r2").alias("r2"), odd.alias("odd"))
+    each = _let(once, lambda known: F.transform(_split(F.col("text")), lambda line, at: F.struct(
+        known["r1"].alias("r1"), known["r2"].alias("r2"), at.alias("number"), _plain(line, known["odd"]).alias("line"))))
+    return rows.select("id", F.inline(each)).where("line <> ''")
 
 
-def _near_earlier(distinct: DataFrame, lines: DataFrame) -> DataFrame:
+def _may_be_among(hashes: DataFrame) -> Column:
+    """Whether a row's ``r1`` may be one of ``hashes`` (r1): never wrongly no.
+
+    A bitmap of ``FILTER_BITS`` bits at most, whatever the number of hashes, goes to every task. It keeps the texts of
+    most documents without a part in a join from being moved for it; the join decides.
+    """
+    def place(r1: Column) -> Column:
+        return F.pmod(r1, F.lit(FILTER_BITS)) + 1
+
+    at = place(F.col("r1"))
+    maps = hashes.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")) \
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    known = maps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits")))).scalar()
+    bit = F.bitmap_bit_position(at)
+    byte = F.substr(F.try_element_at(known, F.bitmap_bucket_number(at)), (bit / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(F.call_function("shiftright", value, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+
+
+def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that an earlier line is one word apart from; ``distinct`` has h1, h2, first and keys.
 
     Lines that share no half with another line have no neighbour. Only the others are looked up again with their
@@ -109,13 +143,20 @@ def _near_earlier(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     keys = distinct.select("h1", F.explode("keys").alias("key"))
     shared = pinned(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
                     .where("low <> high").select("key"))
-    halves = distinct.select("h1", "h2", "first", F.explode("keys").alias("key"))
-    met = pinned(halves.join(shared, "key", "left_semi").select("h1", "h2", "first").distinct()
-                 .withColumn("one", F.lit(1).cast("long")))
-    numbered = split_running_sum(met, [], [F.col("first"), F.col("h1"), F.col("h2")], "one", "at")
-    crowd = pinned(numbered.select("h1", "h2", "at"))
-    known = lines.join(crowd, ["h1", "h2"]).groupBy("at").agg(F.first("line").alias("line"))
-    known = pinned(known.select("at", F.split("line", " ").alias("words")))
+    met = pinned(keys.join(shared, "key", "left_semi").select("h1").distinct())
+    numbered = split_running_sum(distinct.select("h1", "h2", "first", F.lit(1).cast("long").alias("one"))
+                                 .join(met, "h1", "left_semi"), [], [F.col("first"), F.col("h1"), F.col("h2")], "one", "at")
+    crowd = pinned(numbered.select("h1", "h2", "at", "first.*"))
+    # Each line's words from the document where it comes first.
+    wanted = rows.where(_may_be_among(crowd.select("r1"))).join(crowd.groupBy(*_ROW).agg(
+        F.collect_list(F.struct("number", "at")).alias("wanted")).withColumnsRenamed({"id": "of", "r1": "o1", "r2": "o2"}),
+        F.col("id").eqNullSafe(F.col("of")) & (F.col("r1") == F.col("o1")) & (F.col("r2") == F.col("o2")))
+    odd = F.coalesce(F.col("text").rlike(_ODD), F.lit(False))
+    taken = wanted.select(odd.alias("odd"), _let(_split(F.col("text")), lambda parts: F.transform("wanted", lambda w: F.struct(
+        w["at"].alias("at"), F.get(parts, w["number"]).alias("line")))).alias("taken"))
+    known = taken.select("odd", F.inline("taken")).dropDuplicates(["at"]).select(
+        "at", F.split(_plain(F.col("line"), F.col("odd")), " ").alias("words"))
+    known = pinned(known)
     near = known.select("at", _neighbourhood(F.col("words")).alias("near"))
     variants = near.select("at", F.posexplode("near.variants").alias("place", "v"))
     # Replaced: the same variant at the same place.
@@ -143,22 +184,25 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
     null text stays null, a text that loses every line becomes empty. Rows that repeat id and text are one document
     and get the same result; an empty table gives an empty result.
     """
-    lines = _lines(documents, id_column, text_column)
+    rows = documents.select(*_row(documents, id_column, text_column), F.col(text_column).alias("text"))
     long = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1 >= LEAST_WORDS
     keys = F.when(long, F.array_distinct(_let(F.split("line", " "), _halves)))
-    place = ["id", "r1", "r2", "number"]
+    h1, h2 = text_hash("line")
+    place = [*_ROW, "number"]
+    lines = pinned(_lines(rows).select(*place, h1.alias("h1"), h2.alias("h2"), keys.alias("keys")))
     distinct = pinned(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"), F.first(keys).alias("keys")))
-    near = _near_earlier(distinct.where(F.col("keys").isNotNull()), lines).withColumn("near", F.lit(True))
+        F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")))
+    near = _near_earlier(distinct.where(F.col("keys").isNotNull()), rows).withColumn("near", F.lit(True))
     affected = pinned(distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near"))
     gone = lines.select(*place, "h1", "h2").join(affected, ["h1", "h2"]) \
         .where(F.col("near").isNotNull() | ~F.struct(*place).eqNullSafe(F.col("first")))
-    gone = pinned(gone.groupBy("id", "r1", "r2").agg(F.collect_set("number").alias("numbers")))
+    gone = pinned(gone.groupBy(*_ROW).agg(F.collect_set("number").alias("numbers")))
 
-    r1, r2 = text_hash(id_column, text_column)
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), r1.alias("s1"), r2.alias("s2"))
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                             *_row(documents, id_column, text_column))
+    gone = gone.withColumnsRenamed({"id": "of", "r1": "s1", "r2": "s2"})
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2"))
     text = F.col("row").getField(text_column)
-    same = F.col("row").getField(id_column).eqNullSafe(F.col("id")) & (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2"))
 
     def rest(parts: Column) -> Column:
         places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("numbers"))
@@ -167,5 +211,8 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
     kept = F.when(F.col("numbers").isNotNull(), _let(_split(text), rest)).otherwise(text)
     columns = [kept.alias(c) if c == text_column else F.col("row").getField(c).alias(c)
                for c in documents.columns if c != "__lines_dropped"]
-    return rows.join(gone, same, "left").select(
-        *columns, F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias("__lines_dropped"))
+    columns.append(F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias("__lines_dropped"))
+    # Documents that certainly keep all their lines stay where they are.
+    changed = _may_be_among(gone.select(F.col("s1").alias("r1")))
+    untouched = whole.where(~changed).withColumn("numbers", F.lit(None).cast("array<int>"))
+    return whole.where(changed).join(gone, same, "left").select(*columns).unionAll(untouched.select(*columns))

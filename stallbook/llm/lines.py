@@ -158,15 +158,15 @@ def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
         "at", F.split(_plain(F.col("line"), F.col("odd")), " ").alias("words"))
     known = pinned(known)
     near = known.select("at", _neighbourhood(F.col("words")).alias("near"))
-    variants = near.select("at", F.posexplode("near.variants").alias("place", "v"))
+    variants = pinned(near.select("at", F.col("near.whole").alias("whole"), F.posexplode("near.variants").alias("place", "v")))
     # Replaced: the same variant at the same place.
     placed = variants.select("at", F.xxhash64("v", "place").alias("key"))
     earliest = pinned(placed.groupBy("key").agg(F.min("at").alias("early"), F.max("at").alias("late"))
                       .where("early < late").select("key", "early"))
     replaced = placed.join(earliest, "key").where("early < at").select(F.col("at").alias("late"), "early")
     # Added or missing: one line's variant is the other as a whole.
-    whole = pinned(near.select(F.col("near.whole").alias("v"), F.col("at").alias("other")))
-    added = variants.join(whole, "v").select(F.greatest("at", "other").alias("late"), F.least("at", "other").alias("early"))
+    whole = pinned(variants.where("place = 0").select(F.col("whole").alias("v"), F.col("at").alias("other")))
+    added = variants.select("at", "v").join(whole, "v").select(F.greatest("at", "other").alias("late"), F.least("at", "other").alias("early"))
     pairs = replaced.unionAll(added.where("early < late")).distinct()
     found = (pairs.join(known.select(F.col("at").alias("late"), "words"), "late")
              .join(known.select(F.col("at").alias("early"), F.col("words").alias("others")), "early"))

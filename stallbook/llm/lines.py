@@ -126,7 +126,8 @@ def _may_be_among(hashes: DataFrame) -> Column:
     at = place(F.col("r1"))
     maps = hashes.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")) \
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    known = maps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits")))).scalar()
+    # Written down, because the plan asks for it in several places.
+    known = pinned(maps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("known"))).scalar()
     bit = F.bitmap_bit_position(at)
     byte = F.substr(F.try_element_at(known, F.bitmap_bucket_number(at)), (bit / 8).cast("int") + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")

@@ -99,7 +99,10 @@ def unframe(records: list[bytes], where: str) -> list[bytes]:
 
 
 def serialized(key: int | None, ids: bytes, id_bytes: int) -> bytes:
-    values = np.frombuffer(ids, "<u4").astype(f"<u{id_bytes}")
+    values = np.frombuffer(ids, "<u4")
+    if len(values) and int(values.max()) >> 8 * id_bytes:
+        raise ValueError(f"token id {values.max()} does not fit into {id_bytes} bytes")
+    values = values.astype(f"<u{id_bytes}")
     return struct.pack("<BqB", key is None, key or 0, id_bytes) + values.tobytes()
 
 
@@ -108,10 +111,26 @@ def parsed(message: bytes) -> tuple[int | None, np.ndarray]:
     return None if missing else key, np.frombuffer(message, f"<u{id_bytes}", offset=10)
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: one without stands on Spark's default file system, not on a task's own disk.
+
+    Tasks reach it by pyarrow, so a scheme that pyarrow doesn't know is an error here, before anything is encoded.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
+    path = hadoop.Path(folder)
+    scheme = path.toUri().getScheme() or hadoop.FileSystem.getDefaultUri(conf).getScheme()
+    known = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if known not in ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss"):
+        raise ValueError(f"{folder}: record files can't be written to {scheme}: folders")
+    whole = path.getFileSystem(conf).makeQualified(path).toString()
+    return known + whole.removeprefix(scheme)
+
+
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system a task reaches a shared folder by, and the folder's path there."""
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") \
-        else (fs.LocalFileSystem(), folder)
+    """The file system a task reaches a folder by, and its path there; one without a scheme is on this machine."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
 def _cuts(documents: DataFrame, id_column: str, files: int) -> list[int]:
@@ -128,12 +147,14 @@ def write_records(documents: DataFrame, folder: str, tokenizer_path: str, end_id
 
     The manifest has file, part, records, tokens and the number of tokens before the file. Null text is encoded as
     empty, null ids come first, equal ids are ordered by their ids' bytes, a repeated row is a record of its own; an
-    empty table gives an empty manifest. Ids need an integer column. ``id_bytes`` must fit the vocabulary.
+    empty table gives an empty manifest. Ids need an integer column. A token id that ``id_bytes`` can't hold is an
+    error.
 
     Rows are dealt to files by quantiles of the id, and an id that fills several files is spread over them by its
     content. Every file is written under a name of its own and then renamed, so a repeated task replaces a file
     with the same content.
     """
+    folder = _qualified(documents.sparkSession, folder)
     files = files or max(1, -(-documents.count() // ROWS_PER_FILE))
     cuts = _cuts(documents, id_column, files) if files > 1 else []
 
@@ -205,7 +226,7 @@ def read_range(folder: str, file: str, entries: np.ndarray | None = None) -> Ite
 
 def read_records(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
     """Every record of the files: key, position (tokens of all records before it) and ids, one task per file."""
-    files = max(1, manifest.count())
+    files, folder = max(1, manifest.count()), _qualified(spark, folder)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(keys: list, starts: list, ids: list) -> pa.RecordBatch:

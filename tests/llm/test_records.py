@@ -35,6 +35,21 @@ def test_damage_is_found():
         records.unframe([record[:14] + b"x" + record[15:]], "")
 
 
+def test_a_token_id_too_large_is_an_error():
+    ids = np.array([1, 65_535], "<u4")
+    assert records.parsed(records.serialized(7, ids.tobytes(), 2))[1].tolist() == ids.tolist()
+    with pytest.raises(ValueError, match="65536 does not fit"):
+        records.serialized(7, (ids + 1).tobytes(), 2)
+
+
+def test_folders_stand_where_spark_looks_for_them(spark, tmp_path):
+    qualified = records._qualified(spark, str(tmp_path))
+    assert qualified == f"file:{tmp_path}"
+    assert records._place(qualified)[1] == records._place(str(tmp_path))[1] == str(tmp_path)
+    with pytest.raises(ValueError, match="can't be written"):
+        records._qualified(spark, "har:///archive.har/records")
+
+
 def written(spark, documents, **options):
     folder = records.records_folder(spark)
     manifest = records.write_records(documents, folder, PATH, 2, **options)

@@ -12,6 +12,8 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from operator import attrgetter
 
 CACHED_PIECES = 600_000   # per generation; a worker holds two, and as many words, some 350 MB at most
 GROUP = 1 << 20           # characters of text whose unknown pieces are encoded in one call
@@ -78,11 +80,12 @@ class Words:
             self.known.clear()
         symbols = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() \
             else word.encode().decode("latin-1").translate(_SYMBOLS)
-        ids = array("I", [token.id for token in self.model.tokenize(symbols)]).tobytes()
+        ids = array("I", map(_ID, self.model.tokenize(symbols))).tobytes()
         self.known[word] = ids
         return ids
 
 
+_ID = attrgetter("id")
 _STOPS = ".,!?;:"     # signs that often follow a word and are split from it, one run whatever their number
 # Fixed value: how byte-level tokenizers split text if their file names no pattern.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -143,10 +146,10 @@ class Pieces:
         known = self.known
         cut = [text.split(" ") for text in texts]
         heads = [pieces.pop(0) for pieces in cut] if self.lead else []
-        self._learn({piece for pieces in cut for piece in pieces if piece not in known})
+        self._learn(set(chain.from_iterable(cut)).difference(known))
         starts = self._raw(heads) if self.lead else [b""] * len(texts)
         for n, pieces in enumerate(cut):
-            found = [known[piece] for piece in pieces]
+            found = list(map(known.__getitem__, pieces))
             if None in found or self.lead and found and not _cut_holds(heads[n]):
                 yield b"".join(self._around_white_space([heads[n], *(" " + piece for piece in pieces)]))
             else:
@@ -168,6 +171,12 @@ class Pieces:
         return next(self._group([text]))
 
 
+@cache
+def pieces_of_worker(path: str, lead: bool) -> Pieces:
+    """One cache per worker process, which the tasks that run there one after another share."""
+    return Pieces(path, lead)
+
+
 def _cut_holds(piece: str) -> bool:
     """Whether a piece between two spaces can be encoded alone: neither of its ends is white space."""
     if not piece:

@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.chunked import Pieces
+from stallbook.llm.chunked import pieces_of_worker
 from stallbook.sources.shared import new_folder, pinned
 
 ROWS_PER_FILE = 4096      # documents aimed at per record file
@@ -159,7 +159,7 @@ def write_records(documents: DataFrame, folder: str, tokenizer_path: str, end_id
     cuts = _cuts(documents, id_column, files) if files > 1 else []
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer_path, lead)
+        pieces = pieces_of_worker(tokenizer_path, lead)
         end = b"" if end_id is None else struct.pack("<I", end_id)
         for batch in batches:
             rows = [], [], []

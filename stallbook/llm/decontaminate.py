@@ -4,7 +4,8 @@ For every benchmark item, windows of as many words slide over each document. A w
 its size in two steps: their 64-bit SimHashes must lie within RADIUS bits, which an index over BLOCKS blocks of the
 fingerprint finds without loss (some block then differs by RADIUS // BLOCKS bits at most), and their word shingles,
 weighted by how often they occur, must be similar enough. A window without a shingle of such an item has similarity
-zero, so only the others are fingerprinted.
+zero, so only the others are fingerprinted. An item of fewer words than a shingle has is one shingle of its own width,
+and documents are cut into shingles of every width that the items have.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ BLOCKS = 8                    # of 8 bits
 ITEMS = 20_000                # distinct benchmark texts sent to the tasks at once, and
 ITEM_CHARACTERS = 32 << 20    # their characters; more are taken in turn
 KNOWN_WORDS = 500_000
-WINDOWS = 4096                # windows looked up at once
+WINDOWS = 4096                # windows looked up at once, and
+PAIRS = 1 << 21               # pairs of a window and an item
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MASKS = np.array([mask for mask in range(256) if mask.bit_count() <= RADIUS // BLOCKS])
 
@@ -44,19 +46,21 @@ class Hashes(dict):
         self[word] = found = xxhash.xxh64_intdigest(core, 5) if core else 0
         return found
 
-    def shingles(self, text: str | None) -> np.ndarray:
-        """Hashes of a text's shingles in order; a text of fewer words is one shingle, one without words none."""
-        words = (text or "").encode().lower().split()
-        each = np.array([self[word] for word in words], np.uint64)
-        each = each[each > 0]
-        if not len(each):
-            return each
-        width = min(WIDTH, len(each))
-        mixed = np.full(len(each) - width + 1, width, np.uint64)
-        for k in range(width):
-            mixed = (mixed ^ each[k:k + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(31)
-        return mixed
+    def words(self, text: str | None) -> np.ndarray:
+        """Hashes of a text's words in order."""
+        each = np.array([self[word] for word in (text or "").encode().lower().split()], np.uint64)
+        return each[each > 0]
+
+
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words; the width goes into the hash."""
+    if not 0 < width <= len(words):
+        return words[:0]
+    mixed = np.full(len(words) - width + 1, width, np.uint64)
+    for k in range(width):
+        mixed = (mixed ^ words[k:k + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
+    return mixed
 
 
 def fingerprints(votes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -72,7 +76,7 @@ def running_votes(shingles: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Size:
-    """The items of one size, and their index: per block, the items within RADIUS // BLOCKS bits of each value."""
+    """The items of one width and size, and their index: per block, those within RADIUS // BLOCKS bits of each value."""
 
     items: list[int] = field(default_factory=list)
     prints: np.ndarray | None = None
@@ -112,21 +116,24 @@ class Benchmark:
     def __init__(self, items: list[tuple], similarity: float = SIMILARITY) -> None:
         self.similarity, self.hashes = similarity, Hashes()
         self.keys, self.counts, by_shingle = [], [], {}
-        self.sizes: dict[int, Size] = {}
-        prints: dict[int, list[int]] = {}
+        self.sizes: dict[tuple[int, int], Size] = {}     # by the shingles' width and their number
+        prints: dict[tuple[int, int], list[int]] = {}
         for key, text in items:
-            shingles = self.hashes.shingles(text)
-            if not len(shingles):
+            words = self.hashes.words(text)
+            width = min(WIDTH, len(words))
+            each = shingles(words, width)
+            if not len(each):
                 continue
-            size = len(shingles)
+            size = width, len(each)
             self.sizes.setdefault(size, Size()).items.append(len(self.keys))
-            prints.setdefault(size, []).append(int(fingerprints(running_votes(shingles), np.array([0]), size)[0]))
-            for shingle in set(shingles.tolist()):
+            prints.setdefault(size, []).append(int(fingerprints(running_votes(each), np.array([0]), len(each))[0]))
+            for shingle in set(each.tolist()):
                 by_shingle.setdefault(shingle, set()).add(size)
             self.keys.append(key)
-            self.counts.append(Counter(shingles.tolist()))
+            self.counts.append(Counter(each.tolist()))
         for size, found in prints.items():
             self.sizes[size].index(found)
+        self.widths = sorted({width for width, _ in self.sizes})
         self.shingles = np.array(sorted(by_shingle), np.uint64)
         self.size_sets = [by_shingle[shingle] for shingle in self.shingles.tolist()]
         self.maybe = np.zeros(1 << 20, bool)
@@ -134,38 +141,45 @@ class Benchmark:
 
     def found_in(self, text: str | None) -> dict[int, tuple[float, int]]:
         """For each item found, its number: the best similarity and where that window begins, in words."""
-        shingles = self.hashes.shingles(text)
-        hits = np.flatnonzero(self.maybe[(shingles >> np.uint64(44)).astype(np.int64)])
+        words = self.hashes.words(text)
+        best: dict[int, tuple[float, int]] = {}
+        for width in self.widths:
+            self._of_width(shingles(words, width), best)
+        return best
+
+    def _of_width(self, each: np.ndarray, best: dict) -> None:
+        hits = np.flatnonzero(self.maybe[(each >> np.uint64(44)).astype(np.int64)])
         if not len(hits):
-            return {}
-        place = np.searchsorted(self.shingles, shingles[hits])
-        real = self.shingles[np.minimum(place, len(self.shingles) - 1)] == shingles[hits]
+            return
+        place = np.searchsorted(self.shingles, each[hits])
+        real = self.shingles[np.minimum(place, len(self.shingles) - 1)] == each[hits]
         hits, place = hits[real], place[real]
-        by_size: dict[int, list[int]] = {}
+        by_size: dict[tuple[int, int], list[int]] = {}
         for hit, shingle in zip(hits.tolist(), place.tolist()):
             for size in self.size_sets[shingle]:
                 by_size.setdefault(size, []).append(hit)
-        best: dict[int, tuple[float, int]] = {}
         for size, places in by_size.items():
-            self._windows(shingles, size, np.array(places), best)
-        return best
+            self._windows(each, size, np.array(places), best)
 
-    def _windows(self, shingles: np.ndarray, size: int, hits: np.ndarray, best: dict) -> None:
-        """Windows of ``size`` shingles around the hits; a shorter document is one window."""
-        length = min(size, len(shingles))
-        changes = np.zeros(len(shingles) + 1, np.int64)
+    def _windows(self, each: np.ndarray, key: tuple[int, int], hits: np.ndarray, best: dict) -> None:
+        """Windows of as many shingles as ``key`` says around the hits; a shorter document is one window."""
+        size = key[1]
+        length = min(size, len(each))
+        changes = np.zeros(len(each) + 1, np.int64)
         np.add.at(changes, np.maximum(hits - length + 1, 0), 1)
         np.add.at(changes, hits + 1, -1)
-        starts = np.flatnonzero(np.cumsum(changes)[:len(shingles) - length + 1] > 0)
-        of_size = self.sizes[size]
-        for first in range(0, len(starts), WINDOWS):
-            part = starts[first:first + WINDOWS]
+        starts = np.flatnonzero(np.cumsum(changes)[:len(each) - length + 1] > 0)
+        of_size = self.sizes[key]
+        # However many items have this size, so many pairs are looked at in one go.
+        step = max(1, min(WINDOWS, PAIRS // len(of_size.items)))
+        for first in range(0, len(starts), step):
+            part = starts[first:first + step]
             low = part[0]
-            votes = running_votes(shingles[low:part[-1] + length])
+            votes = running_votes(each[low:part[-1] + length])
             window, item = of_size.near(fingerprints(votes, part - low, length))
             for start, number in zip(part[window].tolist(), item.tolist()):
                 number = of_size.items[number]
-                wanted, have = self.counts[number], Counter(shingles[start:start + length].tolist())
+                wanted, have = self.counts[number], Counter(each[start:start + length].tolist())
                 both = sum(min(count, have[shingle]) for shingle, count in wanted.items() if shingle in have)
                 similar = both / (size + length - both)
                 if similar >= self.similarity and (similar, -start) > (best.get(number, (0.0, 0))[0],
@@ -175,15 +189,16 @@ class Benchmark:
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                  id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
-    """(id, item_id, similarity, start_word, row_hash): one row per document and benchmark item found in it.
+    """(id, item_id, similarity, start_word, r1, r2): one row per document and benchmark item found in it.
 
-    Each is the item's best window, the first of equal ones. ``row_hash`` is xxhash64 of the document's id and text.
+    Each is the item's best window, the first of equal ones. ``r1`` and ``r2`` hash the document's id and text.
     Null texts count as empty; items without words are found nowhere; items that repeat are reported under each id; a
-    repeated document repeats its rows; either table may be empty. An item of fewer than five words is found only
-    where the whole document is that item, not inside a longer one. Documents are read where they lie. The items'
-    distinct texts are sent to the tasks, in as many turns as keep each within ITEMS texts and ITEM_CHARACTERS
-    characters on average; a turn of several is written down before the next is fetched. What is found is then joined
-    with the items' ids.
+    repeated document repeats its rows; either table may be empty. An item of fewer than five words is found wherever
+    its words stand one after the other. Only the columns of id and text are read, whatever others are called.
+
+    Documents are read where they lie. The items' distinct texts are sent to the tasks, in as many turns as keep each
+    within ITEMS texts and ITEM_CHARACTERS characters on average; a turn of several is written down before the next is
+    fetched. What is found is then joined with the items' ids.
     """
     kind = documents.schema[id_column].dataType.simpleString()
     t1, t2 = text_hash("words")
@@ -192,21 +207,21 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
     texts = pinned(items.groupBy("t1", "t2").agg(F.first("words").alias("words")))
     count, characters = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("words")), F.lit(0))).first()
     turns = max(1, -(-count // ITEMS), -(-characters // ITEM_CHARACTERS))
-    rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
-                            F.xxhash64(id_column, text_column).alias("row_hash"))
+    r1, r2 = text_hash(id_column, text_column)
+    rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), r1.alias("r1"), r2.alias("r2"))
     found = None
     for turn in range(turns):
         part = [((row.t1, row.t2), row.words) for row in texts.where(F.pmod("t2", F.lit(turns)) == turn).collect()]
 
-        def scan(known: Benchmark, ids: list, texts: list, hashes: list) -> Iterator[tuple]:
-            for key, text, row_hash in zip(ids, texts, hashes):
+        def scan(known: Benchmark, ids: list, texts: list, *hashes: list) -> Iterator[tuple]:
+            for key, text, *row in zip(ids, texts, *hashes):
                 for number, (similar, start) in sorted(known.found_in(text).items()):
-                    yield key, *known.keys[number], similar, start, row_hash
+                    yield key, *known.keys[number], similar, start, *row
 
-        each = map_rows(rows, f"id {kind}, t1 long, t2 long, similarity double, start_word long, row_hash long",
+        each = map_rows(rows, f"id {kind}, t1 long, t2 long, similarity double, start_word long, r1 long, r2 long",
                         scan, setup=lambda part=part: Benchmark(part, similarity))
         if turns > 1:
             each = pinned(each)
         found = each if found is None else found.unionAll(each)
     return found.join(items.select("t1", "t2", "item_id"), ["t1", "t2"]) \
-        .select("id", "item_id", "similarity", "start_word", "row_hash")
+        .select("id", "item_id", "similarity", "start_word", "r1", "r2")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stallbook.llm import (bpe, chat, decontaminate, lattice, licenses, lines, oracle, pii, quality, records, repair,
                            resampling, secrets, simhash)
-from stallbook.llm.common import map_rows
+from stallbook.llm.common import map_rows, text_hash
 from stallbook.sources.shared import pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,25 +160,37 @@ def op13_licenses(spark, folder):
     return licenses.summary(licenses.licenses(_table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    """(row, id, r1, r2): whole rows, whatever their columns are called, and what tells a document from others."""
+    r1, r2 = text_hash("doc_id", "text")
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                            F.col("doc_id").alias("id"), r1.alias("r1"), r2.alias("r2"))
+
+
+def _joined(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``_keyed`` rows with (``left_semi``) or without (``left_anti``) their id, r1 and r2 in ``found``."""
+    names = {"id": "of", "r1": "s1", "r2": "s2"}
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("r1") == F.col("s1")) & (F.col("r2") == F.col("s2"))
+    return _keyed(documents).join(found.select(*names).distinct().withColumnsRenamed(names), same, how)
+
+
 def one_of_each_group(documents: DataFrame) -> DataFrame:
     """The documents without near-duplicates of another: of each SimHash component one row stays.
 
     That is the row with the smallest id, the smallest hash of id and text among equal ids; rows that repeat id and
-    text are one document, of which one stays.
+    text are one document, of which one stays. All columns stay, whatever their names.
     """
-    found = simhash.near_duplicates(documents.withColumn("__row", F.xxhash64("doc_id", "text")), carry=["__row"])
-    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "__row")).alias("stays"))
-    keep = first.select(F.col("stays.__row").alias("__row")).distinct()
-    marked = documents.withColumn("__row", F.xxhash64("doc_id", "text"))
-    return marked.join(keep, "__row", "left_semi").drop("__row").dropDuplicates(["doc_id", "text"])
+    r1, r2 = text_hash("doc_id", "text")
+    found = simhash.near_duplicates(documents.select("doc_id", "text", r1.alias("r1"), r2.alias("r2")), carry=["r1", "r2"])
+    first = found.groupBy("group_print").agg(F.min(F.struct(F.col("id").isNull(), "id", "r1", "r2")).alias("stays"))
+    return _joined(documents, first.select("stays.id", "stays.r1", "stays.r2"), "left_semi") \
+        .dropDuplicates(["id", "r1", "r2"]).select("row.*")
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item is found."""
-    found = decontaminate.contaminated(documents, benchmark).select(F.col("row_hash").alias("__row")).distinct()
-    marked = documents.withColumn("__row", F.xxhash64("doc_id", "text"))
-    return marked.join(pinned(found), "__row", "left_anti").drop("__row")
+    """The documents in which no benchmark item is found, with all their columns, whatever their names."""
+    found = decontaminate.contaminated(documents, benchmark).select("id", "r1", "r2").distinct()
+    return _joined(documents, pinned(found), "left_anti").select("row.*")
 
 
 def oracle_sql() -> dict[str, str]:

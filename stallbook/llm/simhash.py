@@ -269,12 +269,13 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3, id_column: str = "doc_id",
                     text_column: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """(id, *carry, fingerprint, component_id) per row of ``documents``; ``carry`` names columns to keep.
+    """(id, *carry, fingerprint, component_id, group_print) per row of ``documents``; ``carry`` names columns to keep.
 
     Documents link when their fingerprints differ in at most ``radius`` bits; the component is the smallest id that
     links reach. Equal fingerprints are one node of the join, however many documents share them. Null and empty
     texts have fingerprint zero and link like any other; a repeated row repeats its result; null ids are never the
-    smallest unless a component has no other; an empty table gives an empty result.
+    smallest unless a component has no other; an empty table gives an empty result. ``group_print``, one fingerprint of
+    the component, tells components apart also where ids repeat and two components have the same smallest id.
     """
     each = pinned(fingerprints(documents, width, id_column, text_column, carry))
     distinct = pinned(each.groupBy("fp").agg(F.min("id").alias("first")))
@@ -282,6 +283,10 @@ def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3, id_co
     mapped = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
     mapped = pinned(mapped.select("fp", "first", F.coalesce("component", "fp").alias("root")))
     smallest = mapped.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = pinned(mapped.join(smallest, "root").select("fp", "component_id"))
+    by_print = pinned(mapped.join(smallest, "root").select("fp", "component_id", "root"))
+
+    def digits(column: str) -> Column:
+        return F.lower(F.lpad(F.hex(column), 16, "0"))
+
     return each.join(by_print, "fp").select(
-        "id", *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "id", *carry, digits("fp").alias("fingerprint"), "component_id", digits("root").alias("group_print"))

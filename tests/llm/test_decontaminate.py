@@ -15,16 +15,18 @@ def plain_words(text):
     return [w for w in (p.strip(SIGNS) for p in lowered.split()) if w]
 
 
-def plain_shingles(words):
-    return [tuple(words[k:k + 5]) for k in range(len(words) - 4)] or ([tuple(words)] if words else [])
+def plain_shingles(words, width):
+    return [tuple(words[k:k + width]) for k in range(len(words) - width + 1)]
 
 
 def plain_found(text, items):
-    """Best similarity of every item over all windows of its size."""
-    document, found = plain_shingles(plain_words(text)), {}
+    """Best similarity of every item over all windows of its size, in shingles as wide as the item allows."""
+    words, found = plain_words(text), {}
     for key, item in items:
-        wanted = plain_shingles(plain_words(item))
-        if not wanted or not document:
+        item = plain_words(item)
+        width = min(5, len(item))
+        document, wanted = plain_shingles(words, width), plain_shingles(item, width)
+        if not item or not document:
             continue
         size, wanted = len(wanted), Counter(wanted)
         length = min(size, len(document))
@@ -127,4 +129,43 @@ def test_query(spark, table):
 
 
 def test_words():
-    assert len(Hashes().shingles("a, b. -- c!")) == 1 and not len(Hashes().shingles(" -- "))
+    assert len(Hashes().words("a, b. -- c!")) == 3 and not len(Hashes().words(" -- "))
+
+
+def test_short_items_are_found_inside_documents():
+    items = [(1, "one"), (2, "Two three"), (3, "four, five six"), (4, "seven eight nine ten"), (5, "never there")]
+    benchmark = Benchmark(items)
+    text = "zero ONE two three. four five six! seven eight nine ten eleven one"
+    assert found(benchmark, text) == {1: (1.0, 1), 2: (1.0, 2), 3: (1.0, 4), 4: (1.0, 7)} == plain_found(text, items)
+    assert found(benchmark, "two") == found(benchmark, "three two") == found(benchmark, None) == {}
+
+
+def test_many_items_of_one_size(monkeypatch):
+    """Few pairs at once give the same."""
+    from stallbook.llm import decontaminate
+
+    generator = np.random.default_rng(3)
+    items = [(k, " ".join(map(str, generator.integers(0, 40, 12)))) for k in range(200)]
+    text = " ".join(item for _, item in items[:40])
+    benchmark = Benchmark(items)
+    whole = found(benchmark, text)
+    monkeypatch.setattr(decontaminate, "PAIRS", 500)
+    assert found(benchmark, text) == whole and len(whole) >= 40
+
+
+def test_documents_go_by_themselves_alone(spark):
+    """Rows are told apart by more than their id, and columns of any name come back."""
+    documents = spark.createDataFrame(
+        [(1, "an item to find", 5, 7, 9), (1, "something else", 6, 8, 10), (None, "holds an item to find here", 1, 1, 1),
+         (None, None, 2, 2, 2), (2, "something else", 3, 3, 3)],
+        "doc_id long, text string, __row int, r1 int, id int")
+    items = spark.createDataFrame([(1, "an item to find")], "item_id long, text string")
+    kept = queries.without_benchmark(documents, items)
+    assert kept.columns == documents.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(
+        [(1, "something else", 6, 8, 10), (None, None, 2, 2, 2), (2, "something else", 3, 3, 3)], key=repr)
+    each = queries.one_of_each_group(documents)
+    assert each.columns == documents.columns
+    left = sorted(map(tuple, each.collect()), key=repr)
+    assert (1, "an item to find", 5, 7, 9) in left and (2, "something else", 3, 3, 3) not in left
+    assert (1, "something else", 6, 8, 10) in left

@@ -139,3 +139,28 @@ def test_crowd_of_copies(spark):
     named = df.select(F.format_string("key%05d", "order_id").alias("order_id"), "embedding")
     found = knn.nearest_to_each(named, named.where("order_id = 'key00007'"), 2)
     assert sorted(r.order_id for r in found.collect()) == ["key00000", "key00001"]
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("copies", [False, True])
+def test_nearest_to_each_in_bounded_memory(metric, copies):
+    """Only a bounded number of candidates is worked out at once, also before any bound is known and among copies."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    rows = np.ones((512, 64)) if copies else rng.normal(size=(512, 64)).astype("float32").astype(float)
+    best = knn._Best(np.arange(512), rows, 3, metric)
+    tracemalloc.start()
+    best.see(np.arange(512), rows)
+    best.see(np.arange(512, 1024), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    found = {seed: [] for seed in range(512)}
+    for who, apart, keys in best.found.values():
+        for seed, distance, key in zip(who.tolist(), apart.tolist(), keys.tolist()):
+            found[seed].append((distance, key))
+    every = [(i, v) for i, v in enumerate(np.concatenate([rows, rows]))]
+    for seed in (0, 17, 511):
+        apart = knn._exact(metric, np.broadcast_to(rows[seed], (1024, 64)), np.array([v for _, v in every]))
+        assert found[seed] == sorted(zip(apart.tolist(), range(1024)))[:3]

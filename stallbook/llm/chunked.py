@@ -1,7 +1,8 @@
 """Exact encoding of space-separated pieces with a bounded cache.
 
 A tokenizer that splits words before its merges gives each piece between spaces the same ids wherever it stands, so
-a piece is encoded once per worker and looked up after that.
+a piece is encoded once per worker and looked up after that. A group of texts is cut, and its distinct pieces are
+numbered, by Arrow: Python sees a piece once in each group, however often the group's texts have it.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 from operator import attrgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 CACHED_PIECES = 600_000   # per generation; a worker holds two, and as many words, some 350 MB at most
-GROUP = 1 << 20           # characters of text whose unknown pieces are encoded in one call
+GROUP = 1 << 22           # characters of text that are cut at once, and whose unknown pieces are encoded in one call
 
 
 @cache
@@ -118,7 +122,7 @@ class Pieces:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         known, older, encode, space = self.known, self.older, self.words.encode, self.space
         unknown = []
         for piece in pieces:
@@ -144,16 +148,30 @@ class Pieces:
         if len(self.known) > self.cached:
             self.older, self.known = self.known, {}
         known = self.known
-        cut = [text.split(" ") for text in texts]
-        heads = [pieces.pop(0) for pieces in cut] if self.lead else []
-        self._learn(set(chain.from_iterable(cut)).difference(known))
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        numbered = cut.values.dictionary_encode()
+        del cut
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(known.get, pieces))
+        new = [n for n, ids in enumerate(found) if ids is None]
+        self._learn([pieces[n] for n in new if pieces[n] not in known])
+        for n in new:
+            found[n] = known[pieces[n]]
+        ids = pa.array(found, pa.large_binary())
+        # With a lead, a text's first piece has no space before it and is encoded by itself.
+        places = numbered.indices.to_numpy()
+        first = bounds[:-1] + self.lead
+        odd = np.r_[0, np.cumsum(~np.asarray(ids.is_valid())[places])]
+        found = ids.take(numbered.indices)
+        ends, data = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1), memoryview(found.buffers()[2] or b"")
+        heads = [text.partition(" ")[0] for text in texts] if self.lead else []
         starts = self._raw(heads) if self.lead else [b""] * len(texts)
-        for n, pieces in enumerate(cut):
-            found = list(map(known.__getitem__, pieces))
-            if None in found or self.lead and found and not _cut_holds(heads[n]):
-                yield b"".join(self._around_white_space([heads[n], *(" " + piece for piece in pieces)]))
+        for n, (a, b) in enumerate(zip(first.tolist(), bounds[1:].tolist())):
+            if odd[b] > odd[a] or self.lead and a < b and not _cut_holds(heads[n]):
+                yield b"".join(self._around_white_space([heads[n], *(" " + piece for piece in texts[n].split(" ")[1:])]))
             else:
-                yield starts[n] + b"".join(found)
+                yield starts[n] + bytes(data[ends[a]:ends[b]])
 
     def _around_white_space(self, pieces: list[str]) -> list[bytes]:
         """Pieces with white space at an end are encoded together with their neighbours."""

@@ -107,3 +107,29 @@ def test_query(spark, table):
         assert row.ids_crc32 == zlib.crc32(np.array(tokens, "<u4").tobytes())
         position += len(tokens)
     assert not found
+
+
+def test_repeated_pieces_are_looked_up_once_in_a_group():
+    """What Python does for a group of texts grows with its distinct pieces, not with all of them."""
+    from public_tokenizers import path
+    from stallbook.llm.chunked import Pieces, tokenizer
+
+    class Counted(dict):
+        looked_up = 0
+
+        def __getitem__(self, piece):
+            Counted.looked_up += 1
+            return super().__getitem__(piece)
+
+        def get(self, piece, default=None):
+            Counted.looked_up += 1
+            return super().get(piece, default)
+
+    text = "head" + " one two, three" * 2000 + "  odd\n end"
+    for name, lead in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        pieces = Pieces(path(name), lead)
+        pieces.known, Counted.looked_up = Counted(), 0
+        texts = [text, "", " ", text[:-12], "日本 語 one", "\n one", "one"]
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in pieces.encode_all(texts)]
+        assert found == [tokenizer(path(name)).encode(x, add_special_tokens=False).ids for x in texts]
+        assert Counted.looked_up < 50

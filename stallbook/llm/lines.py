@@ -15,7 +15,7 @@ from stallbook.operators.ordered import split_running_sum
 from stallbook.sources.shared import pinned
 
 LEAST_WORDS = 10     # shorter lines are only compared as a whole: one word is too much of them
-FILTER_BITS = 1 << 23     # of the bitmap that finds the documents to move: 1 MB
+FILTER_BITS = 1 << 24     # of the bitmap that finds the rows to move: 2 MB
 _BLOCK = 256
 _ROW = ["id", "r1", "r2"]
 
@@ -114,24 +114,21 @@ def _lines(rows: DataFrame) -> DataFrame:
     return rows.select("id", F.inline(each)).where("line <> ''")
 
 
-def _may_be_among(hashes: DataFrame) -> Column:
-    """Whether a row's ``r1`` may be one of ``hashes`` (r1): never wrongly no.
+def _may_be_among(hashes: DataFrame, name: str = "r1") -> Column:
+    """Whether a row's hash ``name`` may be one of those in the same column of ``hashes``: never wrongly no.
 
-    A bitmap of ``FILTER_BITS`` bits at most, whatever the number of hashes, goes to every task. It keeps the texts of
-    most documents without a part in a join from being moved for it; the join decides.
+    A bitmap of ``FILTER_BITS`` bits, whatever the number of hashes, goes to every task. It keeps most rows without a
+    part in a join from being moved for it; the join decides.
     """
-    def place(r1: Column) -> Column:
-        return F.pmod(r1, F.lit(FILTER_BITS)) + 1
-
-    at = place(F.col("r1"))
-    maps = hashes.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")) \
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    at = F.pmod(F.col(name), F.lit(FILTER_BITS))
+    word, bit = (at / 64).cast("long"), F.pmod(at, F.lit(64)).cast("int")
+    every = hashes.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    maps = hashes.select(word.alias("word"), one.alias("bits")).unionAll(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))
     # Written down, because the plan asks for it in several places.
-    known = pinned(maps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("known"))).scalar()
-    bit = F.bitmap_bit_position(at)
-    byte = F.substr(F.try_element_at(known, F.bitmap_bucket_number(at)), (bit / 8).cast("int") + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.coalesce(F.call_function("shiftright", value, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    known = pinned(maps.agg(F.transform(in_order, lambda part: part["bits"]).alias("known"))).scalar()
+    return F.coalesce(F.getbit(F.get(known, word.cast("int")), bit) == 1, F.lit(False))
 
 
 def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
@@ -144,9 +141,10 @@ def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     keys = distinct.select("h1", F.explode("keys").alias("key"))
     shared = pinned(keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
                     .where("low <> high").select("key"))
-    met = pinned(keys.join(shared, "key", "left_semi").select("h1").distinct())
-    numbered = split_running_sum(distinct.select("h1", "h2", "first", F.lit(1).cast("long").alias("one"))
-                                 .join(met, "h1", "left_semi"), [], [F.col("first"), F.col("h1"), F.col("h2")], "one", "at")
+    met = pinned(keys.where(_may_be_among(shared, "key")).join(shared, "key", "left_semi").select("h1").distinct())
+    kept = distinct.where(_may_be_among(met, "h1")).join(met, "h1", "left_semi")
+    numbered = split_running_sum(kept.select("h1", "h2", "first", F.lit(1).cast("long").alias("one")), [],
+                                 [F.col("first"), F.col("h1"), F.col("h2")], "one", "at")
     crowd = pinned(numbered.select("h1", "h2", "at", "first.*"))
     # Each line's words from the document where it comes first.
     wanted = rows.where(_may_be_among(crowd.select("r1"))).join(crowd.groupBy(*_ROW).agg(
@@ -164,10 +162,12 @@ def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     placed = variants.select("at", F.xxhash64("v", "place").alias("key"))
     earliest = pinned(placed.groupBy("key").agg(F.min("at").alias("early"), F.max("at").alias("late"))
                       .where("early < late").select("key", "early"))
-    replaced = placed.join(earliest, "key").where("early < at").select(F.col("at").alias("late"), "early")
+    replaced = placed.where(_may_be_among(earliest, "key")).join(earliest, "key").where("early < at").select(
+        F.col("at").alias("late"), "early")
     # Added or missing: one line's variant is the other as a whole.
     whole = pinned(variants.where("place = 0").select(F.col("whole").alias("v"), F.col("at").alias("other")))
-    added = variants.select("at", "v").join(whole, "v").select(F.greatest("at", "other").alias("late"), F.least("at", "other").alias("early"))
+    added = variants.where(_may_be_among(whole, "v")).select("at", "v").join(whole, "v").select(
+        F.greatest("at", "other").alias("late"), F.least("at", "other").alias("early"))
     pairs = replaced.unionAll(added.where("early < late")).distinct()
     found = (pairs.join(known.select(F.col("at").alias("late"), "words"), "late")
              .join(known.select(F.col("at").alias("early"), F.col("words").alias("others")), "early"))
@@ -193,9 +193,10 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
     lines = pinned(_lines(rows).select(*place, h1.alias("h1"), h2.alias("h2"), keys.alias("keys")))
     distinct = pinned(lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")))
-    near = _near_earlier(distinct.where(F.col("keys").isNotNull()), rows).withColumn("near", F.lit(True))
-    affected = pinned(distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near"))
-    gone = lines.select(*place, "h1", "h2").join(affected, ["h1", "h2"]) \
+    near = pinned(_near_earlier(distinct.where(F.col("keys").isNotNull()), rows).withColumn("near", F.lit(True)))
+    affected = distinct.select("h1", "h2", "first", "n").where((F.col("n") > 1) | _may_be_among(near, "h1"))
+    affected = pinned(affected.join(near, ["h1", "h2"], "left").where("n > 1 or near"))
+    gone = lines.select(*place, "h1", "h2").where(_may_be_among(affected, "h1")).join(affected, ["h1", "h2"]) \
         .where(F.col("near").isNotNull() | ~F.struct(*place).eqNullSafe(F.col("first")))
     gone = pinned(gone.groupBy(*_ROW).agg(F.collect_set("number").alias("numbers")))
 

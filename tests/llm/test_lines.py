@@ -115,3 +115,24 @@ def test_query(spark, table):
     expected = plain([row.text for row in rows])
     assert {row.doc_id: text for row, text in zip(rows, expected)} == {key: row.text for key, row in found.items()}
     assert sum(row.lines_dropped for row in found.values()) > 0
+
+
+def test_rows_without_a_part_stay(spark):
+    """The bitmap never says no to a hash that is there, and says no to nearly all others, negative ones included."""
+    there = spark.range(-500, 500).select(F.xxhash64("id").alias("key"))
+    rows = spark.range(-500, 20_000).select("id", F.xxhash64("id").alias("key"))
+    found = {row.id for row in rows.where(lines._may_be_among(there, "key")).select("id").collect()}
+    assert set(range(-500, 500)) <= found and len(found) < 1100
+    assert rows.where(lines._may_be_among(there.limit(0), "key")).isEmpty()
+
+
+def test_joins_move_only_what_may_match(spark, monkeypatch):
+    """Lines and keys without a partner are not moved for a join: every such join's larger side passes the bitmap."""
+    asked = []
+    real = lines._may_be_among
+    monkeypatch.setattr(lines, "_may_be_among", lambda hashes, name="r1": asked.append(name) or real(hashes, name))
+    texts = ["\n".join(f"w{n} " + " ".join(f"x{n}y{k}" for k in range(11)) for n in range(i, i + 3)) for i in range(4)]
+    texts.append(texts[0].replace("x0y5", "other"))
+    found = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r.text for r in found.orderBy("doc_id").collect()] == plain(texts)
+    assert sorted(asked) == ["h1", "h1", "h1", "key", "key", "r1", "r1", "v"]

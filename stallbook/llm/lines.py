@@ -15,7 +15,7 @@ from stallbook.operators.ordered import split_running_sum
 from stallbook.sources.shared import pinned
 
 LEAST_WORDS = 10     # shorter lines are only compared as a whole: one word is too much of them
-FILTER_BITS = 1 << 24     # of the bitmap that finds the rows to move: 2 MB
+FILTER_BITS = 1 << 23     # of the bitmap that finds the rows to move: 1 MB
 _BLOCK = 256
 _ROW = ["id", "r1", "r2"]
 
@@ -125,7 +125,7 @@ def _may_be_among(hashes: DataFrame, name: str = "r1") -> Column:
     every = hashes.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
     maps = hashes.select(word.alias("word"), one.alias("bits")).unionAll(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))
+    in_order = F.sort_array(F.collect_list(F.struct("word", "bits")))
     # Written down, because the plan asks for it in several places.
     known = pinned(maps.agg(F.transform(in_order, lambda part: part["bits"]).alias("known"))).scalar()
     return F.coalesce(F.getbit(F.get(known, word.cast("int")), bit) == 1, F.lit(False))

@@ -23,7 +23,7 @@ PIECE = 32_768     # characters; texts beyond it are cut into pieces of about th
 WINDOW = 4         # tokens re-encoded on either side of a join at first
 MARGIN = 16        # characters of one kind on both sides of a cut inside a word
 FAN = 8            # neighbours that one exchange of the tree brings together
-CACHED = 300_000   # pieces a worker remembers per generation; the decoder's workers need memory beside it
+CACHED = 300_000   # pieces a worker remembers per generation
 
 # Characters that Unicode normalisation and lower-casing keep apart from what stands before them, all letters.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿА-яぁ-ゖァ-ヺ一-龥가-힣"
@@ -130,16 +130,33 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
     table gives an empty result. Texts over ``size`` characters are cut into pieces, which tasks encode in parallel,
     each distinct text once; neighbours are then joined two and two as a tree, ``FAN`` of them for each exchange.
     """
+    return _encoded(documents, tokenizer_path, id_column, text_column, size, False)
+
+
+def encode_and_decode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text",
+                      size: int = PIECE) -> DataFrame:
+    """(id, ids, decoded) per row, the rows of ``decode`` over those of ``encode``.
+
+    Ids are decoded where they are made, so no task feeds one Python worker from another: an executor keeps as many
+    workers as it has cores rather than twice as many, and ids don't travel between the two.
+    """
+    return _encoded(documents, tokenizer_path, id_column, text_column, size, True)
+
+
+def _encoded(documents: DataFrame, tokenizer_path: str, id_column: str, text_column: str, size: int,
+             decoded: bool) -> DataFrame:
     kind = documents.schema[id_column].dataType.simpleString()
     rows = documents.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
     is_long = F.length("text") > size
 
     def short(pieces: Pieces, ids: list, texts: list) -> Iterator[tuple]:
         for key, found in zip(ids, pieces.encode_all(texts)):
-            yield key, np.frombuffer(found, "<i4")
+            numbers = np.frombuffer(found, "<i4")
+            yield (key, numbers, _decoded(tokenizer_path, numbers.tolist())) if decoded else (key, numbers)
 
+    result = "ids array<int>" + ", decoded string" * decoded
     setup = partial(Pieces, tokenizer_path, lead=False, cached=CACHED)
-    encoded = map_rows(rows.where(~is_long), f"id {kind}, ids array<int>", short, setup=setup)
+    encoded = map_rows(rows.where(~is_long), f"id {kind}, {result}", short, setup=setup)
     h1, h2 = text_hash("text")
     long = pinned(rows.where(is_long).withColumns({"h1": h1, "h2": h2}))
     longest = long.agg(F.max(F.length("text"))).first()[0]
@@ -162,7 +179,7 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
     node = "h1 long, h2 long, n int, opened boolean, ids array<int>"
     nodes = map_rows(parts.select("h1", "h2", "n", "opened", "piece"), node, piecewise, 64, setup)
 
-    def together(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def merged(key: tuple, group: pd.DataFrame) -> dict:
         """Neighbours, two and two until one is left."""
         group = group.sort_values("n")
         parts = [(ids.view("u4"), bool(opened)) for ids, opened in zip(group.ids, group.opened)]
@@ -172,14 +189,28 @@ def encode(documents: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
                      for k in range(0, len(parts) - 1, 2)]
             parts = pairs + parts[2 * len(pairs):]
         (ids, opened), = parts
-        return pd.DataFrame({"h1": [key[0]], "h2": [key[1]], "n": [key[2]], "opened": [opened], "ids": [ids.view("i4")]})
+        return {"h1": [key[0]], "h2": [key[1]], "n": [key[2]], "opened": [opened], "ids": [ids.view("i4")]}
+
+    def together(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(merged(key, group))
+
+    def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """The last step, which has all ids of a text."""
+        found = merged(key, group)
+        return pd.DataFrame(found | {"decoded": [_decoded(tokenizer_path, found["ids"][0].tolist())]})
 
     # A piece is longer than half the size.
     most = 2 * longest // size + 1
     while most > 1:
-        nodes = nodes.groupBy("h1", "h2", (F.col("n") / FAN).cast("int").alias("n")).applyInPandas(together, node)
         most = -(-most // FAN)
-    return encoded.unionAll(long.select("id", "h1", "h2").join(nodes, ["h1", "h2"]).select("id", "ids"))
+        groups = nodes.groupBy("h1", "h2", (F.col("n") / FAN).cast("int").alias("n"))
+        nodes = groups.applyInPandas(whole, f"{node}, decoded string") if decoded and most == 1 else \
+            groups.applyInPandas(together, node)
+    return encoded.unionAll(long.select("id", "h1", "h2").join(nodes, ["h1", "h2"]).select(encoded.columns))
+
+
+def _decoded(tokenizer_path: str, ids: list[int]) -> str:
+    return tokenizer(tokenizer_path).decode(ids, skip_special_tokens=False)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -187,8 +218,7 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     kind = encoded.schema["id"].dataType.simpleString()
 
     def rows(keys: list, sequences: list) -> Iterator[tuple]:
-        known = tokenizer(tokenizer_path)
         for key, ids in zip(keys, sequences):
-            yield key, ids or [], known.decode(ids or [], skip_special_tokens=False)
+            yield key, ids or [], _decoded(tokenizer_path, ids or [])
 
     return map_rows(encoded.select("id", "ids"), f"id {kind}, ids array<int>, decoded string", rows, 256)

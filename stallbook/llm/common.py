@@ -15,6 +15,13 @@ from stallbook.sources.shared import pinned
 SLICE = 4 << 20     # bytes of an Arrow batch that are Python objects at once, but for a longer row
 
 
+def slices(rows: pa.RecordBatch | pa.Array) -> Iterator[pa.RecordBatch | pa.Array]:
+    """Cut what Arrow hands over into parts of about ``SLICE`` bytes, of one row at least."""
+    step = max(1, len(rows) * SLICE // max(1, rows.nbytes))
+    for first in range(0, len(rows), step):
+        yield rows.slice(first, step)
+
+
 def map_rows(df: DataFrame, schema: str, function: Callable[..., Iterator[tuple]], rows: int = 1024,
              setup: Callable[[], object] | None = None) -> DataFrame:
     """One Arrow pass: ``function`` gets a batch's columns as lists and yields output rows.
@@ -36,9 +43,7 @@ def map_rows(df: DataFrame, schema: str, function: Callable[..., Iterator[tuple]
 
         made = [setup()] if setup else []
         for whole in batches:
-            step = max(1, whole.num_rows * SLICE // max(1, whole.nbytes))
-            for first in range(0, whole.num_rows, step):
-                batch = whole.slice(first, step)
+            for batch in slices(whole):
                 found: list[tuple] = []
                 for row in function(*made, *(column.to_pylist() for column in batch.columns)):
                     found.append(row)

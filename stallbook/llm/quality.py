@@ -13,11 +13,11 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallbook.llm.common import slices
 from stallbook.sources.shared import pinned
 
 BUCKET_BITS = 18
@@ -93,16 +93,17 @@ class Model:
         """A document's log importance weight, zero at most: null and empty texts have no feature and weigh zero."""
         ratios = self.ratios
 
-        def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             features = Features()
             for texts in batches:
-                yield pd.Series([float(ratios[features.buckets(text)].sum()) for text in texts], dtype="float64")
+                yield pa.array([float(ratios[features.buckets(text)].sum())
+                                for part in slices(texts) for text in part.to_pylist()], pa.float64())
 
-        return F.pandas_udf("double")(_typed(weigh))(text)
+        return F.arrow_udf("double")(_typed(weigh))(text)
 
 
 def _typed(function):
-    function.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    function.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return function
 
 
@@ -147,7 +148,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, rows = Features(), [0, 0, 0]
         raw, good, bad = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(3))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for text, is_good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 buckets = features.buckets(text)
                 raw[buckets] += 1

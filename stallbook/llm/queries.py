@@ -59,7 +59,7 @@ def op1_records(spark, folder):
 
 def bpe_digests(documents: DataFrame) -> DataFrame:
     path = _vocabulary("word_bpe_49k.json")
-    found = bpe.decode(bpe.encode(documents, path), path)
+    found = bpe.encode_and_decode(documents, path)
     return found.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                         _digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
                         _digest(F.col("decoded")).alias("decoded_sha256"))

@@ -58,8 +58,39 @@ def test_rows(spark, library, odd_documents, size):
     assert sorted([tuple(row) for row in found], key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("size", [bpe.PIECE, 64])
+def test_both_in_one_pass(odd_documents, size):
+    """The rows of one operator over those of the other, and long texts are decoded whole."""
+    once = bpe.encode_and_decode(odd_documents, PATH, size=size)
+    after = bpe.decode(bpe.encode(odd_documents, PATH, size=size), PATH)
+    assert once.columns == after.columns and once.dtypes == after.dtypes
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, after.collect()), key=repr)
+
+
+def most_workers_of_a_task(df):
+    """The most Python operators that stand in one stage of the plan, one fed from the other."""
+    path, most = [], 0
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = line.lstrip(" :+-*(0123456789)")
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [(d, n) for d, n in path if d < depth]
+        above = path[-1][1] if path else 0
+        n = 0 if "Exchange" in name.split(" ")[0] else above + any(kind in name.split(" ")[0] for kind in ("InArrow", "InPandas", "EvalPython"))
+        path.append((depth, n))
+        most = max(most, n)
+    return most
+
+
+def test_a_task_keeps_one_worker(odd_documents):
+    """Two for each core stay alive beside the heap otherwise, each with caches and a tokenizer of its own."""
+    assert most_workers_of_a_task(bpe.decode(bpe.encode(odd_documents, PATH, size=64), PATH)) == 2
+    assert most_workers_of_a_task(bpe.encode_and_decode(odd_documents, PATH, size=64)) == 1
+    assert most_workers_of_a_task(queries.bpe_digests(odd_documents)) == 1
+
+
 def test_empty_table(no_documents):
     assert bpe.decode(bpe.encode(no_documents, PATH), PATH).collect() == []
+    assert bpe.encode_and_decode(no_documents, PATH).collect() == []
 
 
 def test_a_full_cache_starts_again(library, monkeypatch):

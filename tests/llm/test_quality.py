@@ -2,10 +2,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stallbook.llm import quality, queries
+from stallbook.llm import common, quality, queries
 
 
 def test_features():
@@ -101,6 +102,19 @@ def test_odd_rows(spark, odd_documents, no_documents, corpus):
     assert quality.resample(odd_documents, labels.where("false")).count() == odd_documents.count()
 
 
+def test_long_texts_are_taken_apart(spark):
+    """A batch is Python objects a few MB at a time, and each text weighs what it weighs alone."""
+    texts = pa.array(["word " * 200_000] * 12 + [None, ""])
+    parts = list(common.slices(texts))
+    assert sum(map(len, parts)) == len(texts) and max(part.nbytes for part in parts) <= common.SLICE
+    assert list(common.slices(pa.array([], pa.string()))) == []
+    ratios = -np.random.default_rng(4).random(1 << quality.BUCKET_BITS)
+    rows = [(k, None if k % 50 == 7 else f"word{k} " * (40_000 if k % 9 == 0 else 3)) for k in range(100)]
+    weighed = spark.createDataFrame(rows, "id int, text string").coalesce(1) \
+        .select("id", quality.Model(ratios, 1.0).log_weight("text").alias("weight")).collect()
+    assert dict(map(tuple, weighed)) == {k: float(ratios[quality.Features().buckets(text)].sum()) for k, text in rows}
+
+
 def test_query_is_repeatable(spark):
     run = queries.queries()["op8_quality"]
     once, again = (sorted(tuple(r) for r in run(spark, "/root/testdata/sf0.001").collect()) for _ in range(2))

@@ -29,8 +29,15 @@ def _split(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-# White space other than single spaces between words and newlines.
-_ODD = "[\\x09\\x0B-\\x0D]|  | \n|\n |^ | $"
+def _odd(text: Column) -> Column:
+    """Whether ``text`` has white space other than single spaces between words and newlines.
+
+    Plain searches: one regular expression for all of them takes several times as long, as it tries each at every letter.
+    """
+    found = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for space in ["\t", "\v", "\f", "\r", "  ", " \n", "\n "]:
+        found = found | F.contains(text, F.lit(space))
+    return F.coalesce(found, F.lit(False))
 
 
 def _plain(line: Column, odd: Column) -> Column:
@@ -38,18 +45,17 @@ def _plain(line: Column, odd: Column) -> Column:
     return F.when(odd, F.trim(F.regexp_replace(line, "[\\x09-\\x0D\\x20]+", " "))).otherwise(line)
 
 
-def _halves(words: Column) -> Column:
-    """Keys of which two lines one word apart share at least one.
+def _halves(line: Column, n: Column) -> Column:
+    """Keys of which two lines one word apart share at least one; ``line`` is ``n`` words, joined by one space.
 
     Let the shorter have c words. The difference lies either behind the first c/2 words or before the last c/2, so
-    one of these stretches is equal. A line is the shorter or as long for c = n, the longer for c = n - 1.
+    one of these stretches is equal. A line is the shorter or as long for c = n, the longer for c = n - 1. Stretches
+    are hashed as they stand in the line, not as lists of words, which would have to be taken apart.
     """
-    n = F.size(words)
-
     def keys(c: Column) -> list[Column]:
         half = (c / 2).cast("int")
-        return [F.xxhash64(F.lit("head"), c, F.slice(words, F.lit(1), half)),
-                F.xxhash64(F.lit("tail"), c, F.slice(words, n - half + 1, half))]
+        return [F.xxhash64(F.lit("head"), c, F.call_function("substring_index", line, F.lit(" "), half)),
+                F.xxhash64(F.lit("tail"), c, F.call_function("substring_index", line, F.lit(" "), -half))]
 
     return F.array(*keys(n), *keys(n - 1))
 
@@ -107,8 +113,7 @@ def _lines(rows: DataFrame) -> DataFrame:
 
     What holds for the whole text is worked out inside the generator: beside it, Spark would do so for every line.
     """
-    odd = F.coalesce(F.col("text").rlike(_ODD), F.lit(False))
-    once = F.struct(F.col("r1").alias("r1"), F.col("r2").alias("r2"), odd.alias("odd"))
+    once = F.struct(F.col("r1").alias("r1"), F.col("r2").alias("r2"), _odd(F.col("text")).alias("odd"))
     each = _let(once, lambda known: F.transform(_split(F.col("text")), lambda line, at: F.struct(
         known["r1"].alias("r1"), known["r2"].alias("r2"), at.alias("number"), _plain(line, known["odd"]).alias("line"))))
     return rows.select("id", F.inline(each)).where("line <> ''")
@@ -150,8 +155,7 @@ def _near_earlier(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     wanted = rows.where(_may_be_among(crowd.select("r1"))).join(crowd.groupBy(*_ROW).agg(
         F.collect_list(F.struct("number", "at")).alias("wanted")).withColumnsRenamed({"id": "of", "r1": "o1", "r2": "o2"}),
         F.col("id").eqNullSafe(F.col("of")) & (F.col("r1") == F.col("o1")) & (F.col("r2") == F.col("o2")))
-    odd = F.coalesce(F.col("text").rlike(_ODD), F.lit(False))
-    taken = wanted.select(odd.alias("odd"), _let(_split(F.col("text")), lambda parts: F.transform("wanted", lambda w: F.struct(
+    taken = wanted.select(_odd(F.col("text")).alias("odd"), _let(_split(F.col("text")), lambda parts: F.transform("wanted", lambda w: F.struct(
         w["at"].alias("at"), F.get(parts, w["number"]).alias("line")))).alias("taken"))
     known = taken.select("odd", F.inline("taken")).dropDuplicates(["at"]).select(
         "at", F.split(_plain(F.col("line"), F.col("odd")), " ").alias("words"))
@@ -186,11 +190,11 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
     and get the same result; an empty table gives an empty result.
     """
     rows = documents.select(*_row(documents, id_column, text_column), F.col(text_column).alias("text"))
-    long = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1 >= LEAST_WORDS
-    keys = F.when(long, F.array_distinct(_let(F.split("line", " "), _halves)))
+    n = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
+    keys = F.when(F.col("n") >= LEAST_WORDS, F.array_distinct(_halves(F.col("line"), F.col("n"))))
     h1, h2 = text_hash("line")
     place = [*_ROW, "number"]
-    lines = pinned(_lines(rows).select(*place, h1.alias("h1"), h2.alias("h2"), keys.alias("keys")))
+    lines = pinned(_lines(rows).withColumn("n", n).select(*place, h1.alias("h1"), h2.alias("h2"), keys.alias("keys")))
     distinct = pinned(lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")))
     near = pinned(_near_earlier(distinct.where(F.col("keys").isNotNull()), rows).withColumn("near", F.lit(True)))

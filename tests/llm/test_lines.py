@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 from pyspark.sql import functions as F
@@ -136,3 +137,47 @@ def test_joins_move_only_what_may_match(spark, monkeypatch):
     found = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert [r.text for r in found.orderBy("doc_id").collect()] == plain(texts)
     assert sorted(asked) == ["h1", "h1", "h1", "key", "key", "r1", "r1", "v"]
+
+
+def test_odd_white_space(spark):
+    """A text without odd white space keeps its lines as they are; of any other, each line is its words and single spaces."""
+    chance = random.Random(5)
+    texts = ["".join(chance.choice(["a", "é", " ", "\u0085", " ", "\n", "\t", "\v", "\f", "\r"][:length])
+                     for _ in range(chance.randrange(9))) for length in range(4, 11) for _ in range(300)]
+    table = spark.createDataFrame(list(enumerate([*texts, None])), "id long, text string").select(
+        "id", F.lit(0).cast("long").alias("r1"), F.lit(0).cast("long").alias("r2"), "text")
+    found = {(row.id, row.number): row.line for row in lines._lines(table).collect()}
+    expected = {}
+    for k, text in enumerate(texts):
+        for at, line in enumerate(text.split("\n")):
+            words = [w for w in re.split("[ \t\v\f\r]+", line) if w]
+            if words:
+                expected[k, at] = " ".join(words)
+    assert found == expected
+
+
+def test_halves_of_lines_one_word_apart(spark):
+    """Lines one word apart share a key; keys are made of all words of a half, in order."""
+    chance = random.Random(6)
+    rows = []
+    for _ in range(400):
+        words = [chance.choice(["a", "bb", "é"]) for _ in range(chance.randrange(10, 16))]
+        other, at = list(words), chance.randrange(len(words))
+        other[at:at + chance.choice([0, 1])] = ["new"]
+        rows.append((" ".join(words), " ".join(other)))
+    rows.append((" ".join("abcdefghijkl"), " ".join("axcdefghixkl")))
+    table = spark.createDataFrame(rows, "x string, y string")
+    keys = [lines._halves(F.col(c), F.size(F.split(c, " "))) for c in "xy"]
+    *near, two = [row[0] for row in table.select(F.arrays_overlap(*keys)).collect()]
+    assert all(near) and not two
+
+
+def test_all_lines_are_read_without_regular_expressions(spark, monkeypatch):
+    """What every text and line passes through searches for plain strings and keeps lines whole."""
+    seen = []
+    real = lines.pinned
+    monkeypatch.setattr(lines, "pinned", lambda df: seen.append(df) or real(df))
+    lines.dedup_lines(spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string"))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert seen[0].columns[-1] == "keys" and "substring_index" in plan
+    assert "RLIKE" not in plan and "slice" not in plan and plan.count("split(") == 1
